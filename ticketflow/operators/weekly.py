@@ -89,12 +89,3 @@ def pivot_weeks(weekly: DataFrame, weeks: DataFrame, keys: Sequence[str], value:
                     week_col, "inner")
     cols = [F.max(F.when(F.col("slot") == k, F.col(value))).alias(f"w{k}") for k in range(n, 0, -1)]
     return j.groupBy(*keys).agg(*cols) if keys else j.agg(*cols)
-
-
-def week_values(weekly: DataFrame, weeks: DataFrame, value: str, n: int = 3,
-                week_col: str = "week_start") -> DataFrame:
-    """One row w{n}..w1 (NULL where the week has no row); always one row."""
-    w = weeks.select("slot", F.col("week_start").alias(week_col))
-    j = F.broadcast(w).join(weekly, week_col, "left")
-    return j.agg(*[F.max(F.when(F.col("slot") == k, F.col(value))).alias(f"w{k}")
-                   for k in range(n, 0, -1)])
