@@ -136,7 +136,9 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
 
 
 def run(name: str, spark: SparkSession, sf_dir: str, cfg: Config = FIXTURE) -> DataFrame:
-    return PANELS[name](fixtures.load(spark, sf_dir), cfg)
+    """A fresh DataFrame (own query execution) over the shared lazy sub-plans."""
+    df = PANELS[name](fixtures.load(spark, sf_dir), cfg)
+    return df.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -21,6 +21,7 @@ from ..operators import weekly as W
 from ..operators.agg import bucket_total, with_total, zero_fill
 from ..sources.fixtures import Tables
 from . import panels
+from .panels import shared
 
 # (key, caption, numerator column of the daily outcome panel, higher is good)
 RATIO_METRICS = (
@@ -36,15 +37,18 @@ def _spark(t: Tables) -> SparkSession:
     return t.tasks.sparkSession
 
 
+@shared
 def weeks(t: Tables, cfg: Config) -> DataFrame:
     return W.week_frame(_spark(t), cfg.as_of, cfg.n_weeks)
 
 
+@shared
 def daily_outcomes(t: Tables, cfg: Config) -> DataFrame:
     lo = cfg.as_of - timedelta(days=cfg.lookback_days)
     return panels.closed_outcomes_daily(t, cfg, lo, cfg.as_of)
 
 
+@shared
 def ratio_daily_long(t: Tables, cfg: Config) -> DataFrame:
     """(metric, d, num, den): one row per day and ratio metric."""
     d = daily_outcomes(t, cfg)
@@ -56,11 +60,13 @@ def ratio_daily_long(t: Tables, cfg: Config) -> DataFrame:
 
 # ---------------------------------------------------------------- weekly panels
 
+@shared
 def weekly_avg_assigned(t: Tables, cfg: Config) -> DataFrame:
     """Mean assignments per day present, per ISO week."""
     return W.avg_per_day(panels.assigned_daily(t, cfg), "d", "assigned", "avg_assigned")
 
 
+@shared
 def weekly_ratios(t: Tables, cfg: Config) -> DataFrame:
     """Per ISO week, every ratio metric as its own column (one aggregate)."""
     d = W.by_week(daily_outcomes(t, cfg), "d")
@@ -70,6 +76,7 @@ def weekly_ratios(t: Tables, cfg: Config) -> DataFrame:
                                       for key, _, _, _ in RATIO_METRICS])
 
 
+@shared
 def weekly_ra_total(t: Tables, cfg: Config) -> DataFrame:
     """RA returns in each of the last complete weeks (NULL if none)."""
     wk = weeks(t, cfg)
@@ -78,6 +85,7 @@ def weekly_ra_total(t: Tables, cfg: Config) -> DataFrame:
             .groupBy("slot", "week_start").agg(F.sum("ra_returns").cast("bigint").alias("ra_returns")))
 
 
+@shared
 def baseline_avg(t: Tables, cfg: Config) -> DataFrame:
     """Assignments per day over the baseline range."""
     b = W.baseline_avg(panels.assigned_daily(t, cfg), "d", "assigned",
@@ -85,6 +93,7 @@ def baseline_avg(t: Tables, cfg: Config) -> DataFrame:
     return b.select(F.lit(C.M_ASSIGNED).alias("metric"), "baseline")
 
 
+@shared
 def baseline_ratio(t: Tables, cfg: Config) -> DataFrame:
     """Every ratio metric over the baseline range (one row per metric)."""
     long = ratio_daily_long(t, cfg).filter(
@@ -115,6 +124,7 @@ def _avg_weeks(t: Tables, cfg: Config, daily: DataFrame, value: str,
                        for k, n in zip(slots, names)])
 
 
+@shared
 def ratio_week_rows(t: Tables, cfg: Config) -> DataFrame:
     """(metric caption, w3, w2, w1, baseline, higher_is_good) per ratio metric."""
     wk = weeks(t, cfg)
@@ -130,6 +140,7 @@ def ratio_week_rows(t: Tables, cfg: Config) -> DataFrame:
     return rows.join(F.broadcast(base), "caption", "left")
 
 
+@shared
 def week_rows(t: Tables, cfg: Config) -> DataFrame:
     """All weekly metrics as (metric, w3, w2, w1, baseline, higher_is_good)."""
     cols = ["metric", "w3", "w2", "w1", "baseline", "higher_is_good", "_i"]
@@ -146,6 +157,7 @@ def week_rows(t: Tables, cfg: Config) -> DataFrame:
     return missed.select(*cols).unionByName(assigned.select(*cols)).unionByName(ratios.select(*cols))
 
 
+@shared
 def trend(t: Tables, cfg: Config) -> DataFrame:
     """A1 for every weekly metric."""
     r = week_rows(t, cfg)
@@ -153,6 +165,7 @@ def trend(t: Tables, cfg: Config) -> DataFrame:
     return r.select("metric", "w3", "w2", "w1", text.alias("trend"), direction.alias("trend_dir"))
 
 
+@shared
 def vs_baseline(t: Tables, cfg: Config) -> DataFrame:
     """A2 for every weekly metric that has a baseline."""
     r = week_rows(t, cfg).filter(F.col("metric") != C.M_MISSED)
@@ -162,6 +175,7 @@ def vs_baseline(t: Tables, cfg: Config) -> DataFrame:
 
 # ---------------------------------------------------------------- bucket snapshots
 
+@shared
 def open_age_signals(t: Tables, cfg: Config) -> DataFrame:
     """Every open-age bucket (0 when empty) with its threshold signal."""
     z = zero_fill(panels.open_age_status(t, cfg), C.OPEN_BUCKETS, ["open_tickets"])
@@ -169,6 +183,7 @@ def open_age_signals(t: Tables, cfg: Config) -> DataFrame:
                     alerts.threshold_signal("age_bucket", "open_tickets", C.OPEN_SIGNAL_RULES).alias("signal"))
 
 
+@shared
 def ra_ageing_pct(t: Tables, cfg: Config) -> DataFrame:
     """Every RA bucket (0 when empty) with pickup % rounded half-even."""
     z = zero_fill(panels.ra_ageing(t, cfg), C.RA_BUCKETS, ["total_failed", "ra_picked", "still_pending"])
@@ -177,6 +192,7 @@ def ra_ageing_pct(t: Tables, cfg: Config) -> DataFrame:
                     pct("ra_picked", total, 0).alias("pickup_pct"))
 
 
+@shared
 def ra_signals(t: Tables, cfg: Config) -> DataFrame:
     """A7 + A8: pending threshold signal and pickup verdict per RA bucket."""
     r = ra_ageing_pct(t, cfg)
@@ -186,6 +202,7 @@ def ra_signals(t: Tables, cfg: Config) -> DataFrame:
                     alerts.threshold_signal("age_bucket", "still_pending", C.RA_SIGNAL_RULES).alias("signal"))
 
 
+@shared
 def ra_ageing_total(t: Tables, cfg: Config) -> DataFrame:
     """G19 for the RA table: buckets plus a Total row, pickup % rounded half-up
     from the summed counts (the page's table)."""
@@ -194,17 +211,20 @@ def ra_ageing_total(t: Tables, cfg: Config) -> DataFrame:
     return tot.withColumn("pickup_pct", pct("ra_picked", "total_failed", 0, half_up=True))
 
 
+@shared
 def open_age_total(t: Tables, cfg: Config) -> DataFrame:
     """G19 for the open-age table: buckets present plus a Total row."""
     return with_total(panels.open_age_status(t, cfg), "age_bucket", ["open_tickets"])
 
 
+@shared
 def danger_total(t: Tables, cfg: Config) -> DataFrame:
     """Open tickets older than 14 days (the 15-21 and 21+ buckets)."""
     return bucket_total(panels.open_age_status(t, cfg), "age_bucket",
                         [C.OPEN_BUCKETS[2][0], C.OPEN_BUCKETS[3][0]], "open_tickets", "danger_total")
 
 
+@shared
 def pickup_totals(t: Tables, cfg: Config) -> DataFrame:
     """RA pending, picked, total and pickup % over all buckets."""
     r = panels.ra_ageing(t, cfg)
@@ -220,6 +240,7 @@ SUMMARY_COLUMNS = ["ord", "metric", "type", "sub", "w3", "w2", "w1", "trend", "t
                    "baseline", "vs_bl", "vs_dir", "signal", "fmt"]
 
 
+@shared
 def weekly_summary(t: Tables, cfg: Config) -> DataFrame:
     """The 16-row weekly signal table, in display order (``ord``)."""
     r = week_rows(t, cfg)

@@ -11,7 +11,7 @@ Every column is a projection of one input row, so the views are narrow
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +35,28 @@ class Tables:
     router_user_mapping: DataFrame
     device_audit: DataFrame
     ticket_assignments: DataFrame
+    # Lazy sub-plans shared by several panels (built once per config).
+    memo: dict = field(default_factory=dict, repr=False, compare=False)
+
+
+# Declared schemas of the driver's tables (columns used here), so a read needs
+# no footer sampling to infer them.
+BASE_SCHEMAS = {
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
+# Lazy table definitions per (session, folder): like registering tables in a
+# catalog once, so repeated panels do not list and open the files again.
+_LOADED: dict[tuple[int, str], "Tables"] = {}
 
 
 def read_base(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
+    return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
 
 def tasks(orders: DataFrame) -> DataFrame:
@@ -130,6 +148,13 @@ def ticket_assignments(orders: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Tables:
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _LOADED:
+        _LOADED[key] = _load(spark, sf_dir)
+    return _LOADED[key]
+
+
+def _load(spark: SparkSession, sf_dir: str) -> Tables:
     orders = read_base(spark, sf_dir, "orders",
                        ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
     lineitem = read_base(spark, sf_dir, "lineitem",
