@@ -100,21 +100,23 @@ def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str
             .withColumn("_side", F.lit(0)))
     both = l_in.unionByName(r_in, allowMissingColumns=True).withColumn("_b", bkt(F.col("_t")))
 
-    # Same bucket: right rows sort before left rows at equal time (strictly after).
-    w_in = (Window.partitionBy("_k", "_b").orderBy(F.col("_t").asc_nulls_last(), F.col("_side"))
-            .rowsBetween(1, Window.unboundedFollowing))
-    in_bucket = F.min(F.when(F.col("_side") == 0, F.col("_t"))).over(w_in)
-    tagged = both.withColumn("_same", in_bucket).filter(F.col("_side") == 1)
-
-    # Later buckets: first right time per (key, bucket), then the minimum over
-    # all later buckets of the key (one row per bucket, bounded by the time span).
-    per_bucket = (r_in.withColumn("_b", bkt(F.col("_t")))
-                  .groupBy("_k", "_b").agg(F.min("_t").alias("_first")))
-    left_buckets = l_in.filter(F.col("_t").isNotNull()).select("_k", bkt(F.col("_t")).alias("_b")).distinct()
-    spine = (left_buckets.unionByName(per_bucket, allowMissingColumns=True)
-             .groupBy("_k", "_b").agg(F.min("_first").alias("_first")))
-    w_later = (Window.partitionBy("_k").orderBy("_b")
-               .rowsBetween(1, Window.unboundedFollowing))
+    # Same bucket, scanned newest first: a left row sees every right row later
+    # than it (left before right at equal time keeps "strictly after").  A
+    # growing frame (unbounded preceding .. 1 preceding) is evaluated in one
+    # pass; a frame running to unbounded following would be quadratic.
+    w_in = (Window.partitionBy("_k", "_b").orderBy(F.col("_t").desc_nulls_first(), F.col("_side").desc())
+            .rowsBetween(Window.unboundedPreceding, -1))
+    right_t = F.when(F.col("_side") == 0, F.col("_t"))
+    tagged = both.withColumn("_same", F.min(right_t).over(w_in)).filter(F.col("_side") == 1)
+
+    # Later buckets: one row per (key, bucket) seen on either side with the
+    # bucket's first right time (a hash aggregate, combined map-side), then the
+    # minimum over all later buckets of the key: one row per bucket, bounded by
+    # the time span, not by the number of rows.
+    spine = (both.filter(F.col("_t").isNotNull())
+             .groupBy("_k", "_b").agg(F.min(right_t).alias("_first")))
+    w_later = (Window.partitionBy("_k").orderBy(F.col("_b").desc())
+               .rowsBetween(Window.unboundedPreceding, -1))
     later = spine.withColumn("_later", F.min("_first").over(w_later)).select("_k", "_b", "_later")
 
     res = tagged.join(later, ["_k", "_b"], "left")

@@ -416,11 +416,12 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     p = P.not_deleted(t.task_performance).filter(
         (F.col("score") == C.SCORE_RECOVERED) & F.col("customer_device_id").isNotNull()
         & P.local_date_between("task_resolved_time", lo, cfg.as_of, off))
-    lt = latest_tickets(t, cfg)
-    j = p.join(lt, p["reporterid"] == lt["id"], "inner")
+    p = p.select("reporterid", "customer_device_id", "task_resolution_type", "score", "task_resolved_time")
     ra = ra_audit(t).select("device_id", "modified_time")
-    fa = first_after(j, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",
+    fa = first_after(p, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",
                      out="ra_time").filter(F.col("ra_time").isNotNull())
+    lt = latest_tickets(t, cfg)
+    fa = fa.join(lt, fa["reporterid"] == lt["id"], "inner")
     return fa.select(
         F.col("reporterid").alias("task_id"),
         F.col("customer_device_id").alias("device_id"),
