@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
@@ -81,11 +81,28 @@ def baseline_ratio(daily: DataFrame, d: str, num: str, den: str, start: date, en
             .select(pct("_num", "_den", digits).alias(name)))
 
 
-def pivot_weeks(weekly: DataFrame, weeks: DataFrame, keys: Sequence[str], value: str,
-                n: int = 3, week_col: str = "week_start") -> DataFrame:
-    """Long (keys, week_start, value) -> one row per keys with w{n}..w1 columns
-    for the last complete weeks (NULL where a week has no row)."""
-    j = weekly.join(F.broadcast(weeks.select("slot", F.col("week_start").alias(week_col))),
-                    week_col, "inner")
-    cols = [F.max(F.when(F.col("slot") == k, F.col(value))).alias(f"w{k}") for k in range(n, 0, -1)]
-    return j.groupBy(*keys).agg(*cols) if keys else j.agg(*cols)
+def slots(d: str, as_of: date, n: int = 3, baseline: tuple[date, date] | None = None) -> Column:
+    """The slots a day belongs to: k for week W-k (k = n..1) and 0 for the
+    baseline range.  Week bounds are literals from the as-of date, so tagging
+    needs no join; a day can sit in a week and in the baseline at once."""
+    parts = [F.when(F.col(d).between(F.lit(s), F.lit(e)), F.lit(int(lbl[2:])))
+             for lbl, s, e in last_full_weeks(as_of, n)]
+    if baseline is not None:
+        parts.append(F.when(F.col(d).between(F.lit(baseline[0]), F.lit(baseline[1])), F.lit(0)))
+    return F.array_compact(F.array(*parts))
+
+
+def slot_sums(daily: DataFrame, d: str, cols: Sequence[str], as_of: date, n: int = 3,
+              baseline: tuple[date, date] | None = None) -> DataFrame:
+    """Per slot with at least one day: days present (``_days``) and the sums
+    of ``cols``.  One pass over the per-day panel for all weeks and the
+    baseline together."""
+    tagged = daily.select(F.explode(slots(d, as_of, n, baseline)).alias("slot"), *cols)
+    return tagged.groupBy("slot").agg(F.count(F.lit(1)).alias("_days"),
+                                      *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in cols])
+
+
+def by_slot(per_slot: DataFrame, value: Column, n: int = 3, with_baseline: bool = True) -> list[Column]:
+    """Aggregates turning (slot, value) rows into w{n}..w1 [, baseline]."""
+    names = [(k, f"w{k}") for k in range(n, 0, -1)] + ([(0, "baseline")] if with_baseline else [])
+    return [F.max(F.when(F.col("slot") == k, value)).alias(name) for k, name in names]

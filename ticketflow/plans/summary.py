@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import Config
 from ..functions import alerts
-from ..functions.rates import pct
+from ..functions.rates import pct, round_even
 from ..operators import weekly as W
 from ..operators.agg import bucket_total, with_total, zero_fill
 from ..sources.fixtures import Tables
@@ -108,36 +108,33 @@ def baseline_ratio(t: Tables, cfg: Config) -> DataFrame:
 
 # ---------------------------------------------------------------- three-week rows
 
-def _avg_weeks(t: Tables, cfg: Config, daily: DataFrame, value: str,
-               with_baseline: bool) -> DataFrame:
-    """One row: w{n}..w1 weekly means of ``value`` and (optionally) its
-    baseline, from one union of (slot, value) rows; slot 0 is the baseline."""
-    wk = weeks(t, cfg).select("slot", "week_start")
-    per_week = W.avg_per_day(daily, "d", value, "_v")
-    parts = F.broadcast(wk).join(per_week, "week_start", "left").select("slot", "_v")
-    if with_baseline:
-        base = W.baseline_avg(daily, "d", value, cfg.baseline_start, cfg.baseline_end, "_v")
-        parts = parts.unionByName(base.select(F.lit(0).alias("slot"), "_v"))
-    slots = list(range(cfg.n_weeks, 0, -1)) + [0]
-    names = [f"w{k}" for k in range(cfg.n_weeks, 0, -1)] + ["baseline"]
-    return parts.agg(*[F.max(F.when(F.col("slot") == k, F.col("_v"))).alias(n)
-                       for k, n in zip(slots, names)])
+def _avg_row(daily: DataFrame, value: str, cfg: Config, with_baseline: bool) -> DataFrame:
+    """One row: weekly means of ``value`` over the days present (0 decimals,
+    half-even) for W-n..W-1 and, optionally, over the baseline range."""
+    base = (cfg.baseline_start, cfg.baseline_end) if with_baseline else None
+    per = W.slot_sums(daily, "d", [value], cfg.as_of, cfg.n_weeks, base)
+    mean = round_even(F.col(value) / F.col("_days"), 0)
+    return per.agg(*W.by_slot(per, mean, cfg.n_weeks, with_baseline))
 
 
 @shared
 def ratio_week_rows(t: Tables, cfg: Config) -> DataFrame:
-    """(metric caption, w3, w2, w1, baseline, higher_is_good) per ratio metric."""
-    wk = weeks(t, cfg)
-    long = ratio_daily_long(t, cfg).withColumn("week_start", F.trunc("d", "week"))
-    per_week = long.groupBy("metric", "week_start").agg(F.sum("num").alias("_n"), F.sum("den").alias("_d")) \
-        .withColumn("_pct", pct("_n", "_d"))
-    wide = W.pivot_weeks(per_week, wk, ["metric"], "_pct", cfg.n_weeks)
-    meta = _spark(t).createDataFrame(
-        [(key, cap, hig, i) for i, (key, cap, _, hig) in enumerate(RATIO_METRICS)],
-        "metric string, caption string, higher_is_good boolean, _i int")
-    rows = F.broadcast(meta).join(wide, "metric", "left")
-    base = baseline_ratio(t, cfg).withColumnRenamed("metric", "caption")
-    return rows.join(F.broadcast(base), "caption", "left")
+    """(metric caption, w3, w2, w1, baseline, higher_is_good) per ratio metric,
+    from one aggregate of the per-day closures by week slot."""
+    nums = [col for _, _, col, _ in RATIO_METRICS]
+    per = W.slot_sums(daily_outcomes(t, cfg), "d", nums + ["total_closed"], cfg.as_of, cfg.n_weeks,
+                      (cfg.baseline_start, cfg.baseline_end))
+    names = [f"w{k}" for k in range(cfg.n_weeks, 0, -1)] + ["baseline"]
+    aggs = []
+    for key, _, col, _ in RATIO_METRICS:
+        for agg, name in zip(W.by_slot(per, pct(col, "total_closed"), cfg.n_weeks), names):
+            aggs.append(agg.alias(f"{key}__{name}"))
+    wide = per.agg(*aggs)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(cap).alias("metric"), F.lit(hig).alias("higher_is_good"), F.lit(i).alias("_i"),
+                 *[F.col(f"{key}__{name}").alias(name) for name in names])
+        for i, (key, cap, _, hig) in enumerate(RATIO_METRICS)]))
+    return wide.select(rows.alias("r")).select("r.*")
 
 
 @shared
@@ -145,16 +142,15 @@ def week_rows(t: Tables, cfg: Config) -> DataFrame:
     """All weekly metrics as (metric, w3, w2, w1, baseline, higher_is_good)."""
     cols = ["metric", "w3", "w2", "w1", "baseline", "higher_is_good", "_i"]
     # No baseline for missed pickups (its panel only reaches 60 days back).
-    missed = _avg_weeks(t, cfg, panels.missed_daily(t, cfg), "missed_puts", False).select(
+    missed = _avg_row(panels.missed_daily(t, cfg), "missed_puts", cfg, False).select(
         F.lit(C.M_MISSED).alias("metric"), "w3", "w2", "w1",
         F.lit(None).cast("double").alias("baseline"), F.lit(False).alias("higher_is_good"),
         F.lit(-2).alias("_i"))
-    assigned = _avg_weeks(t, cfg, panels.assigned_daily(t, cfg), "assigned", True).select(
+    assigned = _avg_row(panels.assigned_daily(t, cfg), "assigned", cfg, True).select(
         F.lit(C.M_ASSIGNED).alias("metric"), "w3", "w2", "w1", "baseline",
         F.lit(True).alias("higher_is_good"), F.lit(-1).alias("_i"))
-    ratios = ratio_week_rows(t, cfg).select(F.col("caption").alias("metric"), "w3", "w2", "w1",
-                                            "baseline", "higher_is_good", "_i")
-    return missed.select(*cols).unionByName(assigned.select(*cols)).unionByName(ratios.select(*cols))
+    ratios = ratio_week_rows(t, cfg).select(*cols)
+    return missed.select(*cols).unionByName(assigned.select(*cols)).unionByName(ratios)
 
 
 @shared
