@@ -37,3 +37,13 @@ def test_run_all_and_write(spark, tables):
         assert back.count() == 5 and {"as_of", "last_refresh_ist"} <= set(back.columns)
     finally:
         report.release(tables, FIXTURE)
+
+
+def test_run_all_orders_and_caps(spark, tables):
+    out = report.run_all(tables, FIXTURE.replace(max_rows=3), persist=False)
+    ra = [r.age_bucket for r in out["ra_aging"].collect()]
+    assert ra == ["0-7 days", "8-14 days", "15-21 days"]
+    daily = [r.d for r in report.run_all(tables, FIXTURE, persist=False)["daily"].collect()]
+    assert daily == sorted(daily) and len(daily) == 121
+    labels = [r.age_bucket for r in report.run_all(tables, FIXTURE, persist=False)["live_open_ages"].collect()]
+    assert labels[-1] == "Total"

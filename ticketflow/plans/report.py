@@ -13,8 +13,12 @@ from datetime import timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from .. import config as C
 from ..config import Config
+from ..functions.buckets import bucket_rank
+from ..operators import sorts
 from ..sources.fixtures import Tables
 from . import panels, summary
 
@@ -33,27 +37,37 @@ def shared_inputs(t: Tables, cfg: Config) -> list[DataFrame]:
 
 
 def run_all(t: Tables, cfg: Config, persist: bool = True) -> dict[str, DataFrame]:
+    """Every panel of the three jobs, each ordered for display (by period or
+    bucket rank) and capped at ``cfg.max_rows`` when that is set."""
     if persist:
         for df in shared_inputs(t, cfg):
             df.persist(StorageLevel.MEMORY_AND_DISK)
+    cap = cfg.max_rows
+
+    def by(df: DataFrame, col: str) -> DataFrame:
+        return sorts.by_period(df, col, cap)
+
+    def ranked(df: DataFrame, buckets) -> DataFrame:
+        return sorts.by_bucket(df, bucket_rank("age_bucket", buckets + (("Total", None, None),)), cap)
+
     return {
         # alert job
-        "missed_puts": panels.missed_daily(t, cfg),
-        "assignments": panels.assigned_daily(t, cfg),
-        "daily": panels.closed_rolling_7(t, cfg),
-        "mom": panels.cohort_status_rates(t, cfg),
-        "open_ages": summary.open_age_signals(t, cfg),
-        "ra_aging": summary.ra_ageing_total(t, cfg),
-        "ra_weekly": panels.ra_weekly(t, cfg),
-        "summary": summary.weekly_summary(t, cfg),
+        "missed_puts": by(panels.missed_daily(t, cfg), "d"),
+        "assignments": by(panels.assigned_daily(t, cfg), "d"),
+        "daily": by(panels.closed_rolling_7(t, cfg), "d"),
+        "mom": by(panels.cohort_status_rates(t, cfg), "month"),
+        "open_ages": ranked(summary.open_age_signals(t, cfg), C.OPEN_BUCKETS),
+        "ra_aging": ranked(summary.ra_ageing_total(t, cfg), C.RA_BUCKETS),
+        "ra_weekly": by(panels.ra_weekly(t, cfg), "week_start"),
+        "summary": sorts.top(summary.weekly_summary(t, cfg), [F.col("ord")], cap),
         # live job (status based)
-        "live_mom": panels.cohort_status_rates(t, cfg),
-        "live_daily": panels.closed_daily_since_start(t, cfg),
-        "live_open_ages": summary.open_age_total(t, cfg),
+        "live_mom": by(panels.cohort_status_rates(t, cfg), "month"),
+        "live_daily": by(panels.closed_daily_since_start(t, cfg), "resolved_date"),
+        "live_open_ages": ranked(summary.open_age_total(t, cfg), C.OPEN_BUCKETS),
         # first version (score based)
-        "score_mom": panels.cohort_score_rates(t, cfg),
-        "score_daily": panels.closed_rolling_7_score(t, cfg),
-        "score_open_ages": panels.open_age_score(t, cfg),
+        "score_mom": by(panels.cohort_score_rates(t, cfg), "month"),
+        "score_daily": by(panels.closed_rolling_7_score(t, cfg), "resolved_date"),
+        "score_open_ages": ranked(panels.open_age_score(t, cfg), C.OPEN_BUCKETS),
     }
 
 

@@ -20,6 +20,20 @@ RUNTIME_CONF = {
 }
 
 
+# Settings meant for a large cluster reading the full tables (set by the job
+# launcher; listed here so the sizing is written down next to the code).
+CLUSTER_CONF = {
+    **RUNTIME_CONF,
+    "spark.sql.shuffle.partitions": "4000",  # upper bound; AQE coalesces to the advisory size
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",  # checked on runtime sizes only
+    "spark.sql.autoBroadcastJoinThreshold": "-1",  # no broadcast from compile-time guesses
+}
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ticketflow") -> SparkSession:
     builder = (
