@@ -199,7 +199,12 @@ def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi) -> DataFrame:
     off = cfg.offset_minutes
     tk = P.eq(t.tasks, "type", C.TICKET_TYPE).filter(
         P.local_date_between("created", lo, hi, off)).select("id", "created")
-    counts = match_counts(P.not_deleted(t.task_performance), "reporterid", {
+    # Only performance rows of these tickets are counted: the semi join runs
+    # before any shuffle of the performance table when the ticket side is
+    # small enough for AQE to broadcast, and keeps old tickets' rows out.
+    perf = P.not_deleted(t.task_performance)
+    perf = perf.join(tk.select("id"), perf["reporterid"] == tk["id"], "left_semi")
+    counts = match_counts(perf, "reporterid", {
         "_rec": F.col("score") == C.SCORE_RECOVERED,
         "_fail": F.col("score") == C.SCORE_FAILED,
         "_unres": F.col("task_resolved_time").isNull(),

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
 from ..functions.timeops import ntz
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import TASK_LOGS
 
 
@@ -46,11 +47,15 @@ def assigned_daily_stream(events: DataFrame, offset_minutes: int, since: date |
             .select(local_day.alias("d"), "assigned"))
 
 
-def start_assigned_daily(spark: SparkSession, source: str, checkpoint: str, cfg: C.Config,
+def start_assigned_daily(spark: SparkSession, source: str, checkpoint: str | None, cfg: C.Config,
                          sink: str = "memory", name: str = "assigned_daily",
                          available_now: bool = True) -> StreamingQuery:
     """Read the task log folder as a stream and keep the per-day counts up to
-    date in ``sink`` (a memory table named ``name`` for checks, or any sink)."""
+    date in ``sink`` (a memory table named ``name`` for checks, or any sink).
+    Progress is kept under ``checkpoint`` (default: the cluster's shared
+    checkpoint folder), so a restarted query resumes where it stopped."""
+    if checkpoint is None:
+        checkpoint = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{name}"
     src = spark.readStream.schema(TASK_LOGS).parquet(source)
     since = date.fromordinal(cfg.as_of.toordinal() - cfg.lookback_days)
     out = assigned_daily_stream(src, cfg.offset_minutes, since)
