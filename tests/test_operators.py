@@ -222,12 +222,3 @@ def test_last_full_weeks():
         ("W-3", "2001-07-09", "2001-07-15"), ("W-2", "2001-07-16", "2001-07-22"), ("W-1", "2001-07-23", "2001-07-29")]
     assert last_full_weeks(date(2001, 7, 30), 1)[0][1] == date(2001, 7, 23)  # a Monday as-of
 
-
-def test_json_fields_parse_once_matches_path_reads(spark):
-    rows = [('{"returnedBy":"RA","router_state":"returned_in_office"}',), ('{"returnedBy":5}',), ("{}",),
-            ("oops",), (None,), ('{"router_state":"x","returnedBy":"PARTNER"}',)]
-    df = spark.createDataFrame(rows, "s string")
-    j = jsonops.fields("s", ["returnedBy", "router_state"])
-    got = df.select(j["returnedBy"].alias("a"), j["router_state"].alias("b"),
-                    jsonops.text("s", "returnedBy").alias("c"), jsonops.text("s", "router_state").alias("d")).collect()
-    assert [(r.a, r.b) for r in got] == [(r.c, r.d) for r in got]

@@ -13,13 +13,6 @@ def text(s: ColLike, field: str) -> Column:
     return F.get_json_object(_c(s), f"$.{field}")
 
 
-def fields(s: ColLike, names: list[str]) -> Column:
-    """Several top-level text fields from one parse of the document (a struct
-    with one string per name; NULLs for bad text or a missing key)."""
-    schema = ", ".join(f"`{n}` string" for n in names)
-    return F.from_json(_c(s), schema)
-
-
 def number(s: ColLike, field: str) -> Column:
     """PARSE_JSON(s):field::NUMBER as BIGINT (NUMBER(38,0) rounds, then narrows)."""
     return text(s, field).try_cast("decimal(38,0)").try_cast("bigint")

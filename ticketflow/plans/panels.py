@@ -74,9 +74,11 @@ def live_performance(t: Tables, pickup_only: bool = True) -> DataFrame:
 
 def ra_audit(t: Tables) -> DataFrame:
     """Audit rows recording a device returned to the office by the RA team."""
-    j = jsonops.fields("extra_data", ["returnedBy", "router_state"])
-    return t.device_audit.filter((j["returnedBy"] == C.RA_RETURNED_BY)
-                                 & (j["router_state"] == C.RA_ROUTER_STATE))
+    a = t.device_audit
+    # Two path reads: the second runs only on rows whose first already matched
+    # (measured faster than building a struct with from_json for every row).
+    return a.filter((jsonops.text("extra_data", "returnedBy") == C.RA_RETURNED_BY)
+                    & (jsonops.text("extra_data", "router_state") == C.RA_ROUTER_STATE))
 
 
 # ---------------------------------------------------------------- closures per day
