@@ -10,7 +10,7 @@ from ticketflow.config import FIXTURE
 from ticketflow.functions.buckets import age_bucket
 from ticketflow.functions.timeops import age_days, local_date
 from ticketflow.operators import filters as P
-from ticketflow.operators.joins import inner_fanout, left_filtered, missing_or
+from ticketflow.operators.joins import inner_fanout, inner_filtered, left_filtered, missing_or
 from ticketflow.plans import panels
 
 
@@ -62,7 +62,10 @@ def test_failed_latest_equals_join_then_window(tables):
     perf = P.not_deleted(t.task_performance).filter(
         F.col("customer_device_id").isNotNull() & P.lookback("task_resolved_time", cfg.as_of, cfg.lookback_days, off))
     tk = t.tasks.filter((F.col("type") == C.TICKET_TYPE) & (F.col("status") == 3))
-    j = tk.join(perf, tk["id"] == perf["reporterid"], "inner")
+    j = inner_filtered(tk, t.task_performance, tk["id"] == F.col("reporterid"),
+                       (F.col("_fivetran_deleted") == F.lit(False)) & F.col("customer_device_id").isNotNull()
+                       & P.lookback("task_resolved_time", cfg.as_of, cfg.lookback_days, off))
+    assert j.count() >= perf.join(tk, tk["id"] == perf["reporterid"], "left_semi").count()
     from ticketflow.operators.dedupe import latest_per_key
     order = [F.col("created").desc_nulls_first()] + panels.FAILED_PERF_ORDER()
     lit = latest_per_key(j, ["id"], order).select("id", "customer_device_id",

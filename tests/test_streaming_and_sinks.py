@@ -28,7 +28,7 @@ def test_refresh_stamp():
 def test_run_all_and_write(spark, tables):
     out = report.run_all(tables, FIXTURE)
     try:
-        assert set(report.ALERT + report.LIVE + report.SCORE) == set(out)
+        assert set(report.ALERT + report.LIVE + report.SCORE + report.SAMPLES) == set(out)
         path = tempfile.mkdtemp(prefix="tf-panels-")
         small = {k: out[k] for k in ("assignments", "ra_weekly", "open_ages")}
         counts = write_panels(small, path, FIXTURE.as_of, "2001-08-02 09:00 IST")
@@ -45,5 +45,7 @@ def test_run_all_orders_and_caps(spark, tables):
     assert ra == ["0-7 days", "8-14 days", "15-21 days"]
     daily = [r.d for r in report.run_all(tables, FIXTURE, persist=False)["daily"].collect()]
     assert daily == sorted(daily) and len(daily) == 121
+    newest = [r.resolved_ist for r in report.run_all(tables, FIXTURE, persist=False)["after_success"].collect()]
+    assert newest == sorted(newest, reverse=True)
     labels = [r.age_bucket for r in report.run_all(tables, FIXTURE, persist=False)["live_open_ages"].collect()]
     assert labels[-1] == "Total"

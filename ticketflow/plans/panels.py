@@ -352,8 +352,7 @@ def eligible_churn(t: Tables, cfg: Config) -> DataFrame:
     """Last recharge per router (W6: LEAD(issued) IS NULL) of completed
     multi-device recharges, expired past the grace period within the lookback."""
     off = cfg.offset_minutes
-    m = t.router_user_mapping.filter((F.col("otp") == C.OTP_DONE) & (F.col("store_group_id") == 0)
-                                     & (F.col("device_limit") > 1))
+    m = P.gt(P.eq(P.eq(t.router_user_mapping, "otp", C.OTP_DONE), "store_group_id", 0), "device_limit", 1)
     last = last_events(m, "router_nas_id", "otp_issued_time", tie_cols=["otp_expiry_time"])
     e = last.filter(P.expired_before("otp_expiry_time", cfg.as_of, cfg.churn_grace_days, off)
                     & P.lookback("otp_expiry_time", cfg.as_of, cfg.expiry_lookback_days, off))
@@ -399,8 +398,7 @@ def missed_daily(t: Tables, cfg: Config) -> DataFrame:
 def last_recharge(t: Tables, cfg: Config) -> DataFrame:
     """W6 on its own: next recharge per router by LEAD, rows that have none."""
     off = cfg.offset_minutes
-    m = t.router_user_mapping.filter((F.col("otp") == C.OTP_DONE) & (F.col("store_group_id") == 0)
-                                     & (F.col("device_limit") > 1))
+    m = P.gt(P.eq(P.eq(t.router_user_mapping, "otp", C.OTP_DONE), "store_group_id", 0), "device_limit", 1)
     n = next_event(m, "router_nas_id", "otp_issued_time", value=to_local("otp_issued_time", off),
                    tie_cols=["otp_expiry_time"], out="next_recharge")
     return n.filter(F.col("next_recharge").isNull()).select(

@@ -23,6 +23,7 @@ from ..sources.fixtures import Tables
 from . import panels, summary
 
 ALERT = ("missed_puts", "assignments", "daily", "mom", "open_ages", "ra_aging", "ra_weekly", "summary")
+SAMPLES = ("after_success",)
 LIVE = ("live_mom", "live_daily", "live_open_ages")
 SCORE = ("score_mom", "score_daily", "score_open_ages")
 
@@ -68,6 +69,9 @@ def run_all(t: Tables, cfg: Config, persist: bool = True) -> dict[str, DataFrame
         "score_mom": by(panels.cohort_score_rates(t, cfg), "month"),
         "score_daily": by(panels.closed_rolling_7_score(t, cfg), "resolved_date"),
         "score_open_ages": ranked(panels.open_age_score(t, cfg), C.OPEN_BUCKETS),
+        # returned after success: newest resolution first, as in the sample
+        "after_success": sorts.newest_first(panels.returned_after_success(t, cfg), "resolved_ist",
+                                            ["task_id", "ra_returned_ist"]),
     }
 
 
