@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 from datetime import datetime, timezone
 
+from pyspark.sql import functions as F
+
 from ticketflow.config import FIXTURE
 from ticketflow.plans import panels, report
 from ticketflow.sources.sinks import refresh_stamp, write_panels
@@ -49,3 +51,21 @@ def test_run_all_orders_and_caps(spark, tables):
     assert newest == sorted(newest, reverse=True)
     labels = [r.age_bucket for r in report.run_all(tables, FIXTURE, persist=False)["live_open_ages"].collect()]
     assert labels[-1] == "Total"
+
+
+def test_job_reads_paths_and_writes_every_panel(spark, tables):
+    from ticketflow.job import run_job, source_tables
+    base = tempfile.mkdtemp(prefix="tf-src-")
+    paths = {}
+    for name in ("tasks", "task_performance", "task_logs", "router_user_mapping", "device_audit"):
+        df = getattr(tables, name)
+        cols = [c for c in df.columns]
+        from ticketflow.sources.tables import SCHEMAS
+        full = df.select(*[(df[c] if c in cols else F.lit(None).cast(f.dataType)).alias(c)
+                           for c, f in ((f.name, f) for f in SCHEMAS[name].fields)])
+        full.write.mode("overwrite").parquet(f"{base}/{name}")
+        paths[name] = f"{base}/{name}"
+    t = source_tables(spark, paths=paths)
+    t.ticket_assignments = tables.ticket_assignments
+    counts = run_job(t, FIXTURE, tempfile.mkdtemp(prefix="tf-out-"), "2001-08-02 09:00 IST")
+    assert counts["summary"] == 16 and counts["assignments"] == 31 and counts["after_success"] == 433
