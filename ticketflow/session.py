@@ -17,6 +17,10 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Times are TIMESTAMP_NTZ throughout; UTC keeps any LTZ literal honest.
     "spark.sql.session.timeZone": "UTC",
+    # Broadcast a data-sized side only when its measured (runtime) size is
+    # small; never from compile-time estimates.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
 }
 
 
@@ -29,8 +33,6 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
     "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",  # checked on runtime sizes only
-    "spark.sql.autoBroadcastJoinThreshold": "-1",  # no broadcast from compile-time guesses
 }
 
 
