@@ -47,3 +47,16 @@ def test_entry_smoke(spark):
     assert len(rows) > 0
     assert df.columns == ["d", "total_closed", "success", "failed", "success_pct", "failed_pct",
                           "success_7d", "failed_7d"]
+
+
+@pytest.mark.parametrize("name", ["latest_tickets", "first_after", "local_time_parts", "returned_after_success",
+                                  "closed_daily", "weekly_summary"])
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    """Times are wall-clock TIMESTAMP_NTZ; a session zone with daylight saving
+    (wall times in its spring-forward gap exist in the data) changes nothing."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_matches_duckdb(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

@@ -51,7 +51,7 @@ def test_missed_daily_equals_fanout_join(tables):
     e = e.join(panels.pickup_locations(t, cfg), e["router_id"] == F.col("nas_id"), "left_anti")
     a = t.device_audit.filter(P.lookback("modified_time", cfg.as_of, cfg.audit_lookback_days))
     from ticketflow.operators.dedupe import latest_per_key
-    audit = latest_per_key(a, ["device_id"], panels.AUDIT_ORDER()).select(F.col("nas_id").alias("lng_nas_id"))
+    audit = latest_per_key(a, ["device_id"], panels.audit_order()).select(F.col("nas_id").alias("lng_nas_id"))
     j = inner_fanout(e, audit, e["router_id"] == audit["lng_nas_id"])
     literal = j.groupBy(F.col("put_expected_date").alias("d")).agg(F.count(F.lit(1)).alias("missed_puts"))
     assert _bag(literal, ["d", "missed_puts"]) == _bag(panels.missed_daily(t, cfg), ["d", "missed_puts"])
@@ -67,7 +67,7 @@ def test_failed_latest_equals_join_then_window(tables):
                        & P.lookback("task_resolved_time", cfg.as_of, cfg.lookback_days, off))
     assert j.count() >= perf.join(tk, tk["id"] == perf["reporterid"], "left_semi").count()
     from ticketflow.operators.dedupe import latest_per_key
-    order = [F.col("created").desc_nulls_first()] + panels.FAILED_PERF_ORDER()
+    order = [F.col("created").desc_nulls_first()] + panels.failed_perf_order()
     lit = latest_per_key(j, ["id"], order).select("id", "customer_device_id",
                                                   local_date("task_resolved_time", off).alias("failed_date"))
     cols = ["id", "customer_device_id", "failed_date"]

@@ -47,17 +47,37 @@ def period_start(d: ColLike, unit: str) -> Column:
     return _c(d) if unit == "day" else F.trunc(_c(d), unit)
 
 
-_LABEL = {"day": "yyyy-MM-dd", "week": "yyyy-MM-dd", "month": "yyyy-MM"}
+# Text labels are cut from the value's own string form (DATE -> yyyy-MM-dd,
+# TIMESTAMP_NTZ -> yyyy-MM-dd HH:mm:ss[.ffffff]), which involves no time zone:
+# date_format would pass through the session zone and move wall times that
+# fall into a daylight-saving gap there.
+_LABEL_LEN = {"day": 10, "week": 10, "month": 7}
+
+# English month abbreviations for the 'dd MMM' week caption.
+MONTH_ABBR = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 
 
 def period_label(d: ColLike, unit: str = "day") -> Column:
-    """TO_CHAR(.., 'YYYY-MM-DD' | 'YYYY-MM')."""
-    return F.date_format(_c(d), _LABEL[unit])
+    """TO_CHAR(.., 'YYYY-MM-DD' | 'YYYY-MM') of a DATE."""
+    return F.substring(_c(d).cast("string"), 1, _LABEL_LEN[unit])
 
 
 def day_label(d: ColLike) -> Column:
     """'09 Jul' style week caption."""
-    return F.date_format(_c(d), "dd MMM")
+    months = F.array(*[F.lit(m) for m in MONTH_ABBR])
+    return F.concat(F.lpad(F.dayofmonth(_c(d)).cast("string"), 2, "0"), F.lit(" "),
+                    F.element_at(months, F.month(_c(d))))
+
+
+def ntz_text(ts: ColLike, unit: str = "minute") -> Column:
+    """A TIMESTAMP_NTZ as 'yyyy-MM-dd HH:mm' | '.. HH:mm:ss' | '.. HH:mm:ss.ffffff'."""
+    s = _c(ts).cast("string")
+    if unit == "minute":
+        return F.substring(s, 1, 16)
+    if unit == "second":
+        return F.substring(s, 1, 19)
+    frac = F.rpad(F.regexp_extract(s, r"\.(\d+)$", 1), 6, "0")
+    return F.when(s.isNotNull(), F.concat(F.substring(s, 1, 19), F.lit("."), frac))
 
 
 def age_days(d: ColLike, as_of: date) -> Column:
@@ -71,7 +91,7 @@ def iso_date(s: ColLike) -> Column:
 
 
 def minute_text(ts: ColLike) -> Column:
-    return F.date_format(_c(ts), "yyyy-MM-dd HH:mm")
+    return ntz_text(ts, "minute")
 
 
 # ---- bounds on the raw column (sargable forms of the local-time predicates)

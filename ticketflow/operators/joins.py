@@ -91,7 +91,7 @@ def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     """
     def bkt(c: Column) -> Column:
         # Monotone in time and independent of the session time zone.
-        return F.to_date(c) if bucket == "day" else F.date_format(c, "yyyy-MM-dd HH")
+        return F.to_date(c) if bucket == "day" else F.substring(c.cast("string"), 1, 13)
 
     l_in = left.withColumn("_k", F.col(left_key)).withColumn("_t", F.col(left_ts)) \
         .withColumn("_side", F.lit(1))

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE, Config
-from ..functions.timeops import day_label, minute_text, period_label
+from ..functions.timeops import day_label, minute_text, ntz_text, period_label
 from ..sources import fixtures
 from ..sources.fixtures import Tables
 from . import panels, summary
@@ -29,7 +29,7 @@ def _labels(df: DataFrame, **cols: str) -> DataFrame:
 
 
 def _micro(c: str) -> F.Column:
-    return F.date_format(F.col(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return ntz_text(c, "micro")
 
 
 def _local_time_parts(t: Tables, cfg: Config) -> DataFrame:
@@ -116,7 +116,7 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "pickup_locations": panels.pickup_locations,
     "devices_per_location": lambda t, c: panels.devices_per_location(t, c).withColumnRenamed("_devices", "devices"),
     "latest_tickets": lambda t, c: panels.latest_tickets(t, c).select(
-        "id", "status", "partner_id", F.date_format("created", "yyyy-MM-dd HH:mm:ss").alias("created")),
+        "id", "status", "partner_id", ntz_text("created", "second").alias("created")),
     "returned_after_success": _returned_after_success,
     "first_after": _first_after,
     "assignment_delay": panels.assignment_delay,
