@@ -222,3 +222,29 @@ def test_last_full_weeks():
         ("W-3", "2001-07-09", "2001-07-15"), ("W-2", "2001-07-16", "2001-07-22"), ("W-1", "2001-07-23", "2001-07-29")]
     assert last_full_weeks(date(2001, 7, 30), 1)[0][1] == date(2001, 7, 23)  # a Monday as-of
 
+
+
+def test_iso_date_and_bad_json_count(spark):
+    from ticketflow.functions.timeops import iso_date
+    from ticketflow.operators.checks import bad_json
+    df = spark.createDataFrame([("2025-11-03T10:00:00",), ("2025-11-03",), (None,)], "s string")
+    assert [r.d for r in df.select(iso_date("s").alias("d")).collect()] == [date(2025, 11, 3), date(2025, 11, 3), None]
+    j = spark.createDataFrame([("{}",), ("oops",), (None,), ('{"a": 1}',)], "s string")
+    assert bad_json(j, "s").first().bad_json == 1
+
+
+def test_weekly_operators_over_days_present(spark):
+    from ticketflow.operators import weekly as W
+    days = [(date(2025, 11, 3), 10, 2, 8), (date(2025, 11, 4), 11, 1, 4),   # week of 3 Nov, 2 days present
+            (date(2025, 11, 12), 4, 0, 0)]                                  # week of 10 Nov, den 0
+    df = spark.createDataFrame(days, "d date, v long, n long, t long")
+    avg = {r.week_start: r.a for r in W.avg_per_day(df, "d", "v", "a").collect()}
+    assert avg == {date(2025, 11, 3): 10.0, date(2025, 11, 10): 4.0}     # 10.5 -> half-even 10
+    rat = {r.week_start: r.p for r in W.ratio(df, "d", "n", "t", "p").collect()}
+    assert rat == {date(2025, 11, 3): 25.0, date(2025, 11, 10): None}
+    assert W.baseline_ratio(df, "d", "n", "t", date(2025, 11, 1), date(2025, 11, 30)).first().baseline == 25.0
+    assert W.baseline_avg(df, "d", "v", date(2026, 1, 1), date(2026, 1, 31)).first().baseline is None
+    tot = W.total(spark.createDataFrame([(1, None), (2, 5), (2, 6)], "w int, x long"), ["w"], "x", "s")
+    assert {r.w: r.s for r in tot.collect()} == {1: None, 2: 11}
+    per = W.slot_sums(df, "d", ["v"], date(2025, 11, 20), 2, (date(2025, 11, 1), date(2025, 11, 3)))
+    assert {r.slot: (r._days, r.v) for r in per.collect()} == {2: (2, 21), 1: (1, 4), 0: (1, 10)}

@@ -17,6 +17,7 @@ from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from ..functions.rates import pct, round_even
 from ..functions.timeops import day_label
+from .filters import in_range
 
 
 def last_full_weeks(as_of: date, n: int = 3) -> list[tuple[str, date, date]]:
@@ -60,22 +61,23 @@ def ratio(daily: DataFrame, d: str, num: str, den: str, name: str = "pct",
             .drop("_num", "_den"))
 
 
-def total(df: DataFrame, week_col: str, value: str, name: str = "total") -> DataFrame:
-    """Per week: sum of ``value``."""
-    return df.groupBy(week_col).agg(F.sum(F.coalesce(F.col(value), F.lit(0))).cast("bigint").alias(name))
+def total(df: DataFrame, by: Sequence[str], value: str, name: str = "total") -> DataFrame:
+    """Per group: sum of ``value``; NULL when the group has no value (a week
+    without rows stays empty rather than 0)."""
+    return df.groupBy(*by).agg(F.sum(F.col(value)).cast("bigint").alias(name))
 
 
 def baseline_avg(daily: DataFrame, d: str, value: str, start: date, end: date,
                  name: str = "baseline") -> DataFrame:
     """Mean over the days present in [start, end], 0 decimals; NULL if none."""
-    return (daily.filter(F.col(d).between(F.lit(start), F.lit(end)))
+    return (daily.filter(in_range(d, start, end))
             .agg(round_even(F.avg(F.coalesce(F.col(value), F.lit(0))), 0).alias(name)))
 
 
 def baseline_ratio(daily: DataFrame, d: str, num: str, den: str, start: date, end: date,
                    name: str = "baseline", digits: int = 1) -> DataFrame:
     """sum(num) * 100 / sum(den) over [start, end]; NULL if the sum of den is 0."""
-    return (daily.filter(F.col(d).between(F.lit(start), F.lit(end)))
+    return (daily.filter(in_range(d, start, end))
             .agg(F.sum(F.coalesce(F.col(num), F.lit(0))).alias("_num"),
                  F.sum(F.coalesce(F.col(den), F.lit(0))).alias("_den"))
             .select(pct("_num", "_den", digits).alias(name)))

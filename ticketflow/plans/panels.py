@@ -22,9 +22,9 @@ from ..config import Config
 from ..functions import jsonops
 from ..functions.buckets import age_bucket
 from ..functions.rates import closed_rate, pct
-from ..functions.timeops import age_days, local_date, period_start, to_local
+from ..functions.timeops import add_days, age_days, local_date, period_start, to_local
 from ..operators import filters as P
-from ..operators.agg import outcome_counts, weighted_counts
+from ..operators.agg import count_by, outcome_counts, weighted_counts
 from ..operators.dedupe import existing_keys, latest_per_key
 from ..operators.joins import exists_flag, first_after, match_counts, missing_followups, with_latest
 from ..operators.windows import last_events, next_event, rolling_sums
@@ -100,7 +100,7 @@ def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi) -> DataFrame:
         "failed": st == C.STATUS_FAILED,
         "router_recovered": ok & (rt == C.RES_ROUTER),
         "customer_recovered": ok & (rt == C.RES_CUSTOMER),
-        "general_success": ok & ((rt == C.RES_GENERAL) | rt.isNull()),
+        "general_success": ok & P.any_of(rt == C.RES_GENERAL, P.is_null(rt)),
     })
 
 
@@ -183,7 +183,7 @@ def cohort_status(t: Tables, cfg: Config) -> DataFrame:
     return outcome_counts(lt, ["month"], "total_created", {
         "success": st == C.STATUS_SUCCESS,
         "failed": st == C.STATUS_FAILED,
-        "open_tickets": st.isin(*C.STATUS_OPEN),
+        "open_tickets": P.in_set(st, C.STATUS_OPEN),
     })
 
 
@@ -245,7 +245,7 @@ def open_age_status(t: Tables, cfg: Config) -> DataFrame:
     start date, by age bucket."""
     off = cfg.offset_minutes
     lt = latest_tickets(t, cfg, ("id", "created", "status")).filter(
-        F.col("status").isin(*C.STATUS_OPEN) & P.local_date_between("created", cfg.cohort_start, None, off))
+        P.in_set("status", C.STATUS_OPEN) & P.local_date_between("created", cfg.cohort_start, None, off))
     b = age_bucket(age_days(local_date("created", off), cfg.as_of), C.OPEN_BUCKETS)
     return lt.groupBy(b.alias("age_bucket")).agg(F.count(F.lit(1)).alias("open_tickets"))
 
@@ -275,7 +275,7 @@ def failed_latest(t: Tables, cfg: Config) -> DataFrame:
     failed_ids = existing_keys(
         t.tasks.filter((F.col("type") == C.TICKET_TYPE) & (F.col("status") == C.STATUS_FAILED)), "id")
     perf = P.not_deleted(t.task_performance).filter(
-        F.col("customer_device_id").isNotNull()
+        P.not_null("customer_device_id")
         & P.lookback("task_resolved_time", cfg.as_of, cfg.lookback_days, off))
     best = latest_per_key(perf.select("reporterid", "customer_device_id", "task_resolved_time"),
                           ["reporterid"], failed_perf_order())
@@ -317,7 +317,7 @@ def ra_weekly(t: Tables, cfg: Config) -> DataFrame:
     off = cfg.offset_minutes
     a = ra_audit(t).filter(P.lookback("modified_time", cfg.as_of, cfg.lookback_days, off))
     wk = period_start(local_date("modified_time", off), "week")
-    return a.groupBy(wk.alias("week_start")).agg(F.count(F.lit(1)).alias("ra_returns"))
+    return count_by(a, [wk.alias("week_start")], "ra_returns")
 
 
 # ---------------------------------------------------------------- assignments
@@ -328,7 +328,7 @@ def assigned_daily(t: Tables, cfg: Config) -> DataFrame:
     off = cfg.offset_minutes
     lg = P.eq(t.task_logs, "event_name", C.ASSIGN_EVENT).filter(
         P.lookback("added_time", cfg.as_of, cfg.lookback_days))
-    return lg.groupBy(local_date("added_time", off).alias("d")).agg(F.count(F.lit(1)).alias("assigned"))
+    return count_by(lg, [local_date("added_time", off).alias("d")], "assigned")
 
 
 @shared
@@ -357,8 +357,7 @@ def eligible_churn(t: Tables, cfg: Config) -> DataFrame:
     last = last_events(m, "router_nas_id", "otp_issued_time", tie_cols=["otp_expiry_time"])
     e = last.filter(P.expired_before("otp_expiry_time", cfg.as_of, cfg.churn_grace_days, off)
                     & P.lookback("otp_expiry_time", cfg.as_of, cfg.expiry_lookback_days, off))
-    expected = F.to_date(F.timestamp_add("DAY", F.lit(cfg.expected_after_days),
-                                         to_local("otp_expiry_time", off)))
+    expected = F.to_date(add_days(to_local("otp_expiry_time", off), cfg.expected_after_days, is_date=False))
     return e.select(F.col("router_nas_id").alias("router_id"), "mobile",
                     to_local("otp_expiry_time", off).alias("expire_ist"),
                     expected.alias("put_expected_date"))
@@ -420,7 +419,7 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     off = cfg.offset_minutes
     lo = cfg.as_of - timedelta(days=cfg.after_success_days)
     p = P.not_deleted(t.task_performance).filter(
-        (F.col("score") == C.SCORE_RECOVERED) & F.col("customer_device_id").isNotNull()
+        (F.col("score") == C.SCORE_RECOVERED) & P.not_null("customer_device_id")
         & P.local_date_between("task_resolved_time", lo, cfg.as_of, off))
     p = p.select("reporterid", "customer_device_id", "task_resolution_type", "score", "task_resolved_time")
     ra = ra_audit(t).select("device_id", "modified_time")

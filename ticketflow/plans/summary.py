@@ -81,8 +81,7 @@ def weekly_ra_total(t: Tables, cfg: Config) -> DataFrame:
     """RA returns in each of the last complete weeks (NULL if none)."""
     wk = weeks(t, cfg)
     ra = panels.ra_weekly(t, cfg)
-    return (F.broadcast(wk).join(ra, "week_start", "left")
-            .groupBy("slot", "week_start").agg(F.sum("ra_returns").cast("bigint").alias("ra_returns")))
+    return W.total(F.broadcast(wk).join(ra, "week_start", "left"), ["slot", "week_start"], "ra_returns", "ra_returns")
 
 
 @shared
