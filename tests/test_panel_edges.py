@@ -90,3 +90,14 @@ def test_ra_ageing_return_before_failure_counts_and_lco_does_not(spark):
     t = _tables(spark, tasks=tasks, perf=perf_rows, audit=audit)
     got = {r.age_bucket: (r.total_failed, r.ra_picked, r.still_pending) for r in panels.ra_ageing(t, CFG).collect()}
     assert got == {"8-14 days": (3, 1, 2)}
+
+
+def test_cohort_pruning_before_the_window_keeps_latest_version_semantics(spark):
+    tasks = [task(1, "2025-10-01 00:00", 3), task(1, "2025-11-05 00:00", 0),   # older version before the start
+             task(2, "2025-11-05 00:00", 0), task(2, None, 2),                 # NULL created is the latest
+             task(3, "2025-10-01 00:00", 0)]                                   # entirely before the start
+    t = _tables(spark, tasks=tasks)
+    ages = {r.age_bucket: r.open_tickets for r in panels.open_age_status(t, CFG).collect()}
+    assert ages == {"21+ days": 1}
+    m = [(r.month, r.total_created, r.open_tickets) for r in panels.cohort_status(t, CFG).collect()]
+    assert m == [(date(2025, 11, 1), 1, 1)]

@@ -61,10 +61,20 @@ def failed_perf_order():
 # ---------------------------------------------------------------- shared inputs
 
 @shared
-def latest_tickets(t: Tables, cfg: Config, cols=("id", "created", "status", "partner_id")) -> DataFrame:
+def latest_tickets(t: Tables, cfg: Config, cols=("id", "created", "status", "partner_id"),
+                   created_from=None) -> DataFrame:
     """Latest version of every pickup ticket (type filter before the window,
-    status filters after it)."""
+    status filters after it).
+
+    ``created_from`` (a local date) serves panels that keep only tickets whose
+    latest version was created on or after it: versions created earlier can
+    never be that latest version, so they are dropped before the window (a raw
+    range that reaches the scan and prunes date partitions).  NULL times stay,
+    since NULL sorts as the latest."""
     src = P.eq(t.tasks, "type", C.TICKET_TYPE).select(*cols)
+    if created_from is not None:
+        src = src.filter(P.is_null("created")
+                         | P.local_date_between("created", created_from, None, cfg.offset_minutes))
     return latest_per_key(src, ["id"], ticket_order())
 
 
@@ -176,7 +186,7 @@ def cohort_status(t: Tables, cfg: Config) -> DataFrame:
     """alert.Q3b / live.Q1: latest versions created in [start, as_of - 21 days],
     by local creation month."""
     off = cfg.offset_minutes
-    lt = latest_tickets(t, cfg, ("id", "created", "status")).filter(
+    lt = latest_tickets(t, cfg, ("id", "created", "status"), cfg.cohort_start).filter(
         P.matured("created", cfg.as_of, cfg.cohort_start, cfg.maturity_days, off))
     lt = lt.select("status", period_start(local_date("created", off), "month").alias("month"))
     st = F.col("status")
@@ -244,7 +254,7 @@ def open_age_status(t: Tables, cfg: Config) -> DataFrame:
     """alert.Q4 / live.Q3: latest version open (status 0/1), created since the
     start date, by age bucket."""
     off = cfg.offset_minutes
-    lt = latest_tickets(t, cfg, ("id", "created", "status")).filter(
+    lt = latest_tickets(t, cfg, ("id", "created", "status"), cfg.cohort_start).filter(
         P.in_set("status", C.STATUS_OPEN) & P.local_date_between("created", cfg.cohort_start, None, off))
     b = age_bucket(age_days(local_date("created", off), cfg.as_of), C.OPEN_BUCKETS)
     return lt.groupBy(b.alias("age_bucket")).agg(F.count(F.lit(1)).alias("open_tickets"))

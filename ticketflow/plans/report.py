@@ -1,9 +1,9 @@
 """Whole refreshes: the alert job's panels plus the live and score jobs'.
 
 ``run_all`` returns lazy DataFrames keyed by the payload names the reference
-uses; the inputs several panels share (latest ticket versions, per-day
-closures, failed tickets) are persisted once for the refresh and released by
-``release``.  A lost executor only means those blocks are rebuilt from their
+uses; the inputs several panels share (latest versions of tickets created
+since the cohort start, per-day closures, failed tickets) are persisted once
+for the refresh and released by ``release``.  A lost executor only means those blocks are rebuilt from their
 short lineage (one scan and one window each).
 """
 
@@ -31,7 +31,7 @@ SCORE = ("score_mom", "score_daily", "score_open_ages")
 def shared_inputs(t: Tables, cfg: Config) -> list[DataFrame]:
     lo = cfg.as_of - timedelta(days=cfg.lookback_days)
     return [
-        panels.latest_tickets(t, cfg, ("id", "created", "status")),
+        panels.latest_tickets(t, cfg, ("id", "created", "status"), cfg.cohort_start),
         panels.closed_outcomes_daily(t, cfg, lo, cfg.as_of),
         panels.failed_latest(t, cfg),
     ]
