@@ -49,7 +49,8 @@ def assigned_daily_stream(events: DataFrame, offset_minutes: int, since: date |
 
 def start_assigned_daily(spark: SparkSession, source: str, checkpoint: str | None, cfg: C.Config,
                          sink: str = "memory", name: str = "assigned_daily",
-                         available_now: bool = True) -> StreamingQuery:
+                         available_now: bool = True, path: str | None = None,
+                         output_mode: str | None = None) -> StreamingQuery:
     """Read the task log folder as a stream and keep the per-day counts up to
     date in ``sink`` (a memory table named ``name`` for checks, or any sink).
     Progress is kept under ``checkpoint`` (default: the cluster's shared
@@ -59,7 +60,12 @@ def start_assigned_daily(spark: SparkSession, source: str, checkpoint: str | Non
     src = spark.readStream.schema(TASK_LOGS).parquet(source)
     since = date.fromordinal(cfg.as_of.toordinal() - cfg.lookback_days)
     out = assigned_daily_stream(src, cfg.offset_minutes, since)
-    w = out.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+    # File sinks only append: a day is written once the watermark has passed
+    # it.  Memory / console / foreachBatch sinks take updates as they come.
+    mode = output_mode or ("append" if sink in ("parquet", "json", "orc", "csv") else "update")
+    w = out.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     w = w.format(sink).queryName(name) if sink == "memory" else w.format(sink)
+    if path is not None:
+        w = w.option("path", path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
