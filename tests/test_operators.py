@@ -248,3 +248,15 @@ def test_weekly_operators_over_days_present(spark):
     assert {r.w: r.s for r in tot.collect()} == {1: None, 2: 11}
     per = W.slot_sums(df, "d", ["v"], date(2025, 11, 20), 2, (date(2025, 11, 1), date(2025, 11, 3)))
     assert {r.slot: (r._days, r.v) for r in per.collect()} == {2: (2, 21), 1: (1, 4), 0: (1, 10)}
+
+
+def test_exact_median_equals_percentile(spark):
+    from ticketflow.operators.agg import exact_median
+    rnd = random.Random(13)
+    for n in (1, 2, 7, 1000, 1001):
+        vals = [rnd.randrange(-5000, 200000) for _ in range(n)] + [None]
+        df = spark.createDataFrame([(x,) for x in vals], "v long")
+        want = df.agg(F.median("v").alias("m")).first().m
+        assert exact_median(df, "v", 3600).first().median == want
+    empty = spark.createDataFrame([], "v long")
+    assert exact_median(empty, "v").first().median is None

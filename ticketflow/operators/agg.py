@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.buckets import Buckets, bucket_frame
@@ -57,3 +57,42 @@ def with_total(df: DataFrame, dim: str, measures: Sequence[str], label: str = "T
     return (df.rollup(dim).agg(*aggs, F.grouping(dim).alias("_g"))
             .withColumn(dim, F.when(F.col("_g") == 1, F.lit(label)).otherwise(F.col(dim)))
             .drop("_g"))
+
+
+def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "median") -> DataFrame:
+    """Exact median of an integer column (the mean of the two middle values for
+    an even count, as percentile_cont(0.5)); one row, NULL for no values.
+
+    Two histogram passes keep every piece of state bounded: counts per coarse
+    bucket of ``width`` units locate the buckets holding the middle ranks
+    (cumulative sums over the histogram, whose size is the value range divided
+    by ``width``), then counts per distinct value inside those at most two
+    buckets (at most ``width`` values each) pick the values.  No task ever
+    holds the values themselves.
+    """
+    v = df.select(F.col(value).cast("long").alias("_v")).filter(F.col("_v").isNotNull()) \
+        .withColumn("_b", F.floor(F.col("_v") / F.lit(width)))
+    hist = v.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    cum = F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("_c").over(Window.partitionBy())
+    hist = hist.select("_b", "_c", cum.alias("_cum"), total.alias("_n"))
+    lo = F.floor((F.col("_n") - 1) / 2) + 1  # 1-based ranks of the middle values
+    hi = F.floor(F.col("_n") / 2) + 1
+    before = F.col("_cum") - F.col("_c")
+
+    def holds(rank: Column) -> Column:
+        return (before < rank) & (F.col("_cum") >= rank)
+
+    hit = hist.filter(holds(lo) | holds(hi)).select("_b", before.alias("_before"), lo.alias("_lo"),
+                                                    hi.alias("_hi"))
+    # ``hit`` has at most two rows, so broadcasting it is bounded by construction.
+    fine = v.join(F.broadcast(hit), "_b").groupBy("_b", "_v", "_before", "_lo", "_hi") \
+        .agg(F.count(F.lit(1)).alias("_c"))
+    end = F.col("_before") + F.sum("_c").over(
+        Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    fine = fine.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c") + 1)
+
+    def value_at(rank: str) -> Column:
+        return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) <= F.col("_end")), F.col("_v")))
+
+    return fine.agg(((value_at("_lo") + value_at("_hi")) / F.lit(2.0)).alias(name))
