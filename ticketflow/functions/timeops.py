@@ -27,14 +27,25 @@ def ntz(value: datetime | date) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(TimestampNTZType())
 
 
-def to_local(ts: ColLike, minutes: int) -> Column:
+def minutes(n: int | Column) -> Column:
+    """A day-time interval of ``n`` minutes.  Adding it to a TIMESTAMP_NTZ is a
+    plain microsecond addition (a literal ``n`` folds to an interval literal),
+    cheaper per row than ``timestamp_add`` and identical on wall-clock times."""
+    return F.make_dt_interval(mins=n if isinstance(n, Column) else F.lit(n))
+
+
+def days(n: int | Column) -> Column:
+    return F.make_dt_interval(days=n if isinstance(n, Column) else F.lit(n))
+
+
+def to_local(ts: ColLike, minutes_: int) -> Column:
     """UTC wall time -> local wall time (DATEADD(minute, n, ts))."""
-    return F.timestamp_add("MINUTE", F.lit(minutes), _c(ts))
+    return _c(ts) + minutes(minutes_)
 
 
 def add_days(c: ColLike, n: int, is_date: bool = True) -> Column:
     """DATEADD(day, n, x) keeping the input type (date stays date)."""
-    return F.date_add(_c(c), n) if is_date else F.timestamp_add("DAY", F.lit(n), _c(c))
+    return F.date_add(_c(c), n) if is_date else _c(c) + days(n)
 
 
 def local_date(ts: ColLike, minutes: int) -> Column:

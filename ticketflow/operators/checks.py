@@ -13,7 +13,7 @@ def constant_offset(df: DataFrame, a: str, b: str, minutes: int) -> DataFrame:
     A column pair where every row differs by the local-time shift points to one
     instant shifted twice.  Returns rows, matching, share (0..1)."""
     diff = F.timestamp_diff("MINUTE", F.col(a), F.col(b))
-    exact = (diff == minutes) & (F.timestamp_add("MINUTE", F.lit(minutes), F.col(a)) == F.col(b))
+    exact = (diff == minutes) & (F.col(a) + F.make_dt_interval(mins=F.lit(minutes)) == F.col(b))
     return df.agg(F.count(F.lit(1)).alias("rows"),
                   F.count_if(exact).alias("matching")) \
         .withColumn("share", F.col("matching") / F.greatest(F.col("rows"), F.lit(1)))

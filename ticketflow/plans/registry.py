@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE, Config
-from ..functions.timeops import day_label, minute_text, ntz_text, period_label
+from ..functions.timeops import day_label, local_date, minute_text, ntz_text, period_label
 from ..sources import fixtures
 from ..sources.fixtures import Tables
 from . import panels, summary
@@ -33,7 +33,7 @@ def _micro(c: str) -> F.Column:
 
 
 def _local_time_parts(t: Tables, cfg: Config) -> DataFrame:
-    d = F.to_date(F.timestamp_add("MINUTE", F.lit(cfg.offset_minutes), F.col("added_time")))
+    d = local_date("added_time", cfg.offset_minutes)
     wk = F.trunc(d, "week")
     return (t.task_logs.groupBy(period_label(d, "day").alias("d"), period_label(wk, "week").alias("week_start"),
                                 period_label(F.trunc(d, "month"), "month").alias("month"),

@@ -17,14 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ASSIGN_EVENT, TICKET_TYPE
+from ..functions.timeops import days, minutes
 
 
 def _mins(ts: Column, n: Column) -> Column:
-    return F.timestamp_add("MINUTE", n, ts)
+    return ts + minutes(n.cast("int"))
 
 
-def _days(ts: Column, n: int) -> Column:
-    return F.timestamp_add("DAY", F.lit(n), ts)
+def _days(ts: Column, n: int | Column) -> Column:
+    return ts + days(n.cast("int") if isinstance(n, Column) else n)
 
 
 @dataclass
@@ -121,7 +122,7 @@ def router_user_mapping(events: DataFrame) -> DataFrame:
         F.when(e % 17 == 0, F.lit(1)).otherwise(F.lit(0)).alias("store_group_id"),
         (e % 5 + 1).cast("int").alias("device_limit"),
         issued.alias("otp_issued_time"),
-        F.timestamp_add("DAY", (e % 14 + 1), issued).alias("otp_expiry_time"),
+        _days(issued, e % 14 + 1).alias("otp_expiry_time"),
     )
 
 

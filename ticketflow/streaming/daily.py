@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import config as C
-from ..functions.timeops import ntz
+from ..functions.timeops import ntz, to_local
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import TASK_LOGS
 
@@ -42,7 +42,7 @@ def assigned_daily_stream(events: DataFrame, offset_minutes: int, since: date |
     e = e.withColumn("_et", F.col("added_time").cast("timestamp")).withWatermark("_et", late)
     w = F.window("_et", "1 day", "1 day", _window_start(offset_minutes))
     start = F.col("window.start").cast("timestamp_ntz")
-    local_day = F.to_date(F.timestamp_add("MINUTE", F.lit(offset_minutes), start))
+    local_day = F.to_date(to_local(start, offset_minutes))
     return (e.groupBy(w.alias("window")).agg(F.count(F.lit(1)).alias("assigned"))
             .select(local_day.alias("d"), "assigned"))
 
