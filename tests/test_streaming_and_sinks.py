@@ -81,3 +81,14 @@ def test_stream_to_files_appends_closed_days(spark, tables):
     want = sorted((r.d, r.assigned) for r in panels.assigned_daily(tables, FIXTURE).collect())
     # every day closed by the watermark (2 days behind the newest event) is final and exact
     assert got and set(got) <= set(want) and len(got) >= len(want) - 3
+
+
+def test_report_with_shared_inputs_equals_plain_panels(spark, tables):
+    plain = {k: sorted(tuple(r) for r in df.collect())
+             for k, df in report.run_all(tables, FIXTURE, persist=False).items() if k in ("summary", "daily")}
+    out = report.run_all(tables, FIXTURE)
+    try:
+        for k, rows in plain.items():
+            assert sorted(tuple(r) for r in out[k].collect()) == rows
+    finally:
+        report.release(tables, FIXTURE)

@@ -2,8 +2,9 @@
 
 ``run_all`` returns lazy DataFrames keyed by the payload names the reference
 uses; the inputs several panels share (latest versions of tickets created
-since the cohort start, per-day closures, failed tickets) are persisted once
-for the refresh and released by ``release``.  A lost executor only means those blocks are rebuilt from their
+since the cohort start, per-day closures, failed tickets) and the small
+per-day / per-bucket panels the weekly summary reads again are persisted
+once for the refresh and released by ``release``.  A lost executor only means those blocks are rebuilt from their
 short lineage (one scan and one window each).
 """
 
@@ -31,9 +32,15 @@ SCORE = ("score_mom", "score_daily", "score_open_ages")
 def shared_inputs(t: Tables, cfg: Config) -> list[DataFrame]:
     lo = cfg.as_of - timedelta(days=cfg.lookback_days)
     return [
+        # inputs of several panels
         panels.latest_tickets(t, cfg, ("id", "created", "status"), cfg.cohort_start),
         panels.closed_outcomes_daily(t, cfg, lo, cfg.as_of),
         panels.failed_latest(t, cfg),
+        # small per-day / per-bucket panels the weekly summary reads again
+        panels.missed_daily(t, cfg),
+        panels.assigned_daily(t, cfg),
+        panels.open_age_status(t, cfg),
+        panels.ra_ageing(t, cfg),
     ]
 
 
