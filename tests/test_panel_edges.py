@@ -101,3 +101,10 @@ def test_cohort_pruning_before_the_window_keeps_latest_version_semantics(spark):
     assert ages == {"21+ days": 1}
     m = [(r.month, r.total_created, r.open_tickets) for r in panels.cohort_status(t, CFG).collect()]
     assert m == [(date(2025, 11, 1), 1, 1)]
+
+
+def test_after_success_same_with_hour_buckets(spark, tables):
+    from ticketflow.config import FIXTURE
+    day = sorted(tuple(r) for r in panels.returned_after_success(tables, FIXTURE).collect())
+    hour = sorted(tuple(r) for r in panels.returned_after_success(tables, FIXTURE.replace(asof_bucket="hour")).collect())
+    assert day == hour and len(day) == 433

@@ -95,6 +95,7 @@ class Config:
     rolling_rows: int = 7
     n_weeks: int = 3
     after_success_days: int = 60
+    asof_bucket: str = "day"  # time bucket of the as-of join: "day", or "hour" for very hot devices
     max_rows: int | None = None  # the reference's per-statement row cap is 10000
 
     def replace(self, **kw) -> "Config":

@@ -440,7 +440,7 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     p = p.select("reporterid", "customer_device_id", "task_resolution_type", "score", "task_resolved_time")
     ra = ra_audit(t).select("device_id", "modified_time")
     fa = first_after(p, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",
-                     out="ra_time").filter(F.col("ra_time").isNotNull())
+                     out="ra_time", bucket=cfg.asof_bucket).filter(F.col("ra_time").isNotNull())
     lt = latest_tickets(t, cfg)
     fa = fa.join(lt, fa["reporterid"] == lt["id"], "inner")
     return fa.select(
