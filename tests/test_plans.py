@@ -51,3 +51,46 @@ def test_no_cartesian_or_python_udf(spark, name):
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert bad not in text, f"{name}: {bad}"
+
+
+MAIN_TIME = {"tasks": "created", "task_performance": "task_resolved_time", "task_logs": "added_time",
+             "router_user_mapping": "otp_issued_time", "device_audit": "modified_time"}
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    from ticketflow.sources import fixtures
+    from conftest import SMALL
+    return fixtures.load(spark, SMALL)
+
+
+@pytest.fixture(scope="module")
+def partitioned(spark, small):
+    """The five ticket tables stored partitioned by the UTC date of their main time column."""
+    from ticketflow.sources.fixtures import Tables
+    tables = small
+    from ticketflow.sources.tables import SCHEMAS, read, write_partitioned
+    from pyspark.sql import functions as F
+    base = tempfile.mkdtemp(prefix="tf-parts-")
+    out = {}
+    for name, ts in MAIN_TIME.items():
+        df = getattr(tables, name)
+        full = df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
+                           for f in SCHEMAS[name].fields])
+        write_partitioned(full, f"{base}/{name}", ts)
+        out[name] = read(spark, name, f"{base}/{name}")
+    return Tables(ticket_assignments=tables.ticket_assignments, **out)
+
+
+@pytest.mark.parametrize("panel,part", [("assigned_daily", "added_time__date"),
+                                        ("closed_daily", "task_resolved_time__date"),
+                                        ("ra_weekly", "modified_time__date"),
+                                        ("open_age_status", "created__date")])
+def test_time_ranges_prune_date_partitions(spark, small, partitioned, panel, part):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    df = getattr(panels, panel)(partitioned, FIXTURE)
+    text = df._jdf.queryExecution().executedPlan().toString()
+    filters = [seg.split("]")[0] for seg in text.split("PartitionFilters: [")[1:]]
+    assert any(f"({part}" in f and ">=" in f for f in filters), filters
+    want = sorted(tuple(r) for r in getattr(panels, panel)(small, FIXTURE).collect())
+    assert sorted(tuple(r) for r in df.collect()) == want

@@ -8,7 +8,7 @@ prune date partitions; the result is the same as filtering the shifted value.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -88,3 +88,51 @@ def matured(created: ColLike, as_of: date, start: date, days: int, minutes: int)
 
 def in_range(d: ColLike, start: date, end: date) -> Column:
     return _c(d).between(F.lit(start), F.lit(end))
+
+
+# ---- DataFrame-level ranges on a fact table's time column, partition-aware
+
+def partition_column(ts: str) -> str:
+    """Name of the date partition column derived from time column ``ts``
+    (see ``sources.tables.write_partitioned``)."""
+    return f"{ts}__date"
+
+
+def in_window(df: DataFrame, ts: str, start: datetime | None, end: datetime | None,
+              keep_null: bool = False) -> DataFrame:
+    """Rows with start <= ts < end on the raw column (and rows with a NULL ts
+    when ``keep_null``).  When ``df`` is stored partitioned by the UTC date of
+    ``ts``, the same bounds are put on that partition column, so whole date
+    partitions are skipped, not just row groups."""
+    c = F.col(ts)
+    cond = c.isNotNull()
+    if start is not None:
+        cond = cond & (c >= ntz(start))
+    if end is not None:
+        cond = cond & (c < ntz(end))
+    if keep_null:
+        cond = cond | c.isNull()
+    part = partition_column(ts)
+    if part in df.columns:
+        d = F.col(part)
+        pcond = d.isNotNull()
+        if start is not None:
+            pcond = pcond & (d >= F.lit(start.date()))
+        if end is not None:
+            pcond = pcond & (d <= F.lit((end - timedelta(microseconds=1)).date()))
+        if keep_null:
+            pcond = pcond | d.isNull()
+        cond = cond & pcond
+    return df.filter(cond)
+
+
+def on_local_days(df: DataFrame, ts: str, lo: date | None, hi: date | None, minutes: int,
+                  keep_null: bool = False) -> DataFrame:
+    """Rows whose local day (ts + minutes) is in [lo, hi]; see ``in_window``."""
+    start, end = raw_range_for_local_days(lo, hi, minutes)
+    return in_window(df, ts, start, end, keep_null)
+
+
+def since(df: DataFrame, ts: str, as_of: date, days: int, minutes: int = 0) -> DataFrame:
+    """Rows with ts (+ minutes) >= as_of - days at midnight; see ``in_window``."""
+    return in_window(df, ts, local_midnight_utc(as_of - timedelta(days=days), minutes), None)

@@ -71,11 +71,10 @@ def latest_tickets(t: Tables, cfg: Config, cols=("id", "created", "status", "par
     never be that latest version, so they are dropped before the window (a raw
     range that reaches the scan and prunes date partitions).  NULL times stay,
     since NULL sorts as the latest."""
-    src = P.eq(t.tasks, "type", C.TICKET_TYPE).select(*cols)
+    src = P.eq(t.tasks, "type", C.TICKET_TYPE)
     if created_from is not None:
-        src = src.filter(P.is_null("created")
-                         | P.local_date_between("created", created_from, None, cfg.offset_minutes))
-    return latest_per_key(src, ["id"], ticket_order())
+        src = P.on_local_days(src, "created", created_from, None, cfg.offset_minutes, keep_null=True)
+    return latest_per_key(src.select(*cols), ["id"], ticket_order())
 
 
 def live_performance(t: Tables, pickup_only: bool = True) -> DataFrame:
@@ -99,7 +98,7 @@ def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi) -> DataFrame:
     """alert.Q3 + alert.Q3c in one aggregate: performance rows resolved on local
     days [lo, hi], outcome from the latest ticket version (status-based)."""
     off = cfg.offset_minutes
-    p = live_performance(t).filter(P.local_date_between("task_resolved_time", lo, hi, off))
+    p = P.on_local_days(live_performance(t), "task_resolved_time", lo, hi, off)
     p = p.select("reporterid", "task_resolution_type",
                  local_date("task_resolved_time", off).alias("d"))
     j = with_latest(p, latest_tickets(t, cfg, ("id", "created", "status")), "reporterid", "id", ["status"])
@@ -166,8 +165,7 @@ def _live_daily_rates(d: DataFrame, cfg: Config) -> DataFrame:
 def closed_daily_score(t: Tables, cfg: Config) -> DataFrame:
     """score.Q2: performance rows only, outcome from the score."""
     off = cfg.offset_minutes
-    p = live_performance(t).filter(
-        P.local_date_between("task_resolved_time", cfg.cohort_start, cfg.as_of, off))
+    p = P.on_local_days(live_performance(t), "task_resolved_time", cfg.cohort_start, cfg.as_of, off)
     p = p.select("score", local_date("task_resolved_time", off).alias("resolved_date"))
     sc = F.col("score")
     return outcome_counts(p, ["resolved_date"], "total_resolved", {
@@ -210,8 +208,7 @@ def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi) -> DataFrame:
     """Every pickup ticket row (versions not deduplicated) created on local days
     [lo, hi], with per-ticket counts of its live performance rows."""
     off = cfg.offset_minutes
-    tk = P.eq(t.tasks, "type", C.TICKET_TYPE).filter(
-        P.local_date_between("created", lo, hi, off)).select("id", "created")
+    tk = P.on_local_days(P.eq(t.tasks, "type", C.TICKET_TYPE), "created", lo, hi, off).select("id", "created")
     # Only performance rows of these tickets are counted: the semi join runs
     # before any shuffle of the performance table when the ticket side is
     # small enough for AQE to broadcast, and keeps old tickets' rows out.
@@ -284,9 +281,8 @@ def failed_latest(t: Tables, cfg: Config) -> DataFrame:
     off = cfg.offset_minutes
     failed_ids = existing_keys(
         t.tasks.filter((F.col("type") == C.TICKET_TYPE) & (F.col("status") == C.STATUS_FAILED)), "id")
-    perf = P.not_deleted(t.task_performance).filter(
-        P.not_null("customer_device_id")
-        & P.lookback("task_resolved_time", cfg.as_of, cfg.lookback_days, off))
+    perf = P.since(P.not_deleted(t.task_performance), "task_resolved_time", cfg.as_of, cfg.lookback_days, off) \
+        .filter(P.not_null("customer_device_id"))
     best = latest_per_key(perf.select("reporterid", "customer_device_id", "task_resolved_time"),
                           ["reporterid"], failed_perf_order())
     fp = best.join(failed_ids, best["reporterid"] == failed_ids["id"], "left_semi")
@@ -298,8 +294,8 @@ def failed_latest(t: Tables, cfg: Config) -> DataFrame:
 @shared
 def ra_returned_devices(t: Tables, cfg: Config) -> DataFrame:
     """Devices the RA team returned in the lookback (office account only)."""
-    a = ra_audit(t).filter(F.col("lco_account_id").isNull()
-                           & P.lookback("modified_time", cfg.as_of, cfg.ra_lookback_days))
+    a = P.since(ra_audit(t), "modified_time", cfg.as_of, cfg.ra_lookback_days) \
+        .filter(F.col("lco_account_id").isNull())
     return existing_keys(a, "device_id")
 
 
@@ -325,7 +321,7 @@ def ra_ageing(t: Tables, cfg: Config) -> DataFrame:
 def ra_weekly(t: Tables, cfg: Config) -> DataFrame:
     """alert.Q6b: RA return audit rows per local ISO week (rows, not devices)."""
     off = cfg.offset_minutes
-    a = ra_audit(t).filter(P.lookback("modified_time", cfg.as_of, cfg.lookback_days, off))
+    a = P.since(ra_audit(t), "modified_time", cfg.as_of, cfg.lookback_days, off)
     wk = period_start(local_date("modified_time", off), "week")
     return count_by(a, [wk.alias("week_start")], "ra_returns")
 
@@ -336,8 +332,7 @@ def ra_weekly(t: Tables, cfg: Config) -> DataFrame:
 def assigned_daily(t: Tables, cfg: Config) -> DataFrame:
     """alert.Q2: assignment events per local day; the lookback is on raw time."""
     off = cfg.offset_minutes
-    lg = P.eq(t.task_logs, "event_name", C.ASSIGN_EVENT).filter(
-        P.lookback("added_time", cfg.as_of, cfg.lookback_days))
+    lg = P.since(P.eq(t.task_logs, "event_name", C.ASSIGN_EVENT), "added_time", cfg.as_of, cfg.lookback_days)
     return count_by(lg, [local_date("added_time", off).alias("d")], "assigned")
 
 
@@ -382,15 +377,14 @@ def eligible_churn(t: Tables, cfg: Config) -> DataFrame:
 @shared
 def pickup_locations(t: Tables, cfg: Config) -> DataFrame:
     """Locations (nas ids from the ticket JSON) with a recent pickup ticket."""
-    tk = P.eq(t.tasks, "type", C.TICKET_TYPE).filter(
-        P.lookback("created", cfg.as_of, cfg.puts_lookback_days))
+    tk = P.since(P.eq(t.tasks, "type", C.TICKET_TYPE), "created", cfg.as_of, cfg.puts_lookback_days)
     return existing_keys(tk, jsonops.number("extra_data", "nas_id"), "nas_id")
 
 
 @shared
 def devices_per_location(t: Tables, cfg: Config) -> DataFrame:
     """Latest audit row per device in the lookback, counted per location."""
-    a = t.device_audit.filter(P.lookback("modified_time", cfg.as_of, cfg.audit_lookback_days))
+    a = P.since(t.device_audit, "modified_time", cfg.as_of, cfg.audit_lookback_days)
     latest = latest_per_key(a.select("device_id", "nas_id", "modified_time"), ["device_id"], audit_order())
     return latest.groupBy(F.col("nas_id").alias("lng_nas_id")).agg(F.count(F.lit(1)).alias("_devices"))
 
@@ -434,9 +428,8 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     must be strictly after the resolution."""
     off = cfg.offset_minutes
     lo = cfg.as_of - timedelta(days=cfg.after_success_days)
-    p = P.not_deleted(t.task_performance).filter(
-        (F.col("score") == C.SCORE_RECOVERED) & P.not_null("customer_device_id")
-        & P.local_date_between("task_resolved_time", lo, cfg.as_of, off))
+    p = P.on_local_days(P.not_deleted(t.task_performance), "task_resolved_time", lo, cfg.as_of, off) \
+        .filter((F.col("score") == C.SCORE_RECOVERED) & P.not_null("customer_device_id"))
     p = p.select("reporterid", "customer_device_id", "task_resolution_type", "score", "task_resolved_time")
     ra = ra_audit(t).select("device_id", "modified_time")
     fa = first_after(p, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from ..operators.filters import partition_column
 from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
@@ -113,10 +114,13 @@ def after_success_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
-    """Store a fact table partitioned by the UTC date of ``ts`` (column ``dt``).
+    """Store a fact table partitioned by the UTC date of ``ts`` (column
+    ``<ts>__date``); range filters on ``ts`` then skip whole partitions
+    (``operators.filters.in_window``).
 
     No repartition by date (one busy day would land in one task): each task
     sorts its own rows by date and writes one file per date it holds."""
-    (df.withColumn("dt", F.to_date(F.col(ts)))
-       .sortWithinPartitions("dt")
-       .write.mode(mode).partitionBy("dt").parquet(path))
+    part = partition_column(ts)
+    (df.withColumn(part, F.to_date(F.col(ts)))
+       .sortWithinPartitions(part)
+       .write.mode(mode).partitionBy(part).parquet(path))
