@@ -204,6 +204,15 @@ def cohort_status_rates(t: Tables, cfg: Config) -> DataFrame:
                     closed_rate("failed", "success", "failed").alias("failed_pct"))
 
 
+@shared
+def cohort_status_live(t: Tables, cfg: Config) -> DataFrame:
+    """live.Q1 with the live job's naming and rate: recovered, closed and
+    recovery % over closed (NULL when nothing closed)."""
+    m = cohort_status(t, cfg).withColumnRenamed("success", "recovered")
+    return m.select("*", (F.col("recovered") + F.col("failed")).alias("closed"),
+                    closed_rate("recovered", "recovered", "failed").alias("recovery_pct"))
+
+
 def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi) -> DataFrame:
     """Every pickup ticket row (versions not deduplicated) created on local days
     [lo, hi], with per-ticket counts of its live performance rows."""

@@ -91,6 +91,7 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "closed_rolling_7_score": lambda t, c: _labels(panels.closed_rolling_7_score(t, c), resolved_date="day"),
     "cohort_status": lambda t, c: _labels(panels.cohort_status(t, c), month="month"),
     "cohort_status_rates": lambda t, c: _labels(panels.cohort_status_rates(t, c), month="month"),
+    "cohort_status_live": lambda t, c: _labels(panels.cohort_status_live(t, c), month="month"),
     "cohort_score": lambda t, c: _labels(panels.cohort_score(t, c), month="month"),
     "cohort_score_rates": lambda t, c: _labels(panels.cohort_score_rates(t, c), month="month"),
     "open_age_status": panels.open_age_status,

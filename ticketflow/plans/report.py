@@ -69,7 +69,7 @@ def run_all(t: Tables, cfg: Config, persist: bool = True) -> dict[str, DataFrame
         "ra_weekly": by(panels.ra_weekly(t, cfg), "week_start"),
         "summary": sorts.top(summary.weekly_summary(t, cfg), [F.col("ord")], cap),
         # live job (status based)
-        "live_mom": by(panels.cohort_status_rates(t, cfg), "month"),
+        "live_mom": by(panels.cohort_status_live(t, cfg), "month"),
         "live_daily": by(panels.closed_daily_since_start(t, cfg), "resolved_date"),
         "live_open_ages": ranked(summary.open_age_total(t, cfg), C.OPEN_BUCKETS),
         # first version (score based)
