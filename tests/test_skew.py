@@ -78,3 +78,16 @@ def test_first_after_hot_key_spread_over_days(spark):
     for i, k, t in left:
         later = [x for x in by_key.get(k, []) if x > t]
         assert got[i] == (min(later) if later else None)
+
+
+def test_first_after_null_keys_spread_and_unmatched(spark):
+    base = datetime(2025, 1, 1)
+    left = spark.range(30_000, numPartitions=PARTS).select(
+        F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("D"), (F.col("id") % 7).cast("string")))
+        .alias("k"), F.col("id").alias("i"),
+        (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("id") % 5000).cast("int"))).alias("t"))
+    right = spark.createDataFrame([("D1", base + timedelta(days=10))], "k string, t timestamp_ntz")
+    out = first_after(left, right, "k", "k", "t", "t", "nx")
+    assert out.count() == 30_000
+    assert out.filter(F.col("k").isNull() & F.col("nx").isNotNull()).count() == 0
+    assert out.filter(F.col("k") == "D1").filter(F.col("nx").isNull()).count() == 0

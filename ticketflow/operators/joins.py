@@ -93,18 +93,22 @@ def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str
         # Monotone in time and independent of the session time zone.
         return F.to_date(c) if bucket == "day" else F.substring(c.cast("string"), 1, 13)
 
+    # Left rows without a key can match nothing; a salt spreads them over many
+    # window partitions instead of one NULL-key partition (keyed rows: salt 0).
+    salt = F.when(F.col(left_key).isNull(), F.monotonically_increasing_id() % 1024 + 1).otherwise(0)
     l_in = left.withColumn("_k", F.col(left_key)).withColumn("_t", F.col(left_ts)) \
-        .withColumn("_side", F.lit(1))
+        .withColumn("_side", F.lit(1)).withColumn("_salt", salt)
     r_in = (right.select(F.col(right_key).alias("_k"), F.col(right_ts).alias("_t"))
             .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-            .withColumn("_side", F.lit(0)))
+            .withColumn("_side", F.lit(0)).withColumn("_salt", F.lit(0).cast("long")))
     both = l_in.unionByName(r_in, allowMissingColumns=True).withColumn("_b", bkt(F.col("_t")))
 
     # Same bucket, scanned newest first: a left row sees every right row later
     # than it (left before right at equal time keeps "strictly after").  A
     # growing frame (unbounded preceding .. 1 preceding) is evaluated in one
     # pass; a frame running to unbounded following would be quadratic.
-    w_in = (Window.partitionBy("_k", "_b").orderBy(F.col("_t").desc_nulls_first(), F.col("_side").desc())
+    w_in = (Window.partitionBy("_k", "_b", "_salt")
+            .orderBy(F.col("_t").desc_nulls_first(), F.col("_side").desc())
             .rowsBetween(Window.unboundedPreceding, -1))
     right_t = F.when(F.col("_side") == 0, F.col("_t"))
     tagged = both.withColumn("_same", F.min(right_t).over(w_in)).filter(F.col("_side") == 1)
@@ -121,4 +125,4 @@ def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str
 
     res = tagged.join(later, ["_k", "_b"], "left")
     return (res.withColumn(out, F.coalesce(F.col("_same"), F.col("_later")))
-            .drop("_k", "_t", "_side", "_b", "_same", "_later"))
+            .drop("_k", "_t", "_side", "_salt", "_b", "_same", "_later"))
