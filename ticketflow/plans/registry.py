@@ -22,10 +22,8 @@ from .oracle import ORACLE
 
 
 def _labels(df: DataFrame, **cols: str) -> DataFrame:
-    """Replace DATE columns by their text label (unit per column)."""
-    for c, unit in cols.items():
-        df = df.withColumn(c, period_label(c, unit))
-    return df
+    """Replace DATE columns by their text label (unit per column), in one projection."""
+    return df.select(*[period_label(c, cols[c]).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
 def _micro(c: str) -> F.Column:
@@ -76,9 +74,8 @@ def _missing_followups(t: Tables, cfg: Config) -> DataFrame:
 
 def _returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     r = panels.returned_after_success(t, cfg)
-    for c in ("created_ist", "resolved_ist", "ra_returned_ist"):
-        r = r.withColumn(c, minute_text(c))
-    return r
+    times = ("created_ist", "resolved_ist", "ra_returned_ist")
+    return r.select(*[minute_text(c).alias(c) if c in times else F.col(c) for c in r.columns])
 
 
 PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
