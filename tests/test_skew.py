@@ -91,3 +91,40 @@ def test_first_after_null_keys_spread_and_unmatched(spark):
     assert out.count() == 30_000
     assert out.filter(F.col("k").isNull() & F.col("nx").isNotNull()).count() == 0
     assert out.filter(F.col("k") == "D1").filter(F.col("nx").isNull()).count() == 0
+
+
+def test_status_lookup_sees_hot_ticket_collapsed(spark):
+    """One ticket holds a third of the performance rows: it reaches the join
+    with the latest ticket version as one row per (day, type), not 20,000."""
+    from datetime import date
+
+    from ticketflow.config import Config
+    from ticketflow.plans import panels
+    from ticketflow.sources.fixtures import Tables
+    from ticketflow.sources.tables import SCHEMAS
+    n = 60_000
+    tasks = spark.range(0, 20_000, numPartitions=PARTS).select(
+        F.col("id"), F.lit(None).cast("long").alias("reporter_id"),
+        F.lit(datetime(2025, 11, 10)).cast("timestamp_ntz").alias("created"),
+        F.lit(None).cast("timestamp_ntz").alias("rslvd_datetime"), (F.col("id") % 4).cast("int").alias("status"),
+        F.lit(1).cast("long").alias("partner_id"), F.lit("ROUTER_PICKUP").alias("type"),
+        F.lit(None).cast("string").alias("extra_data"))
+    perf = spark.range(0, n, numPartitions=PARTS).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 20_000).alias("reporterid"),
+        F.lit("ROUTER_PICKUP").alias("task_type"),
+        (F.lit(datetime(2025, 12, 1)).cast("timestamp_ntz")
+         + F.make_dt_interval(mins=(F.col("id") % 10_000).cast("int"))).alias("task_resolved_time"),
+        F.lit(None).cast("string").alias("task_resolution_type"), F.lit(1).alias("score"),
+        F.lit(None).cast("string").alias("customer_device_id"), F.lit(False).alias("_fivetran_deleted"))
+    empty = {k: spark.createDataFrame([], SCHEMAS[k]) for k in ("task_logs", "router_user_mapping", "device_audit")}
+    t = Tables(tasks, perf, empty["task_logs"], empty["router_user_mapping"], empty["device_audit"], None)
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")   # force the shuffled join
+    try:
+        df = panels.closed_daily(t, Config(as_of=date(2025, 12, 20), cohort_start=date(2025, 11, 1)))
+        assert df.agg(F.sum("total_closed")).first()[0] == n
+        recs = _shuffled_records(df)
+        # other rows are nearly unique per (ticket, day); the hot ticket adds at most days x map tasks
+        assert max(recs) <= (n - n // 3) + PARTS * 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)

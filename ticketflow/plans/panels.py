@@ -99,17 +99,25 @@ def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi) -> DataFrame:
     days [lo, hi], outcome from the latest ticket version (status-based)."""
     off = cfg.offset_minutes
     p = P.on_local_days(live_performance(t), "task_resolved_time", lo, hi, off)
-    p = p.select("reporterid", "task_resolution_type",
-                 local_date("task_resolved_time", off).alias("d"))
-    j = with_latest(p, latest_tickets(t, cfg, ("id", "created", "status")), "reporterid", "id", ["status"])
-    st, rt = F.col("status"), F.col("task_resolution_type")
+    # One row per (ticket, local day, resolution type) with its row count: a
+    # ticket carrying a large share of the performance rows is collapsed
+    # map-side before the status lookup shuffles by ticket id.
+    per = p.groupBy("reporterid", local_date("task_resolved_time", off).alias("d"), "task_resolution_type") \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    j = with_latest(per, latest_tickets(t, cfg, ("id", "created", "status")), "reporterid", "id", ["status"])
+    st, rt, n = F.col("status"), F.col("task_resolution_type"), F.col("_n")
     ok = st == C.STATUS_SUCCESS
-    return outcome_counts(j, ["d"], "total_closed", {
-        "success": ok,
-        "failed": st == C.STATUS_FAILED,
-        "router_recovered": ok & (rt == C.RES_ROUTER),
-        "customer_recovered": ok & (rt == C.RES_CUSTOMER),
-        "general_success": ok & P.any_of(rt == C.RES_GENERAL, P.is_null(rt)),
+
+    def rows_if(cond):
+        return F.when(cond, n).otherwise(0)
+
+    return weighted_counts(j, ["d"], {
+        "total_closed": n,
+        "success": rows_if(ok),
+        "failed": rows_if(st == C.STATUS_FAILED),
+        "router_recovered": rows_if(ok & (rt == C.RES_ROUTER)),
+        "customer_recovered": rows_if(ok & (rt == C.RES_CUSTOMER)),
+        "general_success": rows_if(ok & P.any_of(rt == C.RES_GENERAL, P.is_null(rt))),
     })
 
 
