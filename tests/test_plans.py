@@ -94,3 +94,18 @@ def test_time_ranges_prune_date_partitions(spark, small, partitioned, panel, par
     assert any(f"({part}" in f and ">=" in f for f in filters), filters
     want = sorted(tuple(r) for r in getattr(panels, panel)(small, FIXTURE).collect())
     assert sorted(tuple(r) for r in df.collect()) == want
+
+
+def test_building_queries_runs_no_job(spark):
+    """Every registered query is a lazy plan: building it starts no Spark job
+    (no collect, count or schema sampling on the way)."""
+    tracker = spark.sparkContext.statusTracker()
+    qs = entry.queries()
+    qs["closed_daily"](spark, MEDIUM)           # table definitions loaded once
+    spark.sparkContext.setJobGroup("tf-build", "build only")
+    try:
+        for name in sorted(qs):
+            qs[name](spark, MEDIUM)
+        assert list(tracker.getJobIdsForGroup("tf-build")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
