@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import ngram_lm, simhash
 
-_MODULES = (simhash,)
+_MODULES = (simhash, ngram_lm)
 
 
 def queries() -> dict:
