@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import ngram_lm, simhash
+from . import langid, ngram_lm, simhash
 
-_MODULES = (simhash, ngram_lm)
+_MODULES = (simhash, langid, ngram_lm)
 
 
 def queries() -> dict:
