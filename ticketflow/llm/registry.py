@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import langid, ngram_lm, simhash
+from . import decontaminate, langid, ngram_lm, simhash
 
-_MODULES = (simhash, langid, ngram_lm)
+_MODULES = (simhash, langid, ngram_lm, decontaminate)
 
 
 def queries() -> dict:
