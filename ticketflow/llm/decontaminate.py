@@ -138,19 +138,38 @@ class Items:
             found.append((owner, item, band * (self.budget[item] + 1) - shift))
         return tuple(np.concatenate(x) for x in zip(*found))
 
-    def verify(self, points: np.ndarray, offsets: np.ndarray, owner, item, diagonal, batch: int = 256):
+    def verify(self, points: np.ndarray, offsets: np.ndarray, owner, item, diagonal, batch: int = 512):
         """(edits, end) of the best alignment of each region, end counted in the text's characters."""
         edits, end = np.zeros(len(item), np.int64), np.zeros(len(item), np.int64)
-        order = np.argsort(self.size[item], kind="stable")
-        for i in range(0, len(order), batch):
-            rows = order[i:i + batch]
-            own = item[rows]
-            k = self.budget[own]
-            low = diagonal[rows] - k
-            width = int((4 * k + 2).max())
-            edits[rows], at = banded(self.points, self.first[own], self.size[own], points, offsets[owner[rows]],
-                                     offsets[owner[rows] + 1], low, 4 * k + 2, width)
-            end[rows] = low + self.size[own] + at
+        budget, size = self.budget[item], self.size[item]
+        low = diagonal - budget
+        top = offsets[owner + 1] - offsets[owner]
+        other = []
+        for r in range(len(item)):  # an exact copy needs no alignment
+            a = max(int(low[r]), 0)
+            b = min(int(low[r] + size[r] + 4 * budget[r] + 1), int(top[r]))
+            own = self.points[self.first[item[r]]:self.first[item[r] + 1]].tobytes()
+            stretch = points[offsets[owner[r]] + a:offsets[owner[r]] + max(a, b)].tobytes()
+            at = stretch.find(own)
+            while at % 4 and at >= 0:
+                at = stretch.find(own, at + 1)
+            if at >= 0:
+                end[r] = a + at // 4 + size[r]
+            else:
+                other.append(r)
+        other = np.array(other, np.int64)
+        other = other[np.argsort(size[other], kind="stable")]
+        for i in range(0, len(other), batch):
+            rows = other[i:i + batch]
+            width = 4 * budget[rows] + 2
+            reach = int(size[rows].max() + width.max())
+            place = low[rows, None] + np.arange(reach)
+            stretch = points[np.clip(offsets[owner[rows], None] + place, 0, len(points) - 1)]
+            stretch[(place < 0) | (place >= top[rows, None])] = _NOTHING
+            own = self.points[np.minimum(self.first[item[rows], None] + np.arange(int(size[rows].max())),
+                                         len(self.points) - 1)]
+            edits[rows], at = banded(own, size[rows], stretch, width)
+            end[rows] = np.minimum(low[rows] + size[rows] + at, top[rows])
         return edits, end
 
 
@@ -161,36 +180,35 @@ def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return k[cut], np.add.reduceat(counts[order], cut)
 
 
-_FAR = 1 << 20
+_FAR = np.int16(1 << 14)
+_NOTHING = 0xFFFFFFFF  # before and after a text: equal to no character
 
 
-def banded(item: np.ndarray, item_first, item_size, text: np.ndarray, text_first, text_end, low, own, width: int):
-    """Edit distances of whole items to the best stretch of their texts, rows of a batch together.
+def banded(item: np.ndarray, size: np.ndarray, stretch: np.ndarray, own: np.ndarray):
+    """Edit distances of whole items to their stretches of text, within the band; rows together.
 
-    Column c of row i stands for the text's place low + i + c; row i holds the
-    cheapest alignment of the item's first i characters that ends there.  The
-    stretch may begin and end anywhere in the band, nowhere outside the text.
+    Column c of row i stands for place i + c of the stretch; row i holds the
+    cheapest alignment of the item's first i characters that ends there.  An
+    alignment may begin and end anywhere in the band of ``own`` columns.
+    Outside the text a character of the item costs as much as leaving it out.
     Returns (edits, column of the cheapest end).
     """
-    cols = np.arange(width)
-    place = low[:, None] + cols  # in the text, of row 0
-    size = (text_end - text_first)[:, None]
-    cost = np.where((place >= 0) & (place <= size) & (cols < own[:, None]), 0, _FAR)
-    best, at = np.full(len(low), _FAR), np.zeros(len(low), np.int64)
-    done = item_size == 0
-    for i in range(1, int(item_size.max()) + 1):
-        place = place + 1
-        here = item[np.minimum(item_first + i - 1, len(item) - 1)]
-        there = text[np.clip(text_first[:, None] + place - 1, 0, len(text) - 1)]
-        step = cost + (there != here[:, None])
-        step[place < 1] = _FAR
-        step[:, :-1] = np.minimum(step[:, :-1], cost[:, 1:] + 1)          # the item's character is missing
-        step[(place < 0) | (place > size) | (cols >= own[:, None])] = _FAR
-        cost = np.minimum.accumulate(step - cols, axis=1) + cols           # the text has characters more
-        cost[(place < 0) | (place > size) | (cols >= own[:, None])] = _FAR
-        for r in np.flatnonzero(item_size == i):
-            c = int(cost[r].argmin())
-            best[r], at[r], done[r] = cost[r, c], c, True
+    width = int(own.max())
+    cols = np.arange(width, dtype=np.int16)
+    fence = np.where(cols < own[:, None], 0, _FAR).astype(np.int16)
+    cost = fence.copy()
+    best, at = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+    for i in range(1, int(size.max()) + 1):
+        step = cost + (stretch[:, i - 1:i - 1 + width] != item[:, i - 1:i])
+        np.minimum(step[:, :-1], cost[:, 1:] + np.int16(1), out=step[:, :-1])  # the item's character is missing
+        step -= cols
+        np.minimum.accumulate(step, axis=1, out=step)                          # the text has characters more
+        step += cols
+        cost = np.maximum(step, fence)
+        ends = np.flatnonzero(size == i)
+        if len(ends):
+            at[ends] = cost[ends].argmin(axis=1)
+            best[ends] = cost[ends, at[ends]]
     return best, at
 
 
