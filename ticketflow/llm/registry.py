@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, ngram_lm, simhash
+from . import decontaminate, langid, ngram_lm, quality_rules, secrets, simhash
 
-_MODULES = (simhash, langid, ngram_lm, decontaminate)
+_MODULES = (simhash, secrets, langid, ngram_lm, quality_rules, decontaminate)
 
 
 def queries() -> dict:
