@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import decontaminate, langid, ngram_lm, quality_rules, secrets, simhash
+from . import chat, decontaminate, langid, ngram_lm, quality_rules, secrets, simhash
 
-_MODULES = (simhash, secrets, langid, ngram_lm, quality_rules, decontaminate)
+_MODULES = (simhash, secrets, langid, ngram_lm, quality_rules, decontaminate, chat)
 
 
 def queries() -> dict:
