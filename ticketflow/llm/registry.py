@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, ngram_lm, quality_rules, secrets, simhash
+from . import chat, decontaminate, langid, mixing, ngram_lm, quality_rules, secrets, simhash
 
-_MODULES = (simhash, secrets, langid, ngram_lm, quality_rules, decontaminate, chat)
+_MODULES = (simhash, secrets, langid, ngram_lm, quality_rules, decontaminate, chat, mixing)
 
 
 def queries() -> dict:
