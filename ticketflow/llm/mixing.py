@@ -29,16 +29,15 @@ TOLERANCE, MAX_ROUNDS = 1e-4, 60
 
 def tokens(text: str) -> Column:
     """Number of words (runs of characters other than space and \\x09-\\x0D)."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    return F.size(F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")).cast("long")
+    return F.regexp_count(F.coalesce(F.col(text), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
 def topic(text: str) -> Column:
     """A coarse topic by the shape of a text, for tables that have no topic column."""
     t = F.coalesce(F.col(text), F.lit(""))
     n = F.length(t)
-    marks = n - F.length(F.translate(t, "#*$%&", ""))
-    bars = n - F.length(F.translate(t, "|", ""))
+    marks = F.regexp_count(t, F.lit("[#*$%&]"))
+    bars = F.regexp_count(t, F.lit("[|]"))
     return (F.when(bars * 40 > n, "table").when(marks * 40 > n, "symbols")
             .when(n < 400, "note").when(n < 4000, "prose").otherwise("long"))
 
@@ -119,6 +118,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
                        F.coalesce(F.col(lang), F.lit("")).alias("_lang"),
                        F.coalesce(topic(text) if topic_col is None else topic_col, F.lit("")).alias("_topic"),
                        tokens(text).alias("_tokens"))
+    if text not in keep:  # a few numbers a row: the texts are read once
+        rows = stored(rows, "tokens")
     cells = stored(rows.groupBy(*dims).agg(F.sum("_tokens").alias("tokens")), "mixture")
     by_dim = {f"_{k}": v for k, v in (targets or {}).items()}
     p = calibrated(rake(cells, dims, by_dim, temper), budget)

@@ -41,6 +41,8 @@ QUANTILE = 0.995
 #: A language with fewer calibration texts takes the quantile of all of them.
 MIN_CALIBRATION = 30
 _MAP_BITS = 26
+#: Counts from here on are one step of the histogram that finds the head.
+_TOP = 20_000
 
 
 def _pairs(batches):
@@ -120,12 +122,17 @@ def perplexities(docs: DataFrame, table: DataFrame, unknown: float, keep: list[s
                  head: int = HEAD) -> DataFrame:
     """``keep`` columns, n_tokens and log10_prob of every row, by a join of its keys with ``table``."""
     spark = docs.sparkSession
-    top = table.orderBy(F.desc("n"), "key").select("key", "n", "weight").limit(head).toArrow()
+    # the head is every key with a count from `least` up: as many as fit, found in a histogram of the counts
+    sizes = table.groupBy(F.least("n", F.lit(_TOP)).alias("n")).agg(F.count(F.lit(1)).alias("keys")).collect()
+    least, room = _TOP + 1, head
+    for r in sorted(sizes, reverse=True):
+        if r.keys > room:
+            break
+        least, room = r.n, room - r.keys
+    top = table.where(F.least("n", F.lit(_TOP)) >= least).select("key", "weight").toArrow()
+    rest = table.where(F.least("n", F.lit(_TOP)) < least)
     key = top.column("key").to_numpy().view(np.uint64)
     order = np.argsort(key, kind="stable")
-    last = top.num_rows and (top.column("n")[-1].as_py(), top.column("key")[-1].as_py())
-    rest = table.where(F.lit(False)) if top.num_rows < head else table.where(
-        (F.col("n") < last[0]) | ((F.col("n") == last[0]) & (F.col("key") > last[1])))
     sent = spark.sparkContext.broadcast((key[order], top.column("weight").to_numpy()[order], _bitmap(rest)))
     schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_row", T.LongType()),
                            T.StructField("n_tokens", T.LongType()), T.StructField("_sum", T.DoubleType()),
