@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -154,16 +154,15 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str =
           windows: int = 12) -> tuple[list[str], Network]:
     """Languages and the network learnt from the rows of ``docs`` with a text and a language.
 
-    First the ids alone are read to find, for each language, the hash below
-    which ``per_lang`` rows lie; then only those rows' windows come to the driver
-    (``per_lang`` x ``windows`` x 64 bytes a language).
+    A first pass counts each language's rows, which gives the share of the hash
+    range that holds about ``per_lang`` of them (all, where there are fewer); then
+    only those rows' windows come to the driver (about ``per_lang`` x ``windows`` x
+    64 bytes a language).
     """
     ranked = F.xxhash64(F.col(id_col), F.lit(5))
     rows = docs.where(F.col(lang).isNotNull() & F.col(text).rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy("h")
-    edge = (rows.select(F.col(lang).alias("lang"), ranked.alias("h")).withColumn("r", F.row_number().over(order))
-            .where(F.col("r") <= per_lang).groupBy("lang").agg(F.max("h").alias("edge")).collect())
-    edge = sorted((r.lang, r.edge) for r in edge)
+    sizes = rows.groupBy(F.col(lang).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()
+    edge = sorted((r.lang, min((1 << 64) * per_lang // r.n, (1 << 64) - 1) - (1 << 63)) for r in sizes)
     if not edge:
         return [], Network(1)
     table = F.create_map(*[F.lit(v) for kv in edge for v in kv])
