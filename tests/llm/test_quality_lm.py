@@ -12,14 +12,15 @@ from .test_ngram_lm import brute
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("head", [Q.HEAD, 50])
-def test_perplexity_equals_brute_force(spark, head):
+@pytest.mark.parametrize("most", [Q.MOST_SENT, 5])
+def test_perplexity_equals_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(Q, "MOST_SENT", most)
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     trusted = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality == 1 and not r.toxic}
     want = brute(rows, [i for i, (d, _) in enumerate(rows) if d in trusted and crc(d, 5) != 2])
     want = {rows[i][0]: v for i, v in want.items()}
     labels = spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1 and toxic = 0")
-    got = Q.classify(spark.read.parquet(f"{SF}/documents.parquet"), labels, head=head).collect()
+    got = Q.classify(spark.read.parquet(f"{SF}/documents.parquet"), labels).collect()
     assert len(got) == len(rows)
     cal = []
     for r in got:
@@ -44,7 +45,7 @@ def test_languages_edges_and_junk(spark, make_docs):
              (3002, "x " * 400_000, "fr")]
     docs = make_docs(rows)
     ids = spark.createDataFrame([(r[0],) for r in rows if r[0] is not None and r[0] < 2000] + [(None,), (5,)], "doc_id long")
-    got = Q.classify(docs, ids, head=20).collect()
+    got = Q.classify(docs, ids).collect()
     assert len(got) == len(rows)
     assert not any(r.kept for r in got if r.doc_id is not None and 2000 <= r.doc_id < 2010)
     clean = [r for r in got if r.doc_id is None or r.doc_id < 2000]

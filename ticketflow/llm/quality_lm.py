@@ -1,21 +1,15 @@
 """Quality classifier: perplexity under a model of trusted text.
 
-An interpolated modified Kneser-Ney bigram model is counted on trusted texts.
-Its probabilities are split so that a text's log-probability is a sum over its
-words and pairs of words: a seen pair's gain over backing off, and each word's
-backoff weight and unigram gain.  These weights are one table of (key, weight);
-a text's keys are joined with it, dealt by key, and summed for each text.
+An interpolated modified Kneser-Ney bigram model is counted on all trusted texts
+but a calibration part.  Its counts lie in shards, sorted by hash; every batch
+of texts joins its distinct words and pairs, sorted too, with the shards that
+hold them, and sums the log-probabilities of each text.  So the texts are read
+where they lie, no text or pair of theirs is shuffled, and a frequent word is
+one row of a batch's join.
 
-Two helpers of fixed size save shuffling without changing any result: the
-``head`` weights with the highest counts go to every task, so that no frequent
-word piles up in the join, and a bitmap of the others' keys lets a task drop keys
-that the model does not have.
-
-The threshold of each language is a quantile of the perplexity of trusted texts
-that were not learnt from; a language with few of them takes the quantile of all.
-
-Training bound: the ``sample`` trusted texts with the smallest id hashes.
-Calibration, keys and perplexities cover all rows.
+The threshold of each language is a quantile of the perplexity of the trusted
+texts that were not learnt from; a language with few of them takes the quantile
+of all.
 
 Defined results: a null or empty text is the end mark alone; a null language is
 ''; repeated rows are scored each; without any trusted text the threshold is null
@@ -24,159 +18,17 @@ and every text is kept; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .common import chunks, held_out, read, stored, utf8
-from .kn import BEGIN, discounts, steps
-from .tokens import pair
+from .common import held_out, read, stored
+from .ngram_lm import score, train
 
-SAMPLE = 20_000
-HEAD = 1_000_000
 QUANTILE = 0.995
 #: A language with fewer calibration texts takes the quantile of all of them.
 MIN_CALIBRATION = 30
-_MAP_BITS = 26
-#: Counts from here on are one step of the histogram that finds the head.
-_TOP = 20_000
-
-
-def _pairs(batches):
-    for b in batches:
-        data, offs = utf8(b.column(0))
-        for x, y in chunks(offs):
-            left, right, _ = steps(data[offs[x]:offs[y]], offs[x:y + 1] - offs[x])
-            key = pair(left, right)
-            keys, at, n = np.unique(key, return_index=True, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(v.view(np.int64)) for v in (keys, left[at], right[at])]
-                                             + [pa.array(n, pa.int64())], ["key", "v", "w", "n"])
-
-
-def _discount(count: Column, d: tuple[float, float, float]) -> Column:
-    return F.greatest(F.lit(0.0), count - F.when(count == 1, d[0]).when(count == 2, d[1]).otherwise(d[2]))
-
-
-def weights(texts: DataFrame, text: str = "text") -> tuple[DataFrame, float]:
-    """((key, n, weight), log10 probability of an unknown word).  Keys are hashes of words and of pairs."""
-    counts = stored(texts.select(F.col(text)).mapInArrow(_pairs, "key long, v long, w long, n long")
-                    .groupBy("key", "v", "w").agg(F.sum("n").alias("n")), "trusted-pairs")
-
-    def times(c: str) -> list[Column]:
-        return [F.coalesce(F.sum((F.col(c) == i).cast("long")), F.lit(0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
-    d2 = discounts(*counts.agg(*times("n")).first())
-    lead = counts.groupBy(F.col("v").alias("word")).agg(
-        F.sum("n").alias("total"), F.sum(F.when(F.col("n") == 1, d2[0]).when(F.col("n") == 2, d2[1]).otherwise(d2[2])
-                                         ).alias("kept_back"))
-    kinds = counts.groupBy(F.col("w").alias("word")).agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("seen"))
-    words = stored(lead.join(kinds, "word", "full"), "trusted-words")
-    s = words.agg(*times("kinds"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("pairs"), F.count("kinds").alias("vocabulary"),
-                  F.coalesce(F.sum((F.col("kinds") > 2).cast("long")), F.lit(0)).alias("more")).first()
-    d1 = discounts(s.n1, s.n2, s.n3, s.n4)
-    spare = d1[0] * s.n1 + d1[1] * s.n2 + d1[2] * s.more
-    uniform = (spare / s.pairs if s.pairs else 1.0) / (s.vocabulary + 1)
-    low = F.coalesce(_discount(F.col("kinds"), d1) / F.lit(float(max(s.pairs, 1))), F.lit(0.0)) + F.lit(uniform)
-    gamma = F.coalesce(F.col("kept_back") / F.col("total"), F.lit(1.0))
-    known = words.select("word", "total", gamma.alias("gamma"), low.alias("low"),
-                         F.coalesce("seen", F.lit(0)).alias("seen"))
-    by_word = known.select(F.col("word").alias("key"), F.greatest("seen", F.coalesce("total", F.lit(0))).alias("n"),
-                           (F.log10("gamma") + F.log10("low") - F.log10(F.lit(uniform))).alias("weight"))
-    by_pair = (counts.join(known.select(F.col("word").alias("v"), "total", "gamma"), "v")
-               .join(known.select(F.col("word").alias("w"), "low"), "w")
-               .select("key", "n", F.log10(1 + _discount(F.col("n"), d2) / F.col("total")
-                                           / (F.col("gamma") * F.col("low"))).alias("weight")))
-    return stored(by_word.unionByName(by_pair), "trusted-weights"), float(np.log10(uniform))
-
-
-def _slots(keys: np.ndarray) -> np.ndarray:
-    return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _MAP_BITS)).astype(np.int64)
-
-
-def _bitmap(rest: DataFrame) -> np.ndarray:
-    """One bit for each slot that some key has: 2^26 bits, made in blocks by the tasks."""
-    size = 1 << 16
-
-    def work(batches):
-        for b in batches:
-            slot = np.unique(_slots(b.column(0).to_numpy().view(np.uint64)))
-            yield pa.RecordBatch.from_arrays([pa.array((slot // size).astype(np.int32)),
-                                              pa.array((slot % size).astype(np.int32))], ["block", "bit"])
-
-    def pack(table: pa.Table) -> pa.Table:
-        bits = np.zeros(size, bool)
-        bits[table.column("bit").to_numpy()] = True
-        return pa.table({"block": table.column("block")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    out = np.zeros(1 << (_MAP_BITS - 3), np.uint8)
-    blocks = (rest.select("key").mapInArrow(work, "block int, bit int").groupBy("block")
-              .applyInArrow(pack, "block int, bits binary").collect())
-    for r in blocks:
-        out[r.block * size // 8:(r.block + 1) * size // 8] = np.frombuffer(r.bits, np.uint8)
-    return out
-
-
-def perplexities(docs: DataFrame, table: DataFrame, unknown: float, keep: list[str], text: str = "text",
-                 head: int = HEAD) -> DataFrame:
-    """``keep`` columns, n_tokens and log10_prob of every row, by a join of its keys with ``table``."""
-    spark = docs.sparkSession
-    # the head is every key with a count from `least` up: as many as fit, found in a histogram of the counts
-    sizes = table.groupBy(F.least("n", F.lit(_TOP)).alias("n")).agg(F.count(F.lit(1)).alias("keys")).collect()
-    least, room = _TOP + 1, head
-    for r in sorted(sizes, reverse=True):
-        if r.keys > room:
-            break
-        least, room = r.n, room - r.keys
-    top = table.where(F.least("n", F.lit(_TOP)) >= least).select("key", "weight").toArrow()
-    rest = table.where(F.least("n", F.lit(_TOP)) < least)
-    key = top.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(key, kind="stable")
-    sent = spark.sparkContext.broadcast((key[order], top.column("weight").to_numpy()[order], _bitmap(rest)))
-    schema = T.StructType([*[docs.schema[c] for c in keep], T.StructField("_row", T.LongType()),
-                           T.StructField("n_tokens", T.LongType()), T.StructField("_sum", T.DoubleType()),
-                           T.StructField("_keys", T.ArrayType(T.LongType()))])
-
-    def work(batches):
-        heads, weight, bitmap = sent.value
-        row = TaskContext.get().partitionId() << 40
-        for b in batches:
-            data, offs = utf8(b.column(0))
-            done = []
-            for x, y in chunks(offs):
-                left, right, first = steps(data[offs[x]:offs[y]], offs[x:y + 1] - offs[x])
-                n = np.diff(first)
-                # each text's keys: its begin mark, its words and end mark, its pairs
-                begin = np.full(len(n), BEGIN, np.uint64)
-                keys = np.concatenate([begin, right, pair(left, right)])
-                owner = np.repeat(np.arange(len(n)), n)
-                owner = np.concatenate([np.arange(len(n)), owner, owner])
-                some, at = np.unique(keys, return_inverse=True)
-                place = np.minimum(np.searchsorted(heads, some), max(len(heads) - 1, 0))
-                hit = heads[place] == some if len(heads) else np.zeros(len(some), bool)
-                value = np.where(hit, weight[place], 0.0) if len(heads) else np.zeros(len(some))
-                slot = _slots(some)
-                maybe = ~hit & ((bitmap[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1).astype(bool)
-                total = np.bincount(owner, value[at], len(n)) + n * unknown
-                ask = np.flatnonzero(maybe[at])
-                ask = ask[np.argsort(owner[ask], kind="stable")]
-                done.append((n, total, keys[ask].view(np.int64), np.bincount(owner[ask], minlength=len(n))))
-            cols = [np.concatenate(v) for v in zip(*done)] if done else [np.zeros(0, np.int64)] * 4
-            ends = np.concatenate([[0], np.cumsum(cols[3])])
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[1:], pa.array(np.arange(row, row + b.num_rows)), pa.array(cols[0], pa.int64()),
-                 pa.array(cols[1], pa.float64()),
-                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(cols[2], pa.int64()))], schema.names)
-            row += b.num_rows
-
-    src = docs.select(F.col(text).alias("_text"), *[F.col(c) for c in keep])
-    rows = stored(src.mapInArrow(work, schema), "perplexity")
-    joined = (rows.select("_row", F.explode("_keys").alias("key")).groupBy("_row", "key").agg(F.count(F.lit(1)).alias("k"))
-              .join(rest.select("key", "weight"), "key").groupBy("_row")
-              .agg(F.sum(F.col("k") * F.col("weight")).alias("_more")))
-    return rows.join(joined, "_row", "left").select(
-        *keep, "n_tokens", (F.col("_sum") + F.coalesce("_more", F.lit(0.0))).alias("log10_prob"))
+#: Up to so many trusted ids (8 bytes each) go to every task; more are joined by a shuffle.
+MOST_SENT = 1_000_000
 
 
 def thresholds(scored: DataFrame, lang: str, log_ppl: str, quantile: float = QUANTILE,
@@ -197,19 +49,20 @@ def thresholds(scored: DataFrame, lang: str, log_ppl: str, quantile: float = QUA
 
 
 def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-             sample: int = SAMPLE, head: int = HEAD, quantile: float = QUANTILE) -> DataFrame:
+             quantile: float = QUANTILE) -> DataFrame:
     """Perplexity, threshold of its language and kept for every row; ``trusted`` holds the ids of trusted texts."""
     ids = stored(trusted.select(F.col(id_col).alias("_id")).where(F.col(id_col).isNotNull()).distinct()
                  .withColumn("_learn", ~held_out("_id", 5)), "trusted")
-    learn = ids.where("_learn").orderBy(F.xxhash64("_id", F.lit(3)), "_id").limit(sample).select("_id")
-    texts = docs.join(F.broadcast(learn), docs[id_col] == F.col("_id"), "left_semi")  # at most `sample` ids
-    table, unknown = weights(texts, text)
     named = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(lang), F.lit("")).alias("_lang"), F.col(text).alias("_t"))
-    scored = stored(perplexities(named, table, unknown, ["_id", "_lang"], "_t", head)
-                    .withColumn("_log", -F.col("log10_prob") / F.col("n_tokens")), "scored")
+    learn = ids.where("_learn").select("_id")
+    few = learn.count() <= MOST_SENT
+    model = train(named.join(F.broadcast(learn) if few else learn, "_id", "left_semi"), "_t")
+    scored = stored(score(named, model, ["_id", "_lang"], "_t").select(
+        "_id", "_lang", "n_tokens", F.col("score").alias("log10_prob"),
+        (-F.col("score") / F.col("n_tokens")).alias("_log")), "scored")
     edge, every = thresholds(scored.join(ids.where(~F.col("_learn")), "_id", "left_semi"), "_lang", "_log", quantile)
+    limit = F.coalesce("edge", F.lit(every).cast("double")) if model.pairs else F.lit(None).cast("double")
     out = scored.join(edge.withColumnRenamed("_l", "_lang"), "_lang", "left")
-    limit = F.coalesce("edge", F.lit(every).cast("double"))
     return out.select(F.col("_id").alias(id_col), F.col("_lang").alias(lang), "n_tokens", "log10_prob",
                       F.pow(F.lit(10.0), "_log").alias("perplexity"), F.pow(F.lit(10.0), limit).alias("threshold"),
                       F.coalesce(F.col("_log") <= limit, F.lit(True)).alias("kept"))
