@@ -9,9 +9,10 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as entry
+from ticketflow.plans import registry
 from conftest import MEDIUM
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.queries())
 
 
 def _norm(v):
@@ -26,14 +27,14 @@ def _bag(cols, rows):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(registry.oracle_sql()) == set(registry.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_matches_duckdb(spark, duck, name):
-    df = entry.queries()[name](spark, MEDIUM)
+    df = registry.queries()[name](spark, MEDIUM)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(entry.oracle_sql()[name])
+    cur = duck.execute(registry.oracle_sql()[name])
     dcols = [d[0] for d in cur.description]
     drows = cur.fetchall()
     assert sorted(df.columns) == sorted(dcols)

@@ -9,6 +9,7 @@ from datetime import date
 import pytest
 
 import __spark_entry__ as entry
+from ticketflow.plans import registry
 from conftest import MEDIUM
 from ticketflow.config import FIXTURE
 from ticketflow.operators import filters as P
@@ -45,9 +46,9 @@ def test_fanout_joins_are_counted_not_multiplied(tables):
     assert "partial_count" in text
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_no_cartesian_or_python_udf(spark, name):
-    text = plan_text(entry.queries()[name](spark, MEDIUM))
+    text = plan_text(registry.queries()[name](spark, MEDIUM))
     for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
                 "PythonUDF", "MapInPandas", "FlatMapGroupsInPandas"):
         assert bad not in text, f"{name}: {bad}"
@@ -100,7 +101,7 @@ def test_building_queries_runs_no_job(spark):
     """Every registered query is a lazy plan: building it starts no Spark job
     (no collect, count or schema sampling on the way)."""
     tracker = spark.sparkContext.statusTracker()
-    qs = entry.queries()
+    qs = registry.queries()
     qs["closed_daily"](spark, MEDIUM)           # table definitions loaded once
     spark.sparkContext.setJobGroup("tf-build", "build only")
     try:

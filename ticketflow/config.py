@@ -96,7 +96,6 @@ class Config:
     n_weeks: int = 3
     after_success_days: int = 60
     asof_bucket: str = "day"  # time bucket of the as-of join: "day", or "hour" for very hot devices
-    max_rows: int | None = None  # the reference's per-statement row cap is 10000
 
     def replace(self, **kw) -> "Config":
         return dataclasses.replace(self, **kw)
@@ -109,3 +108,6 @@ FIXTURE = Config(
     baseline_start=date(2001, 5, 1),
     baseline_end=date(2001, 6, 30),
 )
+
+# A later report date: its baseline ended long before the lookback begins.
+FIXTURE_LATE = FIXTURE.replace(as_of=date(2001, 12, 20), baseline_start=date(2001, 7, 1), baseline_end=date(2001, 7, 31))

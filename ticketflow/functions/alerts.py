@@ -38,8 +38,8 @@ def trend(values: Sequence[ColLike], flat_pct: float = C.TREND_FLAT_PCT) -> tupl
 
 
 def signed_pct(x: ColLike) -> Column:
-    """Python's f"{sign}{pct}%" with pct rounded to 1 decimal."""
-    return F.format_string("%.1f%%", _c(x))
+    """A percentage with its sign and one decimal, '+3.4%'."""
+    return F.format_string("%+.1f%%", _c(x))
 
 
 def vs_baseline(cur: ColLike, base: ColLike, higher_is_good: bool | Column = True) -> tuple[Column, Column]:
@@ -55,7 +55,7 @@ def vs_baseline(cur: ColLike, base: ColLike, higher_is_good: bool | Column = Tru
     pct = round_even(diff / b * F.lit(100.0), 1)
     text = F.when(c.isNull() | b.isNull(), "-") \
         .when(b == 0, F.concat(sign, F.lit("0%"))) \
-        .otherwise(F.concat(sign, signed_pct(pct)))
+        .otherwise(signed_pct(pct))
     good = ((diff >= 0) & hig) | ((diff < 0) & ~hig)
     direction = F.when(c.isNull() | b.isNull(), "neutral").when(good, "good").otherwise("bad")
     return text, direction

@@ -1,8 +1,7 @@
 """Percentages and rounding.
 
 The reference rounds with Python's ``round`` (ties to even) and, in one table,
-with JavaScript's ``Math.round`` (ties up).  ``bround`` / ``round`` are the
-Spark counterparts.  Every rate is computed in DOUBLE (a ``100.0`` SQL literal
+with JavaScript's ``Math.round`` (ties up).  Every rate is computed in DOUBLE (a ``100.0`` SQL literal
 would be DECIMAL and round differently).
 """
 
@@ -15,7 +14,23 @@ from .timeops import ColLike, _c
 
 
 def round_even(x: ColLike, digits: int) -> Column:
-    return F.bround(_c(x), digits)
+    """Python's ``round``: to the nearest decimal of the double itself, ties to even.
+
+    ``bround`` rounds the double's shortest decimal, so where that ends in 5 one
+    place further (k/20 with odd k, at one digit) it sees a tie that the double
+    may not be.  There the exact remainder of 20 x - k decides (the product is
+    split so that no bit is lost)."""
+    q = _c(x).cast("double")
+    if digits != 1:
+        return F.bround(q, digits)
+    k = F.rint(q * F.lit(20.0))
+    big = F.lit(134217729.0) * q
+    hi = big - (big - q)
+    rest = (F.lit(20.0) * hi - k) + F.lit(20.0) * (q - hi)
+    maybe = (k / F.lit(20.0) == q) & (k % F.lit(2.0) != 0)
+    return (F.when(maybe & (rest > 0), (k + F.lit(1.0)) / F.lit(20.0))
+            .when(maybe & (rest < 0), (k - F.lit(1.0)) / F.lit(20.0))
+            .otherwise(F.bround(q, 1)))
 
 
 def round_up(x: ColLike, digits: int) -> Column:

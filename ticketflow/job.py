@@ -18,6 +18,7 @@ from pyspark.sql import SparkSession
 
 from .config import Config
 from .plans import report
+from .session import tune
 from .sources import tables as T
 from .sources.fixtures import Tables
 from .sources.sinks import refresh_stamp, write_panels
@@ -30,7 +31,7 @@ def source_tables(spark: SparkSession, prefix: str = "", paths: dict[str, str] |
     def get(name: str):
         if name in paths:
             return T.read(spark, name, paths[name])
-        return spark.table(prefix + name).select(*T.SCHEMAS[name].fieldNames())
+        return T.by_name(spark, name, prefix)
 
     assign = spark.table(assignments) if assignments else None
     return Tables(
@@ -48,7 +49,8 @@ def run_job(t: Tables, cfg: Config, out: str, refreshed_at: str | None = None,
     """Build and write every panel; returns rows written per panel."""
     panels = report.run_all(t, cfg)
     try:
-        return write_panels(panels, out, cfg.as_of, refreshed_at or refresh_stamp(), fmt)
+        stamp = refreshed_at or refresh_stamp(offset_minutes=cfg.offset_minutes)
+        return write_panels(panels, out, cfg.as_of, stamp, fmt)
     finally:
         report.release(t, cfg)
 
@@ -60,14 +62,17 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--tables-prefix", default="")
     ap.add_argument("--paths", default="", help="name=path,... for tables read from files")
     ap.add_argument("--cohort-start", type=date.fromisoformat)
+    ap.add_argument("--baseline-start", type=date.fromisoformat)
+    ap.add_argument("--baseline-end", type=date.fromisoformat)
+    ap.add_argument("--assignments", help="catalog name of the ticket assignments; adds the assignment-delay panel")
     ap.add_argument("--format", default="parquet")
     a = ap.parse_args(argv)
-    spark = SparkSession.builder.getOrCreate()
+    spark = tune(SparkSession.builder.getOrCreate())
     paths = dict(kv.split("=", 1) for kv in a.paths.split(",") if kv)
     cfg = Config(as_of=a.as_of)
-    if a.cohort_start:
-        cfg = cfg.replace(cohort_start=a.cohort_start)
-    counts = run_job(source_tables(spark, a.tables_prefix, paths), cfg, a.out, fmt=a.format)
+    given = {"cohort_start": a.cohort_start, "baseline_start": a.baseline_start, "baseline_end": a.baseline_end}
+    cfg = cfg.replace(**{k: v for k, v in given.items() if v})
+    counts = run_job(source_tables(spark, a.tables_prefix, paths, a.assignments), cfg, a.out, fmt=a.format)
     for name, n in counts.items():
         print(f"{name}: {n} rows")
 

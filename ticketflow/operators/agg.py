@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.buckets import Buckets, bucket_frame
+from ..functions.buckets import Buckets
 
 
 def count_by(df: DataFrame, by: Sequence[Column | str], name: str = "n") -> DataFrame:
@@ -34,14 +34,12 @@ def weighted_counts(df: DataFrame, by: Sequence[Column | str], measures: Mapping
 
 def zero_fill(df: DataFrame, buckets: Buckets, measures: Sequence[str],
               label: str = "age_bucket") -> DataFrame:
-    """Every bucket present, in rank order, missing measures 0.  The bucket
-    dimension has a handful of rows fixed by configuration, so the join is a
-    broadcast of that side."""
-    dim = bucket_frame(df.sparkSession, buckets, label)
-    out = F.broadcast(dim).join(df, label, "left")
-    for m in measures:
-        out = out.withColumn(m, F.coalesce(F.col(m), F.lit(0)).cast("bigint"))
-    return out
+    """Every bucket present, in rank order, missing measures 0: one aggregate with a
+    struct for each bucket of the configuration, unfolded; no join."""
+    rows = [F.struct(F.lit(b[0]).alias(label), F.lit(i).alias("bucket_rank"), *[
+        F.coalesce(F.max(F.when(F.col(label) == b[0], F.col(m))), F.lit(0)).cast("bigint").alias(m) for m in measures])
+        for i, b in enumerate(buckets, start=1)]
+    return df.agg(F.array(*rows).alias("_rows")).select(F.explode("_rows").alias("_r")).select("_r.*")
 
 
 def bucket_total(df: DataFrame, label: str, labels: Sequence[str], measure: str,
@@ -52,11 +50,11 @@ def bucket_total(df: DataFrame, label: str, labels: Sequence[str], measure: str,
 
 
 def with_total(df: DataFrame, dim: str, measures: Sequence[str], label: str = "Total") -> DataFrame:
-    """Rows per ``dim`` plus a grand-total row labelled ``label`` (ROLLUP)."""
-    aggs = [F.sum(m).cast("bigint").alias(m) for m in measures]
-    return (df.rollup(dim).agg(*aggs, F.grouping(dim).alias("_g"))
-            .withColumn(dim, F.when(F.col("_g") == 1, F.lit(label)).otherwise(F.col(dim)))
-            .drop("_g"))
+    """Rows per ``dim`` plus a grand-total row labelled ``label``, which is there (0)
+    for an empty input too."""
+    per = df.groupBy(dim).agg(*[F.sum(m).cast("bigint").alias(m) for m in measures])
+    total = per.agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in measures])
+    return per.unionByName(total.select(F.lit(label).alias(dim), *measures))
 
 
 def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "median") -> DataFrame:

@@ -1,6 +1,4 @@
-"""Result ordering.  Ordering is applied once, at the end of a panel; a row cap
-is optional (the reference's BI server capped every statement at 10,000 rows,
-far above any panel's size) and, when set, plans as TakeOrderedAndProject."""
+"""Result ordering, applied once at the end of a panel."""
 
 from __future__ import annotations
 
@@ -10,18 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def by_period(df: DataFrame, col: str, max_rows: int | None = None) -> DataFrame:
-    return top(df, [F.col(col).asc_nulls_last()], max_rows)
+def by_period(df: DataFrame, col: str) -> DataFrame:
+    return df.orderBy(F.col(col).asc_nulls_last())
 
 
-def by_bucket(df: DataFrame, rank: Column, max_rows: int | None = None) -> DataFrame:
-    return top(df, [rank], max_rows)
+def by_bucket(df: DataFrame, rank: Column) -> DataFrame:
+    return df.orderBy(rank)
 
 
 def newest_first(df: DataFrame, ts: str, ties: Sequence[str] = ()) -> DataFrame:
     return df.orderBy(F.col(ts).desc_nulls_last(), *[F.col(t).asc_nulls_last() for t in ties])
-
-
-def top(df: DataFrame, order: Sequence[Column], max_rows: int | None = None) -> DataFrame:
-    out = df.orderBy(*order)
-    return out.limit(max_rows) if max_rows else out

@@ -34,8 +34,8 @@ from ..sources.fixtures import Tables
 def shared(fn):
     """Build a panel's lazy plan once per (tables, config, arguments).
 
-    Only the DataFrame definition is kept (no data, no executed stages); every
-    registered query wraps it in a fresh projection before it runs."""
+    Only the DataFrame definition is kept (no data, no executed stages), and only
+    as long as its ``Tables``: one query or one refresh."""
     @functools.wraps(fn)
     def wrapper(t, cfg, *args):
         key = (fn.__name__, cfg, args)
@@ -226,12 +226,9 @@ def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi) -> DataFrame:
     [lo, hi], with per-ticket counts of its live performance rows."""
     off = cfg.offset_minutes
     tk = P.on_local_days(P.eq(t.tasks, "type", C.TICKET_TYPE), "created", lo, hi, off).select("id", "created")
-    # Only performance rows of these tickets are counted: the semi join runs
-    # before any shuffle of the performance table when the ticket side is
-    # small enough for AQE to broadcast, and keeps old tickets' rows out.
-    perf = P.not_deleted(t.task_performance)
-    perf = perf.join(tk.select("id"), perf["reporterid"] == tk["id"], "left_semi")
-    counts = match_counts(perf, "reporterid", {
+    # Counted per ticket first (combined map-side: one row per ticket and map
+    # task leaves the scan), joined with one row per ticket after.
+    counts = match_counts(P.not_deleted(t.task_performance), "reporterid", {
         "_rec": F.col("score") == C.SCORE_RECOVERED,
         "_fail": F.col("score") == C.SCORE_FAILED,
         "_unres": F.col("task_resolved_time").isNull(),
@@ -353,6 +350,14 @@ def assigned_daily(t: Tables, cfg: Config) -> DataFrame:
     return count_by(lg, [local_date("added_time", off).alias("d")], "assigned")
 
 
+@shared
+def assigned_between(t: Tables, cfg: Config, lo, hi) -> DataFrame:
+    """Assignment events per local day in [lo, hi]."""
+    off = cfg.offset_minutes
+    lg = P.on_local_days(P.eq(t.task_logs, "event_name", C.ASSIGN_EVENT), "added_time", lo, hi, off)
+    return count_by(lg, [local_date("added_time", off).alias("d")], "assigned")
+
+
 @shared
 def assignment_delay(t: Tables, cfg: Config) -> DataFrame:
     """X2 (inferred): tickets assigned, share within 24 h, median hours from the
@@ -398,6 +403,15 @@ def pickup_locations(t: Tables, cfg: Config) -> DataFrame:
     return existing_keys(tk, jsonops.number("extra_data", "nas_id"), "nas_id")
 
 
+@shared
+def unreadable_locations(t: Tables, cfg: Config) -> DataFrame:
+    """Recent pickup tickets, and how many have no readable location id (their
+    customers count as missed)."""
+    tk = P.since(P.eq(t.tasks, "type", C.TICKET_TYPE), "created", cfg.as_of, cfg.puts_lookback_days)
+    return tk.agg(F.count(F.lit(1)).alias("tickets"),
+                  F.count_if(jsonops.number("extra_data", "nas_id").isNull()).alias("unreadable"))
+
+
 @shared
 def devices_per_location(t: Tables, cfg: Config) -> DataFrame:
     """Latest audit row per device in the lookback, counted per location."""
@@ -448,7 +462,8 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     p = P.on_local_days(P.not_deleted(t.task_performance), "task_resolved_time", lo, cfg.as_of, off) \
         .filter((F.col("score") == C.SCORE_RECOVERED) & P.not_null("customer_device_id"))
     p = p.select("reporterid", "customer_device_id", "task_resolution_type", "score", "task_resolved_time")
-    ra = ra_audit(t).select("device_id", "modified_time")
+    # a return later than a resolution is later than the first resolution day's start
+    ra = P.on_local_days(ra_audit(t), "modified_time", lo, None, off).select("device_id", "modified_time")
     fa = first_after(p, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",
                      out="ra_time", bucket=cfg.asof_bucket).filter(F.col("ra_time").isNotNull())
     lt = latest_tickets(t, cfg)

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE, Config
+from ..config import FIXTURE, FIXTURE_LATE, Config
 from ..functions.timeops import day_label, local_date, minute_text, ntz_text, period_label
 from ..sources import fixtures
 from ..sources.fixtures import Tables
@@ -127,6 +127,10 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "weekly_resolution_ratio": lambda t, c: _labels(summary.weekly_ratios(t, c).select(
         "week_start", "router_pct", "customer_pct", "general_pct"), week_start="week"),
     "baseline_ratio": summary.baseline_ratio,
+    # a baseline older than the lookback of the daily panels
+    "baseline_avg_old": lambda t, c: summary.baseline_avg(t, FIXTURE_LATE),
+    "baseline_ratio_old": lambda t, c: summary.baseline_ratio(t, FIXTURE_LATE),
+    "unreadable_locations": panels.unreadable_locations,
     "trend": summary.trend,
     "vs_baseline": summary.vs_baseline,
     "weekly_summary": summary.weekly_summary,

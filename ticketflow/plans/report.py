@@ -14,7 +14,6 @@ from datetime import timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import Config
@@ -24,7 +23,7 @@ from ..sources.fixtures import Tables
 from . import panels, summary
 
 ALERT = ("missed_puts", "assignments", "daily", "mom", "open_ages", "ra_aging", "ra_weekly", "summary")
-SAMPLES = ("after_success",)
+SAMPLES = ("after_success", "unreadable")
 LIVE = ("live_mom", "live_daily", "live_open_ages")
 SCORE = ("score_mom", "score_daily", "score_open_ages")
 
@@ -35,6 +34,7 @@ def shared_inputs(t: Tables, cfg: Config) -> list[DataFrame]:
         # inputs of several panels
         panels.latest_tickets(t, cfg, ("id", "created", "status"), cfg.cohort_start),
         panels.closed_outcomes_daily(t, cfg, lo, cfg.as_of),
+        summary.daily_outcomes(t, cfg),
         panels.failed_latest(t, cfg),
         # small per-day / per-bucket panels the weekly summary reads again
         panels.missed_daily(t, cfg),
@@ -46,19 +46,18 @@ def shared_inputs(t: Tables, cfg: Config) -> list[DataFrame]:
 
 def run_all(t: Tables, cfg: Config, persist: bool = True) -> dict[str, DataFrame]:
     """Every panel of the three jobs, each ordered for display (by period or
-    bucket rank) and capped at ``cfg.max_rows`` when that is set."""
+    bucket rank)."""
     if persist:
         for df in shared_inputs(t, cfg):
             df.persist(StorageLevel.MEMORY_AND_DISK)
-    cap = cfg.max_rows
 
     def by(df: DataFrame, col: str) -> DataFrame:
-        return sorts.by_period(df, col, cap)
+        return sorts.by_period(df, col)
 
     def ranked(df: DataFrame, buckets) -> DataFrame:
-        return sorts.by_bucket(df, bucket_rank("age_bucket", buckets + (("Total", None, None),)), cap)
+        return sorts.by_bucket(df, bucket_rank("age_bucket", buckets + (("Total", None, None),)))
 
-    return {
+    out = {
         # alert job
         "missed_puts": by(panels.missed_daily(t, cfg), "d"),
         "assignments": by(panels.assigned_daily(t, cfg), "d"),
@@ -67,7 +66,7 @@ def run_all(t: Tables, cfg: Config, persist: bool = True) -> dict[str, DataFrame
         "open_ages": ranked(summary.open_age_signals(t, cfg), C.OPEN_BUCKETS),
         "ra_aging": ranked(summary.ra_ageing_total(t, cfg), C.RA_BUCKETS),
         "ra_weekly": by(panels.ra_weekly(t, cfg), "week_start"),
-        "summary": sorts.top(summary.weekly_summary(t, cfg), [F.col("ord")], cap),
+        "summary": sorts.by_period(summary.weekly_summary(t, cfg), "ord"),
         # live job (status based)
         "live_mom": by(panels.cohort_status_live(t, cfg), "month"),
         "live_daily": by(panels.closed_daily_since_start(t, cfg), "resolved_date"),
@@ -76,10 +75,15 @@ def run_all(t: Tables, cfg: Config, persist: bool = True) -> dict[str, DataFrame
         "score_mom": by(panels.cohort_score_rates(t, cfg), "month"),
         "score_daily": by(panels.closed_rolling_7_score(t, cfg), "resolved_date"),
         "score_open_ages": ranked(panels.open_age_score(t, cfg), C.OPEN_BUCKETS),
+        # tickets whose location cannot be read, so that their customers count as missed
+        "unreadable": panels.unreadable_locations(t, cfg),
         # returned after success: newest resolution first, as in the sample
         "after_success": sorts.newest_first(panels.returned_after_success(t, cfg), "resolved_ist",
                                             ["task_id", "ra_returned_ist"]),
     }
+    if t.ticket_assignments is not None:
+        out["assignment_delay"] = panels.assignment_delay(t, cfg)
+    return out
 
 
 def release(t: Tables, cfg: Config) -> None:

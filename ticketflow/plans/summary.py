@@ -44,7 +44,8 @@ def weeks(t: Tables, cfg: Config) -> DataFrame:
 
 @shared
 def daily_outcomes(t: Tables, cfg: Config) -> DataFrame:
-    lo = cfg.as_of - timedelta(days=cfg.lookback_days)
+    """Closures per day over the weeks and the whole baseline, however old it is."""
+    lo = min(cfg.as_of - timedelta(days=cfg.lookback_days), cfg.baseline_start)
     return panels.closed_outcomes_daily(t, cfg, lo, cfg.as_of)
 
 
@@ -69,7 +70,8 @@ def weekly_avg_assigned(t: Tables, cfg: Config) -> DataFrame:
 @shared
 def weekly_ratios(t: Tables, cfg: Config) -> DataFrame:
     """Per ISO week, every ratio metric as its own column (one aggregate)."""
-    d = W.by_week(daily_outcomes(t, cfg), "d")
+    lo = cfg.as_of - timedelta(days=cfg.lookback_days)
+    d = W.by_week(panels.closed_outcomes_daily(t, cfg, lo, cfg.as_of), "d")
     sums = [F.sum(col).alias(f"_{key}") for key, _, col, _ in RATIO_METRICS]
     agg = d.groupBy("week_start").agg(F.sum("total_closed").alias("_den"), *sums)
     return agg.select("week_start", *[pct(f"_{key}", "_den").alias(f"{key}_pct")
@@ -81,14 +83,14 @@ def weekly_ra_total(t: Tables, cfg: Config) -> DataFrame:
     """RA returns in each of the last complete weeks (NULL if none)."""
     wk = weeks(t, cfg)
     ra = panels.ra_weekly(t, cfg)
-    return W.total(F.broadcast(wk).join(ra, "week_start", "left"), ["slot", "week_start"], "ra_returns", "ra_returns")
+    return W.total(wk.join(ra, "week_start", "left"), ["slot", "week_start"], "ra_returns", "ra_returns")
 
 
 @shared
 def baseline_avg(t: Tables, cfg: Config) -> DataFrame:
     """Assignments per day over the baseline range."""
-    b = W.baseline_avg(panels.assigned_daily(t, cfg), "d", "assigned",
-                       cfg.baseline_start, cfg.baseline_end)
+    daily = panels.assigned_between(t, cfg, cfg.baseline_start, cfg.baseline_end)
+    b = W.baseline_avg(daily, "d", "assigned", cfg.baseline_start, cfg.baseline_end)
     return b.select(F.lit(C.M_ASSIGNED).alias("metric"), "baseline")
 
 
@@ -102,7 +104,7 @@ def baseline_ratio(t: Tables, cfg: Config) -> DataFrame:
     present = agg.select(names[F.col("metric")].alias("metric"), pct("_n", "_d").alias("baseline"))
     # Metrics with no baseline day at all still get a row (NULL baseline).
     every = _spark(t).createDataFrame([(cap,) for _, cap, _, _ in RATIO_METRICS], "metric string")
-    return F.broadcast(every).join(present, "metric", "left")
+    return every.join(present, "metric", "left")
 
 
 # ---------------------------------------------------------------- three-week rows
@@ -145,7 +147,8 @@ def week_rows(t: Tables, cfg: Config) -> DataFrame:
         F.lit(C.M_MISSED).alias("metric"), "w3", "w2", "w1",
         F.lit(None).cast("double").alias("baseline"), F.lit(False).alias("higher_is_good"),
         F.lit(-2).alias("_i"))
-    assigned = _avg_row(panels.assigned_daily(t, cfg), "assigned", cfg, True).select(
+    lo = min(cfg.as_of - timedelta(days=cfg.lookback_days), cfg.baseline_start)
+    assigned = _avg_row(panels.assigned_between(t, cfg, lo, cfg.as_of), "assigned", cfg, True).select(
         F.lit(C.M_ASSIGNED).alias("metric"), "w3", "w2", "w1", "baseline",
         F.lit(True).alias("higher_is_good"), F.lit(-1).alias("_i"))
     ratios = ratio_week_rows(t, cfg).select(*cols)

@@ -36,6 +36,13 @@ CLUSTER_CONF = {
 }
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a launcher's session."""
+    for k, v in RUNTIME_CONF.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "ticketflow") -> SparkSession:
     builder = (

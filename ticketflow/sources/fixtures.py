@@ -51,11 +51,6 @@ BASE_SCHEMAS = {
     "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
 }
 
-# Lazy table definitions per (session, folder): like registering tables in a
-# catalog once, so repeated panels do not list and open the files again.
-_LOADED: dict[tuple[int, str], "Tables"] = {}
-
-
 def read_base(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
     return spark.read.schema(BASE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet").select(*cols)
 
@@ -149,13 +144,7 @@ def ticket_assignments(orders: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark._jsparkSession), sf_dir)
-    if key not in _LOADED:
-        _LOADED[key] = _load(spark, sf_dir)
-    return _LOADED[key]
-
-
-def _load(spark: SparkSession, sf_dir: str) -> Tables:
+    """The tables as they are now: the files are listed anew on every call."""
     orders = read_base(spark, sf_dir, "orders",
                        ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"])
     lineitem = read_base(spark, sf_dir, "lineitem",

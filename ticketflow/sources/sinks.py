@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 
 
 def refresh_stamp(now: datetime | None = None, offset_minutes: int = 330) -> str:
-    """Local refresh time as 'yyyy-MM-dd HH:mm IST' (one driver-side value)."""
+    """Local refresh time as 'yyyy-MM-dd HH:mm IST'; offsets other than that zone's
+    are named by themselves ('UTC+02:00')."""
     now = now or datetime.now(timezone.utc)
     if now.tzinfo is None:
         now = now.replace(tzinfo=timezone.utc)
     local = now.astimezone(timezone(timedelta(minutes=offset_minutes)))
-    return local.strftime("%Y-%m-%d %H:%M IST")
+    zone = "IST" if offset_minutes == 330 else f"UTC{local.strftime('%z')[:3]}:{local.strftime('%z')[3:]}"
+    return f"{local:%Y-%m-%d %H:%M} {zone}"
 
 
 def with_row_count(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:

@@ -80,10 +80,18 @@ def read(spark: SparkSession, name: str, location: str | None = None, fmt: str =
     """A source table by catalog name, or by path with the declared schema."""
     schema = SCHEMAS[name]
     if location is None:
-        return spark.table(name).select(*schema.fieldNames())
+        return by_name(spark, name)
     return spark.read.format(fmt).schema(schema).load(location)
 
 
+def by_name(spark: SparkSession, name: str, prefix: str = "") -> DataFrame:
+    """A catalog table with its declared columns and the date partition columns of
+    its times (``<ts>__date``), so that time ranges skip partitions here too."""
+    df, fields = spark.table(prefix + name), SCHEMAS[name].fieldNames()
+    parts = [partition_column(c) for c in fields]
+    return df.select(*fields, *[c for c in df.columns if c in parts])
+
+
 def tasks(spark, location=None):
     return read(spark, "tasks", location)
 
