@@ -50,8 +50,8 @@ def _targets(cells: DataFrame, dim: str, given: dict | None, temper: float) -> D
     else:
         rows = [(k if k is not None else "", float(v)) for k, v in given.items() if v > 0]
         raw = have.join(cells.sparkSession.createDataFrame(rows, f"{dim} string, raw double"), dim).select(dim, "raw")
-    total = raw.agg(F.sum("raw").alias("total"))
-    return raw.crossJoin(F.broadcast(total)).select(dim, (F.col("raw") / F.col("total")).alias(f"goal_{dim}"))
+    total = raw.agg(F.sum("raw")).first()[0]  # null: no category has a token, so there is no row to divide
+    return raw.select(dim, (F.col("raw") / F.lit(total).cast("double")).alias(f"goal_{dim}"))
 
 
 def rake(cells: DataFrame, dims: list[str], targets: dict[str, dict | None] | None = None, temper: float = TEMPER,
