@@ -95,7 +95,6 @@ class Config:
     rolling_rows: int = 7
     n_weeks: int = 3
     after_success_days: int = 60
-    asof_bucket: str = "day"  # time bucket of the as-of join: "day", or "hour" for very hot devices
 
     def replace(self, **kw) -> "Config":
         return dataclasses.replace(self, **kw)

@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.timeops import minute_number
+
 
 def with_latest(left: DataFrame, latest: DataFrame, left_key: str, right_key: str,
                 cols: Sequence[str]) -> DataFrame:
@@ -78,21 +80,17 @@ def match_counts(right: DataFrame, key: str, measures: dict[str, Column]) -> Dat
 
 
 def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                left_ts: str, right_ts: str, out: str = "next_ts",
-                bucket: str = "day") -> DataFrame:
+                left_ts: str, right_ts: str, out: str = "next_ts") -> DataFrame:
     """For each left row, the earliest right time with the same key strictly
     after the left time (NULL when none).  Every left row is kept.
 
-    Time is cut into buckets (``bucket`` = 'day' or 'hour'), so the work is
-    partitioned by (key, bucket) and a key with many rows is spread over many
-    tasks.  Within a bucket a window over the time-ordered union finds the next
-    right time; across buckets each key carries one row per bucket holding the
-    first right time of every later bucket.  No (left, right) pair is produced.
+    Time is cut into minutes, so the work is partitioned by (key, minute) and a
+    key with many rows is spread over many tasks; no key has more in a task than
+    it has rows in one minute.  Within a minute a window over the time-ordered
+    union finds the next right time; across minutes each key carries one row per
+    minute holding the first right time of every later one.  No (left, right)
+    pair is produced.
     """
-    def bkt(c: Column) -> Column:
-        # Monotone in time and independent of the session time zone.
-        return F.to_date(c) if bucket == "day" else F.substring(c.cast("string"), 1, 13)
-
     # Left rows without a key can match nothing; a salt spreads them over many
     # window partitions instead of one NULL-key partition (keyed rows: salt 0).
     salt = F.when(F.col(left_key).isNull(), F.monotonically_increasing_id() % 1024 + 1).otherwise(0)
@@ -101,7 +99,7 @@ def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str
     r_in = (right.select(F.col(right_key).alias("_k"), F.col(right_ts).alias("_t"))
             .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
             .withColumn("_side", F.lit(0)).withColumn("_salt", F.lit(0).cast("long")))
-    both = l_in.unionByName(r_in, allowMissingColumns=True).withColumn("_b", bkt(F.col("_t")))
+    both = l_in.unionByName(r_in, allowMissingColumns=True).withColumn("_b", minute_number("_t"))
 
     # Same bucket, scanned newest first: a left row sees every right row later
     # than it (left before right at equal time keeps "strictly after").  A
@@ -121,8 +119,11 @@ def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str
              .groupBy("_k", "_b").agg(F.min(right_t).alias("_first")))
     w_later = (Window.partitionBy("_k").orderBy(F.col("_b").desc())
                .rowsBetween(Window.unboundedPreceding, -1))
-    later = spine.withColumn("_later", F.min("_first").over(w_later)).select("_k", "_b", "_later")
+    later = (spine.withColumn("_later", F.min("_first").over(w_later))
+             .select("_k", "_b", F.lit(0).cast("long").alias("_salt"), "_later"))
 
-    res = tagged.join(later, ["_k", "_b"], "left")
+    # The salt stays in the key: the window's partitioning serves the join, and
+    # left rows without a key stay spread.
+    res = tagged.join(later, ["_k", "_b", "_salt"], "left")
     return (res.withColumn(out, F.coalesce(F.col("_same"), F.col("_later")))
             .drop("_k", "_t", "_side", "_salt", "_b", "_same", "_later"))

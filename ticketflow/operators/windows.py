@@ -7,16 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeops import ColLike, _c
-
-
-def next_event(df: DataFrame, key: str, ts: str, value: ColLike | None = None,
-               tie_cols: Sequence[str] = (), out: str = "next_ts") -> DataFrame:
-    """LEAD(value) OVER (PARTITION BY key ORDER BY ts, tie_cols ASC NULLS LAST).
-    NULL means the row is the key's last (or the next row has no time)."""
-    w = Window.partitionBy(key).orderBy(F.col(ts).asc_nulls_last(),
-                                        *[F.col(c).asc_nulls_last() for c in tie_cols])
-    return df.withColumn(out, F.lead(_c(value) if value is not None else F.col(ts)).over(w))
+from ..functions.timeops import minute_number
+
+def next_event(df: DataFrame, key: str, ts: str, tie_cols: Sequence[str] = (), out: str = "next_ts") -> DataFrame:
+    """LEAD(ts) OVER (PARTITION BY key ORDER BY ts, tie_cols ASC NULLS LAST).
+    NULL means the row is the key's last (or the next row has no time).
+
+    The window runs within a (key, minute); the last row of a minute takes the
+    first time of the key's next one from one row per (key, minute), so a hot key
+    is spread over its minutes.  Rows without a time need no window."""
+    w = Window.partitionBy("_k", "_b").orderBy(F.col(ts), *[F.col(c).asc_nulls_last() for c in tie_cols])
+    timed = df.filter(F.col(ts).isNotNull()).withColumn("_k", F.col(key)).withColumn("_b", minute_number(ts))
+    spine = timed.groupBy(F.col("_k").alias("_sk"), F.col("_b").alias("_sb")).agg(F.min(ts).alias("_first"))
+    spine = spine.withColumn("_after", F.lead("_first").over(Window.partitionBy("_sk").orderBy("_sb"))).drop("_first")
+    res = timed.withColumn("_lead", F.lead(ts).over(w)).join(
+        spine, F.col("_k").eqNullSafe(F.col("_sk")) & (F.col("_b") == F.col("_sb")), "left")
+    res = res.withColumn(out, F.coalesce("_lead", "_after")).drop("_k", "_b", "_sk", "_sb", "_lead", "_after")
+    untimed = df.filter(F.col(ts).isNull())
+    return res.unionByName(untimed.withColumn(out, F.col(ts)))
 
 
 def last_events(df: DataFrame, key: str, ts: str, tie_cols: Sequence[str] = ()) -> DataFrame:
@@ -36,12 +44,17 @@ def last_events(df: DataFrame, key: str, ts: str, tie_cols: Sequence[str] = ())
 
 
 def rolling_sums(df: DataFrame, order: str, cols: Sequence[str], rows: int = 7,
-                 by: Sequence[str] = (), suffix: str = "_roll") -> DataFrame:
+                 by: Sequence[str] = (), suffix: str = "_roll", calendar: bool = False) -> DataFrame:
     """Trailing frame of ``rows`` rows (rows-1 before + current), shorter at the
     start.  Rows, not days: days without a row are skipped, as in the reference.
     Without ``by`` the frame runs over one ordered partition, which is meant for
-    per-day aggregates (one row per day)."""
-    w = Window.partitionBy(*by).orderBy(order).rowsBetween(-(rows - 1), 0)
+    per-day aggregates (one row per day).  ``calendar`` takes the last ``rows``
+    calendar days instead; ``order`` is then a date."""
+    if calendar:
+        day = F.datediff(F.col(order), F.lit("1970-01-01").cast("date"))
+        w = Window.partitionBy(*by).orderBy(day).rangeBetween(-(rows - 1), 0)
+    else:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(-(rows - 1), 0)
     out = df
     for c in cols:
         out = out.withColumn(c + suffix, F.sum(F.coalesce(F.col(c), F.lit(0))).over(w))

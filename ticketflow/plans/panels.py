@@ -14,7 +14,7 @@ from __future__ import annotations
 import functools
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -94,9 +94,10 @@ def ra_audit(t: Tables) -> DataFrame:
 # ---------------------------------------------------------------- closures per day
 
 @shared
-def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi) -> DataFrame:
+def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi, by: tuple[str, ...] = ()) -> DataFrame:
     """alert.Q3 + alert.Q3c in one aggregate: performance rows resolved on local
-    days [lo, hi], outcome from the latest ticket version (status-based)."""
+    days [lo, hi], outcome from the latest ticket version (status-based); ``by``
+    names further columns of that version to group by."""
     off = cfg.offset_minutes
     p = P.on_local_days(live_performance(t), "task_resolved_time", lo, hi, off)
     # One row per (ticket, local day, resolution type) with its row count: a
@@ -104,14 +105,14 @@ def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi) -> DataFrame:
     # map-side before the status lookup shuffles by ticket id.
     per = p.groupBy("reporterid", local_date("task_resolved_time", off).alias("d"), "task_resolution_type") \
         .agg(F.count(F.lit(1)).alias("_n"))
-    j = with_latest(per, latest_tickets(t, cfg, ("id", "created", "status")), "reporterid", "id", ["status"])
+    j = with_latest(per, latest_tickets(t, cfg, ("id", "created", "status", *by)), "reporterid", "id", ["status", *by])
     st, rt, n = F.col("status"), F.col("task_resolution_type"), F.col("_n")
     ok = st == C.STATUS_SUCCESS
 
     def rows_if(cond):
         return F.when(cond, n).otherwise(0)
 
-    return weighted_counts(j, ["d"], {
+    return weighted_counts(j, [*by, "d"], {
         "total_closed": n,
         "success": rows_if(ok),
         "failed": rows_if(st == C.STATUS_FAILED),
@@ -153,6 +154,25 @@ def closed_rolling_7(t: Tables, cfg: Config) -> DataFrame:
                     pct("failed_roll", "total_closed_roll").alias("failed_7d"))
 
 
+@shared
+def closed_rolling_7_calendar(t: Tables, cfg: Config) -> DataFrame:
+    """``closed_rolling_7`` over seven calendar days: a day without closures shortens the sum."""
+    r = rolling_sums(closed_daily(t, cfg), "d", ["success", "failed", "total_closed"], cfg.rolling_rows, calendar=True)
+    return r.select("d", "total_closed", pct("success_roll", "total_closed_roll").alias("success_7d"),
+                    pct("failed_roll", "total_closed_roll").alias("failed_7d"))
+
+
+@shared
+def closed_rolling_7_by_partner(t: Tables, cfg: Config) -> DataFrame:
+    """Closures per partner and day with the partner's own 7-row rolling rates."""
+    lo = cfg.as_of - timedelta(days=cfg.lookback_days)
+    d = closed_outcomes_daily(t, cfg, lo, cfg.as_of, ("partner_id",))
+    r = rolling_sums(d, "d", ["success", "failed", "total_closed"], cfg.rolling_rows, by=["partner_id"])
+    return r.select("partner_id", "d", "total_closed", "success", "failed",
+                    pct("success_roll", "total_closed_roll").alias("success_7d"),
+                    pct("failed_roll", "total_closed_roll").alias("failed_7d"))
+
+
 @shared
 def closed_daily_since_start(t: Tables, cfg: Config) -> DataFrame:
     """live.Q2 + its rates: from the fixed start date, recovery % and 7-row rolling %."""
@@ -221,13 +241,15 @@ def cohort_status_live(t: Tables, cfg: Config) -> DataFrame:
                     closed_rate("recovered", "recovered", "failed").alias("recovery_pct"))
 
 
-def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi) -> DataFrame:
+def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi, label: Column) -> DataFrame:
     """Every pickup ticket row (versions not deduplicated) created on local days
-    [lo, hi], with per-ticket counts of its live performance rows."""
+    [lo, hi], as (id, label, ``_v`` rows), with per-ticket counts of its live
+    performance rows."""
     off = cfg.offset_minutes
-    tk = P.on_local_days(P.eq(t.tasks, "type", C.TICKET_TYPE), "created", lo, hi, off).select("id", "created")
-    # Counted per ticket first (combined map-side: one row per ticket and map
-    # task leaves the scan), joined with one row per ticket after.
+    tk = P.on_local_days(P.eq(t.tasks, "type", C.TICKET_TYPE), "created", lo, hi, off)
+    # Both sides are counted per ticket first (combined map-side: one row per
+    # ticket, label and map task leaves the scan), joined after.
+    tk = tk.groupBy("id", label).agg(F.count(F.lit(1)).alias("_v"))
     counts = match_counts(P.not_deleted(t.task_performance), "reporterid", {
         "_rec": F.col("score") == C.SCORE_RECOVERED,
         "_fail": F.col("score") == C.SCORE_FAILED,
@@ -240,14 +262,14 @@ def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi) -> DataFrame:
 def cohort_score(t: Tables, cfg: Config) -> DataFrame:
     """score.Q1: tickets LEFT JOIN performance, counted per joined row by local
     creation month (classes may overlap: score 0 and unresolved is both)."""
-    j = _tickets_with_perf_counts(t, cfg, cfg.cohort_start, cfg.as_of)
-    j = j.withColumn("month", period_start(local_date("created", cfg.offset_minutes), "month"))
-    matched = F.col("_n").isNotNull()
+    month = period_start(local_date("created", cfg.offset_minutes), "month").alias("month")
+    j = _tickets_with_perf_counts(t, cfg, cfg.cohort_start, cfg.as_of, month)
+    v, one = F.col("_v"), F.lit(1)
     return weighted_counts(j, ["month"], {
-        "total_created": F.when(matched, F.col("_n")).otherwise(1),
-        "recovered": F.coalesce(F.col("_rec"), F.lit(0)),
-        "failed": F.coalesce(F.col("_fail"), F.lit(0)),
-        "open_tickets": F.when(matched, F.col("_unres")).otherwise(1),
+        "total_created": v * F.coalesce("_n", one),
+        "recovered": v * F.coalesce("_rec", F.lit(0)),
+        "failed": v * F.coalesce("_fail", F.lit(0)),
+        "open_tickets": v * F.coalesce("_unres", one),
     })
 
 
@@ -276,22 +298,30 @@ def open_age_score(t: Tables, cfg: Config) -> DataFrame:
     """score.Q3: ticket rows with no live performance row, plus one row per
     unresolved performance row, by age bucket."""
     off = cfg.offset_minutes
-    j = _tickets_with_perf_counts(t, cfg, cfg.cohort_start, None)
-    weight = F.when(F.col("_n").isNull(), F.lit(1)).otherwise(F.col("_unres"))
-    j = j.withColumn("_w", weight).filter(F.col("_w") > 0)
-    b = age_bucket(age_days(local_date("created", off), cfg.as_of), C.OPEN_BUCKETS)
-    return j.groupBy(b.alias("age_bucket")).agg(F.sum("_w").cast("bigint").alias("open_tickets"))
+    b = age_bucket(age_days(local_date("created", off), cfg.as_of), C.OPEN_BUCKETS).alias("age_bucket")
+    j = _tickets_with_perf_counts(t, cfg, cfg.cohort_start, None, b)
+    j = j.withColumn("_w", F.col("_v") * F.coalesce("_unres", F.lit(1))).filter(F.col("_w") > 0)
+    return j.groupBy("age_bucket").agg(F.sum("_w").cast("bigint").alias("open_tickets"))
 
 
 # ---------------------------------------------------------------- RA team
 
 @shared
 def failed_latest(t: Tables, cfg: Config) -> DataFrame:
-    """One row per failed pickup ticket (any version with status 3) with a
-    live, resolved performance row naming a device, resolved (local time) in
-    the lookback.  The row kept is the ticket's performance row resolved last
-    (then lowest device id); the version order does not change which
-    performance row that is, so versions are reduced to existence first."""
+    """One row per failed pickup ticket, with the local day of its failure."""
+    off = cfg.offset_minutes
+    return _failed_rows(t, cfg).select(
+        F.col("reporterid").alias("id"), "customer_device_id",
+        local_date("task_resolved_time", off).alias("failed_date"),
+        age_days(local_date("task_resolved_time", off), cfg.as_of).alias("days_since_fail"))
+
+
+@shared
+def _failed_rows(t: Tables, cfg: Config) -> DataFrame:
+    """Of each failed pickup ticket (any version with status 3) the live
+    performance row that names a device and was resolved (local time) in the
+    lookback: the one resolved last (then lowest device id).  The version order
+    does not change which row that is, so versions are reduced to existence first."""
     off = cfg.offset_minutes
     failed_ids = existing_keys(
         t.tasks.filter((F.col("type") == C.TICKET_TYPE) & (F.col("status") == C.STATUS_FAILED)), "id")
@@ -299,18 +329,18 @@ def failed_latest(t: Tables, cfg: Config) -> DataFrame:
         .filter(P.not_null("customer_device_id"))
     best = latest_per_key(perf.select("reporterid", "customer_device_id", "task_resolved_time"),
                           ["reporterid"], failed_perf_order())
-    fp = best.join(failed_ids, best["reporterid"] == failed_ids["id"], "left_semi")
-    return fp.select(F.col("reporterid").alias("id"), "customer_device_id",
-                     local_date("task_resolved_time", off).alias("failed_date"),
-                     age_days(local_date("task_resolved_time", off), cfg.as_of).alias("days_since_fail"))
+    return best.join(failed_ids, best["reporterid"] == failed_ids["id"], "left_semi")
+
+
+def _office_returns(t: Tables, cfg: Config) -> DataFrame:
+    """Returns by the RA team in the lookback (office account only)."""
+    return P.since(ra_audit(t), "modified_time", cfg.as_of, cfg.ra_lookback_days) \
+        .filter(F.col("lco_account_id").isNull())
 
 
 @shared
 def ra_returned_devices(t: Tables, cfg: Config) -> DataFrame:
-    """Devices the RA team returned in the lookback (office account only)."""
-    a = P.since(ra_audit(t), "modified_time", cfg.as_of, cfg.ra_lookback_days) \
-        .filter(F.col("lco_account_id").isNull())
-    return existing_keys(a, "device_id")
+    return existing_keys(_office_returns(t, cfg), "device_id")
 
 
 @shared
@@ -331,6 +361,27 @@ def ra_ageing(t: Tables, cfg: Config) -> DataFrame:
     })
 
 
+@shared
+def ra_ageing_after(t: Tables, cfg: Config) -> DataFrame:
+    """``ra_ageing`` where only a return later than the failure counts.  A device has
+    one exactly when its latest return is later, so one row per device is joined;
+    failures are counted per (device, time) before."""
+    off = cfg.offset_minutes
+    days = age_days(local_date("task_resolved_time", off), cfg.as_of)
+    per = _failed_rows(t, cfg).groupBy(
+        F.col("customer_device_id").alias("device"), "task_resolved_time",
+        age_bucket(days, C.RA_BUCKETS).alias("age_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    last = _office_returns(t, cfg).filter(F.col("device_id").isNotNull()).groupBy("device_id") \
+        .agg(F.max("modified_time").alias("_last"))
+    j = per.join(last, per["device"] == last["device_id"], "left")
+    n, picked = F.col("_n"), F.coalesce(F.col("_last") > F.col("task_resolved_time"), F.lit(False))
+    return weighted_counts(j, ["age_bucket"], {
+        "total_failed": n,
+        "ra_picked": F.when(picked, n).otherwise(0),
+        "still_pending": F.when(~picked, n).otherwise(0),
+    })
+
+
 @shared
 def ra_weekly(t: Tables, cfg: Config) -> DataFrame:
     """alert.Q6b: RA return audit rows per local ISO week (rows, not devices)."""
@@ -386,8 +437,7 @@ def eligible_churn(t: Tables, cfg: Config) -> DataFrame:
     """Last recharge per router (W6: LEAD(issued) IS NULL) of completed
     multi-device recharges, expired past the grace period within the lookback."""
     off = cfg.offset_minutes
-    m = P.gt(P.eq(P.eq(t.router_user_mapping, "otp", C.OTP_DONE), "store_group_id", 0), "device_limit", 1)
-    last = last_events(m, "router_nas_id", "otp_issued_time", tie_cols=["otp_expiry_time"])
+    last = last_events(_recharges(t), "router_nas_id", "otp_issued_time", tie_cols=["otp_expiry_time"])
     e = last.filter(P.expired_before("otp_expiry_time", cfg.as_of, cfg.churn_grace_days, off)
                     & P.lookback("otp_expiry_time", cfg.as_of, cfg.expiry_lookback_days, off))
     expected = F.to_date(add_days(to_local("otp_expiry_time", off), cfg.expected_after_days, is_date=False))
@@ -421,30 +471,42 @@ def devices_per_location(t: Tables, cfg: Config) -> DataFrame:
 
 
 @shared
-def missed_daily(t: Tables, cfg: Config) -> DataFrame:
+def missed_daily(t: Tables, cfg: Config, customers: bool = False) -> DataFrame:
     """alert.Q1: churned customers with a device still at their location and no
     pickup ticket, by expected pickup day.  The reference's join with the
     audit multiplies a customer by the devices at the location; that is done
-    here by multiplying counts."""
+    here by multiplying counts; ``customers`` counts every customer once."""
     e = eligible_churn(t, cfg).filter(P.date_window("put_expected_date", cfg.as_of, cfg.expected_window_days))
     per = e.groupBy("router_id", "put_expected_date").agg(F.count(F.lit(1)).alias("_n"))
     per = missing_followups(per, pickup_locations(t, cfg), "router_id", "nas_id")
     dev = devices_per_location(t, cfg)
+    if customers:
+        return per.join(dev, per["router_id"] == dev["lng_nas_id"], "left_semi") \
+            .groupBy(F.col("put_expected_date").alias("d")).agg(F.sum("_n").cast("bigint").alias("missed_customers"))
     j = per.join(dev, per["router_id"] == dev["lng_nas_id"], "inner")
     return j.groupBy(F.col("put_expected_date").alias("d")) \
         .agg(F.sum(F.col("_n") * F.col("_devices")).cast("bigint").alias("missed_puts"))
 
 
+def _recharges(t: Tables) -> DataFrame:
+    return P.gt(P.eq(P.eq(t.router_user_mapping, "otp", C.OTP_DONE), "store_group_id", 0), "device_limit", 1)
+
+
 @shared
 def last_recharge(t: Tables, cfg: Config) -> DataFrame:
-    """W6 on its own: next recharge per router by LEAD, rows that have none."""
+    """W6 on its own: recharges without a later one of the same router."""
+    last = last_events(_recharges(t), "router_nas_id", "otp_issued_time", tie_cols=["otp_expiry_time"])
+    return last.select(F.col("router_nas_id").alias("router_id"), "mobile",
+                       local_date("otp_expiry_time", cfg.offset_minutes).alias("expire_date"))
+
+
+@shared
+def next_recharge(t: Tables, cfg: Config) -> DataFrame:
+    """W6 with its value: every completed recharge and the router's next one (local times)."""
     off = cfg.offset_minutes
-    m = P.gt(P.eq(P.eq(t.router_user_mapping, "otp", C.OTP_DONE), "store_group_id", 0), "device_limit", 1)
-    n = next_event(m, "router_nas_id", "otp_issued_time", value=to_local("otp_issued_time", off),
-                   tie_cols=["otp_expiry_time"], out="next_recharge")
-    return n.filter(F.col("next_recharge").isNull()).select(
-        F.col("router_nas_id").alias("router_id"), "mobile",
-        local_date("otp_expiry_time", off).alias("expire_date"))
+    n = next_event(_recharges(t), "router_nas_id", "otp_issued_time", tie_cols=["otp_expiry_time"], out="_next")
+    return n.select(F.col("router_nas_id").alias("router_id"), "mobile",
+                    to_local("otp_issued_time", off).alias("issued_ist"), to_local("_next", off).alias("next_ist"))
 
 
 # ---------------------------------------------------------------- returned after success
@@ -465,7 +527,7 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     # a return later than a resolution is later than the first resolution day's start
     ra = P.on_local_days(ra_audit(t), "modified_time", lo, None, off).select("device_id", "modified_time")
     fa = first_after(p, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",
-                     out="ra_time", bucket=cfg.asof_bucket).filter(F.col("ra_time").isNotNull())
+                     out="ra_time").filter(F.col("ra_time").isNotNull())
     lt = latest_tickets(t, cfg)
     fa = fa.join(lt, fa["reporterid"] == lt["id"], "inner")
     return fa.select(

@@ -13,10 +13,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE, FIXTURE_LATE, Config
-from ..functions.timeops import day_label, local_date, minute_text, ntz_text, period_label
+from ..config import FIXTURE, FIXTURE_LATE, OPEN_BUCKETS, Config
+from ..functions.buckets import bucket_rank
+from ..functions.timeops import day_label, iso_date, local_date, minute_text, ntz_text, period_label
 from ..sources import fixtures
 from ..sources.fixtures import Tables
+from ..operators import sorts
 from . import panels, summary
 from .oracle import ORACLE
 
@@ -78,6 +80,17 @@ def _returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     return r.select(*[minute_text(c).alias(c) if c in times else F.col(c) for c in r.columns])
 
 
+def _next_recharge(t: Tables, cfg: Config) -> DataFrame:
+    r = panels.next_recharge(t, cfg)
+    return r.select("router_id", "mobile", _micro("issued_ist").alias("issued_ist"), _micro("next_ist").alias("next_ist"))
+
+
+def _iso_days(t: Tables, cfg: Config) -> DataFrame:
+    """F11 on the tables' own times as text: audit rows per ISO date."""
+    return t.device_audit.groupBy(iso_date(_micro("modified_time")).alias("_d")).agg(F.count(F.lit(1)).alias("audit_rows")) \
+        .select(period_label("_d", "day").alias("d"), "audit_rows")
+
+
 PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "closed_daily": lambda t, c: _labels(panels.closed_daily(t, c), d="day"),
     "resolution_daily": lambda t, c: _labels(panels.resolution_daily(t, c), d="day"),
@@ -131,6 +144,18 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "baseline_avg_old": lambda t, c: summary.baseline_avg(t, FIXTURE_LATE),
     "baseline_ratio_old": lambda t, c: summary.baseline_ratio(t, FIXTURE_LATE),
     "unreadable_locations": panels.unreadable_locations,
+    # options beside the parity forms
+    "closed_rolling_7_calendar": lambda t, c: _labels(panels.closed_rolling_7_calendar(t, c), d="day"),
+    "closed_rolling_7_by_partner": lambda t, c: _labels(panels.closed_rolling_7_by_partner(t, c), d="day"),
+    "ra_ageing_after": panels.ra_ageing_after,
+    "missed_customers_daily": lambda t, c: _labels(panels.missed_daily(t, c, True), d="day"),
+    "next_recharge": _next_recharge,
+    "iso_days": _iso_days,
+    # result order as a column
+    "closed_daily_ordered": lambda t, c: _labels(
+        sorts.numbered(panels.closed_daily(t, c), F.col("d").asc_nulls_last()), d="day"),
+    "open_age_ordered": lambda t, c: sorts.numbered(
+        panels.open_age_status(t, c), bucket_rank("age_bucket", OPEN_BUCKETS)),
     "trend": summary.trend,
     "vs_baseline": summary.vs_baseline,
     "weekly_summary": summary.weekly_summary,
