@@ -57,9 +57,11 @@ def with_total(df: DataFrame, dim: str, measures: Sequence[str], label: str = "T
     return per.unionByName(total.select(F.lit(label).alias(dim), *measures))
 
 
-def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "median") -> DataFrame:
+def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "median",
+                 count: str | None = None) -> DataFrame:
     """Exact median of an integer column (the mean of the two middle values for
     an even count, as percentile_cont(0.5)); one row, NULL for no values.
+    ``count`` names a column of row counts where ``df`` is a histogram already.
 
     Two histogram passes keep every piece of state bounded: counts per coarse
     bucket of ``width`` units locate the buckets holding the middle ranks
@@ -68,9 +70,12 @@ def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "medi
     buckets (at most ``width`` values each) pick the values.  No task ever
     holds the values themselves.
     """
-    v = df.select(F.col(value).cast("long").alias("_v")).filter(F.col("_v").isNotNull()) \
+    # NULL values weigh nothing; a filter would be pushed below the caller's
+    # histogram and keep its shuffle from being shared.
+    weight = F.when(F.col(value).isNull(), 0).otherwise(F.lit(1) if count is None else F.col(count)).cast("long")
+    v = df.select(F.col(value).cast("long").alias("_v"), weight.alias("_w")) \
         .withColumn("_b", F.floor(F.col("_v") / F.lit(width)))
-    hist = v.groupBy("_b").agg(F.count(F.lit(1)).alias("_c"))
+    hist = v.groupBy("_b").agg(F.sum("_w").alias("_c"))
     cum = F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
     total = F.sum("_c").over(Window.partitionBy())
     hist = hist.select("_b", "_c", cum.alias("_cum"), total.alias("_n"))
@@ -85,7 +90,7 @@ def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "medi
                                                     hi.alias("_hi"))
     # ``hit`` has at most two rows, so broadcasting it is bounded by construction.
     fine = v.join(F.broadcast(hit), "_b").groupBy("_b", "_v", "_before", "_lo", "_hi") \
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.sum("_w").alias("_c"))
     end = F.col("_before") + F.sum("_c").over(
         Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
     fine = fine.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c") + 1)

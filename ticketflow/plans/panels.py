@@ -420,10 +420,12 @@ def assignment_delay(t: Tables, cfg: Config) -> DataFrame:
     a = t.ticket_assignments
     j = a.join(lt, a["ticket_id"] == lt["id"], "inner").select(
         F.timestamp_diff("SECOND", F.col("created"), F.col("assigned_time")).alias("secs"))
-    counts = j.agg(F.count(F.lit(1)).alias("tickets"),
-                   F.count_if(F.col("secs") <= 24 * 3600).alias("within_24h"),
-                   F.lit(None).cast("double").alias("_median"))
-    med = exact_median(j, "secs", 3600, "_median").select(
+    # one histogram of delays serves the counts and the median
+    hist = j.groupBy("secs").agg(F.count(F.lit(1)).alias("n"))
+    counts = hist.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tickets"),
+                      F.coalesce(F.sum(F.when(F.col("secs") <= 24 * 3600, F.col("n"))), F.lit(0)).alias("within_24h"),
+                      F.lit(None).cast("double").alias("_median"))
+    med = exact_median(hist, "secs", 3600, "_median", "n").select(
         F.lit(None).cast("bigint").alias("tickets"), F.lit(None).cast("bigint").alias("within_24h"), "_median")
     # two one-row results merged by a union and one aggregate (no join needed)
     return counts.unionByName(med).agg(F.max("tickets").alias("tickets"), F.max("within_24h").alias("within_24h"),

@@ -121,21 +121,23 @@ def _avg_row(daily: DataFrame, value: str, cfg: Config, with_baseline: bool) ->
 @shared
 def ratio_week_rows(t: Tables, cfg: Config) -> DataFrame:
     """(metric caption, w3, w2, w1, baseline, higher_is_good) per ratio metric,
-    from one aggregate of the per-day closures by week slot."""
+    from one aggregate of the per-day closures by week slot.  The sums are
+    unfolded to a row per metric before the rates are taken, so the plan holds
+    one rate per slot, not one per slot and metric."""
     nums = [col for _, _, col, _ in RATIO_METRICS]
     per = W.slot_sums(daily_outcomes(t, cfg), "d", nums + ["total_closed"], cfg.as_of, cfg.n_weeks,
                       (cfg.baseline_start, cfg.baseline_end))
     names = [f"w{k}" for k in range(cfg.n_weeks, 0, -1)] + ["baseline"]
-    aggs = []
-    for key, _, col, _ in RATIO_METRICS:
-        for agg, name in zip(W.by_slot(per, pct(col, "total_closed"), cfg.n_weeks), names):
-            aggs.append(agg.alias(f"{key}__{name}"))
-    wide = per.agg(*aggs)
+    wide = per.agg(*[agg.alias(f"{col}__{name}") for col in nums + ["total_closed"]
+                     for agg, name in zip(W.by_slot(per, F.col(col), cfg.n_weeks), names)])
     rows = F.explode(F.array(*[
         F.struct(F.lit(cap).alias("metric"), F.lit(hig).alias("higher_is_good"), F.lit(i).alias("_i"),
-                 *[F.col(f"{key}__{name}").alias(name) for name in names])
-        for i, (key, cap, _, hig) in enumerate(RATIO_METRICS)]))
-    return wide.select(rows.alias("r")).select("r.*")
+                 *[F.col(f"{col}__{name}").alias(f"_{name}") for name in names])
+        for i, (_, cap, col, hig) in enumerate(RATIO_METRICS)]))
+    long = wide.select(rows.alias("r"), *[f"total_closed__{name}" for name in names]).select("r.*", *[
+        f"total_closed__{name}" for name in names])
+    return long.select("metric", "higher_is_good", "_i",
+                       *[pct(f"_{name}", f"total_closed__{name}").alias(name) for name in names])
 
 
 @shared
