@@ -241,7 +241,6 @@ def test_weekly_operators_over_days_present(spark):
     assert avg == {date(2025, 11, 3): 10.0, date(2025, 11, 10): 4.0}     # 10.5 -> half-even 10
     rat = {r.week_start: r.p for r in W.ratio(df, "d", "n", "t", "p").collect()}
     assert rat == {date(2025, 11, 3): 25.0, date(2025, 11, 10): None}
-    assert W.baseline_ratio(df, "d", "n", "t", date(2025, 11, 1), date(2025, 11, 30)).first().baseline == 25.0
     assert W.baseline_avg(df, "d", "v", date(2026, 1, 1), date(2026, 1, 31)).first().baseline is None
     tot = W.total(spark.createDataFrame([(1, None), (2, 5), (2, 6)], "w int, x long"), ["w"], "x", "s")
     assert {r.w: r.s for r in tot.collect()} == {1: None, 2: 11}

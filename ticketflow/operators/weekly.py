@@ -74,15 +74,6 @@ def baseline_avg(daily: DataFrame, d: str, value: str, start: date, end: date,
             .agg(round_even(F.avg(F.coalesce(F.col(value), F.lit(0))), 0).alias(name)))
 
 
-def baseline_ratio(daily: DataFrame, d: str, num: str, den: str, start: date, end: date,
-                   name: str = "baseline", digits: int = 1) -> DataFrame:
-    """sum(num) * 100 / sum(den) over [start, end]; NULL if the sum of den is 0."""
-    return (daily.filter(in_range(d, start, end))
-            .agg(F.sum(F.coalesce(F.col(num), F.lit(0))).alias("_num"),
-                 F.sum(F.coalesce(F.col(den), F.lit(0))).alias("_den"))
-            .select(pct("_num", "_den", digits).alias(name)))
-
-
 def slots(d: str, as_of: date, n: int = 3, baseline: tuple[date, date] | None = None) -> Column:
     """The slots a day belongs to: k for week W-k (k = n..1) and 0 for the
     baseline range.  Week bounds are literals from the as-of date, so tagging

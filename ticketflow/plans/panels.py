@@ -26,7 +26,8 @@ from ..functions.timeops import add_days, age_days, local_date, period_start, to
 from ..operators import filters as P
 from ..operators.agg import count_by, exact_median, outcome_counts, weighted_counts
 from ..operators.dedupe import existing_keys, latest_per_key
-from ..operators.joins import exists_flag, first_after, match_counts, missing_followups, with_latest
+from ..operators.joins import (exists_flag, first_after, inner_fanout, inner_filtered, left_filtered, match_counts,
+                               missing_followups, with_latest)
 from ..operators.windows import last_events, next_event, rolling_sums
 from ..sources.fixtures import Tables
 
@@ -255,7 +256,7 @@ def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi, label: Column) ->
         "_fail": F.col("score") == C.SCORE_FAILED,
         "_unres": F.col("task_resolved_time").isNull(),
     })
-    return tk.join(counts, tk["id"] == counts["_mk"], "left")
+    return left_filtered(tk, counts, tk["id"] == counts["_mk"])
 
 
 @shared
@@ -418,7 +419,7 @@ def assignment_delay(t: Tables, cfg: Config) -> DataFrame:
     holding every delay."""
     lt = latest_per_key(t.tasks.select("id", "created", "status"), ["id"], ticket_order())
     a = t.ticket_assignments
-    j = a.join(lt, a["ticket_id"] == lt["id"], "inner").select(
+    j = inner_fanout(a, lt, a["ticket_id"] == lt["id"]).select(
         F.timestamp_diff("SECOND", F.col("created"), F.col("assigned_time")).alias("secs"))
     # one histogram of delays serves the counts and the median
     hist = j.groupBy("secs").agg(F.count(F.lit(1)).alias("n"))
@@ -531,7 +532,7 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     fa = first_after(p, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",
                      out="ra_time").filter(F.col("ra_time").isNotNull())
     lt = latest_tickets(t, cfg)
-    fa = fa.join(lt, fa["reporterid"] == lt["id"], "inner")
+    fa = inner_filtered(fa, lt, fa["reporterid"] == lt["id"])
     return fa.select(
         F.col("reporterid").alias("task_id"),
         F.col("customer_device_id").alias("device_id"),

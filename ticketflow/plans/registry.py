@@ -18,7 +18,7 @@ from ..functions.buckets import bucket_rank
 from ..functions.timeops import day_label, iso_date, local_date, minute_text, ntz_text, period_label
 from ..sources import fixtures
 from ..sources.fixtures import Tables
-from ..operators import sorts
+from ..operators import checks, sorts, weekly
 from . import panels, summary
 from .oracle import ORACLE
 
@@ -133,10 +133,10 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "assignment_delay": panels.assignment_delay,
     "local_time_parts": _local_time_parts,
     "json_fields": _json_fields,
-    "weekly_success_ratio": lambda t, c: _labels(summary.weekly_ratios(t, c).select("week_start", "success_pct"),
-                                                 week_start="week"),
-    "weekly_failed_ratio": lambda t, c: _labels(summary.weekly_ratios(t, c).select("week_start", "failed_pct"),
-                                                week_start="week"),
+    "weekly_success_ratio": lambda t, c: _labels(
+        weekly.ratio(panels.closed_daily(t, c), "d", "success", "total_closed", "success_pct"), week_start="week"),
+    "weekly_failed_ratio": lambda t, c: _labels(
+        weekly.ratio(panels.closed_daily(t, c), "d", "failed", "total_closed", "failed_pct"), week_start="week"),
     "weekly_resolution_ratio": lambda t, c: _labels(summary.weekly_ratios(t, c).select(
         "week_start", "router_pct", "customer_pct", "general_pct"), week_start="week"),
     "baseline_ratio": summary.baseline_ratio,
@@ -151,6 +151,11 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "missed_customers_daily": lambda t, c: _labels(panels.missed_daily(t, c, True), d="day"),
     "next_recharge": _next_recharge,
     "iso_days": _iso_days,
+    # checks of the inputs
+    "bad_json": lambda t, c: checks.bad_json(t.tasks.select("extra_data").unionByName(
+        t.device_audit.select("extra_data")), "extra_data"),
+    "return_offset": lambda t, c: checks.constant_offset(
+        panels.returned_after_success(t, c), "resolved_ist", "ra_returned_ist", c.offset_minutes),
     # result order as a column
     "closed_daily_ordered": lambda t, c: _labels(
         sorts.numbered(panels.closed_daily(t, c), F.col("d").asc_nulls_last()), d="day"),
