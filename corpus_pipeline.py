@@ -2,7 +2,7 @@
 
 ``run(spark, sf_dir)`` applies STAGES in order.  Every stage takes the rows its
 predecessor kept, all but the last return the columns of ``documents``; the last
-adds each row's weight in the mixture and its sampling probability.
+adds each row's weight in the mixture and its copy's sampling probability.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are drawn with the probabilities that meet the mixture's marginals."""
+    """Documents are drawn, scarce ones more than once, at the rates that meet the mixture's marginals."""
     return mixing.sample(docs)
 
 

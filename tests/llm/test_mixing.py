@@ -94,3 +94,36 @@ def test_sample_and_empty(spark, make_docs):
     assert got.columns == [*docs.columns, "probability"]
     assert sorted(r.doc_id for r in got.collect()) == list(range(50))
     assert M.mixed(make_docs([])).collect() == [] and M.sample(make_docs([])).collect() == []
+
+
+def test_expected_and_drawn_tokens_meet_the_marginals_where_cells_are_scarce(spark):
+    out = M.op10_mixing(spark, SF).collect()
+    cells = defaultdict(int)
+    for r in out:
+        cells[r.source, r.lang, r.topic] += r.tokens
+    budget = M.BUDGET * sum(cells.values())
+    assert any(r.copies_expected > 1 for r in out)
+    assert sum(r.copies_expected * r.tokens for r in out) == pytest.approx(budget, rel=1e-6)
+    for d, name in enumerate(("source", "lang", "topic")):
+        have = defaultdict(float)
+        for r in out:
+            have[r[name]] += r.copies_expected * r.tokens / budget
+        for k, v in tempered(cells, d).items():
+            assert have[k] == pytest.approx(v, rel=1e-3)
+    assert all(r.copies - r.copies_expected < 1 and r.copies_expected - r.copies < 1 for r in out)
+
+
+def test_sample_repeats_scarce_rows(make_docs):
+    rows = [(i, "one two three four", "en", "big") for i in range(90)] + [(100 + i, "a b c d", "en", "few") for i in range(10)]
+    got = M.sample(make_docs(rows), targets={"source": {"big": 1, "few": 1}}, budget=0.5).collect()
+    few = [r for r in got if r.source == "few"]
+    assert 20 <= len(few) <= 30 and {r.doc_id for r in few} == set(range(100, 110))
+    assert sorted({round(r.probability, 6) for r in few}) == [0.5, 1.0]
+
+
+def test_targets_that_cannot_be_met_are_warned_of(make_docs):
+    docs = make_docs([(i, "some words here", ("en", "de")[i % 2], f"s{i % 2}") for i in range(20)])
+    with pytest.warns(UserWarning, match="missed"):
+        M.mixed(docs, targets={"source": {"s0": 9, "s1": 1}, "lang": {"en": 1, "de": 9}})
+    with pytest.warns(UserWarning, match="left out"):
+        M.mixed(docs, targets={"lang": {"en": 1, "xx": 1}})

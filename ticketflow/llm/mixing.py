@@ -3,9 +3,13 @@
 Tokens are summed by (source, language, topic) cell.  The cells' weights are
 raked: scaled so that each source has its target share of tokens, then each
 language, then each topic, over and over until all three marginals hold at once.
-A document's sampling probability is its cell's raked weight over the cell's
-tokens, on a common scale that meets the token budget, at most 1; documents are
-then drawn by a hash of their id, so a rerun draws the same ones.
+A document's rate is its cell's raked weight over the cell's tokens, on the scale
+that meets the token budget: the copies of it the mixture holds on average.  Its
+whole copies are taken and the remainder is drawn by a hash of the id, so a rerun
+draws the same ones, and the expected tokens meet all targets also where a cell
+has fewer tokens than its share.  ``probability`` and ``kept`` are the draw without
+repeats: rates capped at 1 and raised by one scale to the same budget, which falls
+short of the targets of scarce cells.  Targets that the raked weights miss are warned of.
 
 Defined results: a null source, language or topic is the category ''; null and
 empty texts have 0 tokens, belong to their cell and share its probability; cells
@@ -15,6 +19,8 @@ the others are scaled up; an empty table gives no rows.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,15 +84,31 @@ def rake(cells: DataFrame, dims: list[str], targets: dict[str, dict | None] | No
         off = now.agg(F.max("_worst")).first()[0]
         if off is None or off <= tolerance:
             break
+    for d in dims:
+        _report(now, goals[d], d, (targets or {}).get(d), tolerance)
     return now.select(*dims, "tokens", "weight")
 
 
+def _report(raked: DataFrame, goals: DataFrame, dim: str, given: dict | None, tolerance: float) -> None:
+    """Warn of the marginal's targets that the weights miss, and of given ones without a token."""
+    have = raked.groupBy(dim).agg(F.sum("weight").alias("have"))
+    gap = F.abs(F.coalesce("have", F.lit(0.0)) / F.col(f"goal_{dim}") - 1)
+    n, missed, worst = goals.join(have, dim, "left").agg(
+        F.count(F.lit(1)), F.count(F.when(gap > 2 * tolerance, 1)), F.max(gap)).first()
+    if missed:
+        warnings.warn(f"mixture: {missed} of {n} targets of {dim} missed, by up to {worst:.2%} of the target", stacklevel=3)
+    left_out = sum(v > 0 for v in (given or {}).values()) - n
+    if left_out > 0:
+        warnings.warn(f"mixture: {left_out} targets of {dim} have no tokens and are left out", stacklevel=3)
+
+
 def calibrated(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
     """``raked`` with ``probability``: min(1, scale * weight / tokens), the scale such that the
-    expected tokens are ``budget`` of all (or all that have weight, if that is less)."""
+    expected tokens are ``budget`` of all (or all that have weight, if that is less), and
+    ``copies_expected``: weight / tokens on the scale that needs no cap to meet the budget."""
     rows = stored(raked.withColumn("rate", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(0.0)),
                   "rates")
-    total = rows.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
+    total, mass = rows.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
     goal, scale, before = budget * total, float(budget * total), -1
     while True:  # cells at probability 1 only ever grow in number
         full = F.col("rate") * F.lit(scale) >= 1
@@ -97,20 +119,28 @@ def calibrated(raked: DataFrame, budget: float = BUDGET) -> DataFrame:
             break
         before, scale = got["cells"], max(scale, (goal - got["full"]) / got["open"])
     return rows.select(*[c for c in rows.columns if c != "rate"],
-                       F.least(F.lit(1.0), F.col("rate") * F.lit(scale)).alias("probability"))
+                       F.least(F.lit(1.0), F.col("rate") * F.lit(scale)).alias("probability"),
+                       (F.col("rate") * F.lit(budget * total / mass if mass else 0.0)).alias("copies_expected"))
 
 
-def _drawn(id_col: str, probability: str, seed: int = 17) -> Column:
+def _drawn(id_col: str, probability: Column, seed: int = 17) -> Column:
     """Whether the id's hash, as a number in [0, 1), is below the probability."""
     u = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(seed)), 11) / F.lit(2.0**53)
-    return u < F.col(probability)
+    return u < probability
+
+
+def _copies(id_col: str, expected: str) -> Column:
+    """The whole copies, and one more if the remainder is drawn."""
+    whole = F.floor(expected)
+    return whole + _drawn(id_col, F.col(expected) - whole).cast("long")
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", lang: str = "lang",
           topic_col: Column | None = None, targets: dict | None = None, temper: float = TEMPER, budget: float = BUDGET,
           keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (the id by default) with _source, _lang, _topic, _tokens, weight (the row's
-    share of the mixture before sampling), probability and kept."""
+    share of the mixture before sampling), probability and kept (the draw without repeats),
+    copies_expected and copies (the draw that meets the targets)."""
     keep = [id_col] if keep is None else keep
     dims = ["_source", "_lang", "_topic"]
     rows = docs.select(*[F.col(c) for c in keep], *([] if id_col in keep else [F.col(id_col)]),
@@ -125,22 +155,26 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
     p = calibrated(rake(cells, dims, by_dim, temper), budget)
     w = F.when(F.col("tokens") > 0, F.col("weight") * F.col("_tokens") / F.col("tokens")).otherwise(0.0)
     return rows.join(p, dims).select(*keep, *dims, "_tokens", w.alias("weight"), "probability",
-                                     _drawn(id_col, "probability").alias("kept"))
+                                     _drawn(id_col, F.col("probability")).alias("kept"),
+                                     "copies_expected", _copies(id_col, "copies_expected").alias("copies"))
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(read(spark, sf_dir, "documents")).select(
         "doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
-        F.col("_tokens").alias("tokens"), "weight", "probability", "kept")
+        F.col("_tokens").alias("tokens"), "weight", "probability", "kept", "copies_expected", "copies")
 
 
 def sample(docs: DataFrame, **how) -> DataFrame:
-    """The drawn rows of ``docs``, with weight and probability beside their columns."""
+    """The drawn rows of ``docs``, one for each copy, with weight and the probability with which
+    this copy is drawn (1: a whole copy) beside their columns."""
     named = {c: f"_in{i}" for i, c in enumerate(docs.columns)}  # free of the names used inside
     inner = docs.select(*[F.col(c).alias(n) for c, n in named.items()])
     roles = {k: named[how.pop(k, v)] for k, v in (("id_col", "doc_id"), ("text", "text"), ("source", "source"),
                                                   ("lang", "lang"))}
-    out = mixed(inner, keep=list(named.values()), **roles, **how).where("kept")
+    out = mixed(inner, keep=list(named.values()), **roles, **how).where("copies > 0")
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn(
+        "probability", F.least(F.lit(1.0), F.col("copies_expected") - (F.col("_copy") - 1)))
     extra = [c for c in ("weight", "probability") if c not in docs.columns]
     return out.select(*[F.col(n).alias(c) for c, n in named.items()], *extra)
 
