@@ -30,7 +30,7 @@ def remove_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live credentials are replaced in the texts; every document stays."""
-    return secrets.redact(docs)
+    return secrets.redact(docs, each_text_once=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,3 +76,16 @@ def test_ownership_and_edges(make_docs):
 
 def test_empty(make_docs):
     assert S.secrets(make_docs([])).collect() == [] and S.redact(make_docs([])).collect() == []
+
+
+def test_copies_of_a_text_are_one_owner(spark, make_docs, tmp_path):
+    import corpus_pipeline
+    rows = [(i, f"key {LIVE} end", "en", f"o{i}") for i in range(5)]
+    rows += [(10 + i, f"text {i} {LIVE[::-1]} end", "en", f"o{i}") for i in range(5)]
+    docs = make_docs(rows)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in S.op3_secrets(spark, str(tmp_path)).collect()}
+    assert all(out[i].spans == "owned:4:28" and out[i].n_live == 1 and out[i].n_example == 0 for i in range(5))
+    assert all(out[10 + i].spans == "" and out[10 + i].n_example == 1 for i in range(5))
+    cut = {r.doc_id: r.text for r in corpus_pipeline.redact_secrets(spark, docs, str(tmp_path)).collect()}
+    assert all(cut[i] == "key <secret> end" and cut[10 + i] == rows[5 + i][1] for i in range(5))
