@@ -89,3 +89,16 @@ def test_copies_of_a_text_are_one_owner(spark, make_docs, tmp_path):
     assert all(out[10 + i].spans == "" and out[10 + i].n_example == 1 for i in range(5))
     cut = {r.doc_id: r.text for r in corpus_pipeline.redact_secrets(spark, docs, str(tmp_path)).collect()}
     assert all(cut[i] == "key <secret> end" and cut[10 + i] == rows[5 + i][1] for i in range(5))
+
+
+def test_many_repositories_of_one_owner_make_an_example(make_docs):
+    rows = [(i, f"text {i} {LIVE} end", None, "o") for i in range(30)]                       # different texts
+    rows += [(100 + i, f"text {i} {LIVE[::-1]} end", None, "o") for i in range(3)]           # few repositories
+    rows += [(200 + i, f"text {LIVE[3:] + 'Q5w'} end", None, "o") for i in range(30)]        # one text
+    docs = make_docs(rows)
+    out = {r.doc_id: r for r in S.secrets(docs).collect()}
+    assert all(out[i].spans == "" and (out[i].n_live, out[i].n_example, out[i].repos) == (0, 1, [30]) for i in range(30))
+    assert all(out[100 + i].spans and (out[100 + i].n_live, out[100 + i].repos) == (1, [3]) for i in range(3))
+    assert all(out[200 + i].spans and (out[200 + i].n_live, out[200 + i].repos) == (1, [1]) for i in range(30))
+    cut = {r.doc_id: r.text for r in S.redact(docs).collect()}
+    assert all((cut[r[0]] == r[1]) == (r[0] < 30) for r in rows)
