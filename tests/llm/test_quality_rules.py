@@ -65,3 +65,17 @@ def test_edges(make_docs):
     kept = {r[0] for r in out if r[-1]}
     assert kept == {*range(30), *range(200, 205), *range(300, 360), None}
     assert Q.quality(make_docs([])).collect() == []
+
+
+def test_verdict_does_not_depend_on_the_size_of_the_host(make_docs):
+    boiler = " ".join(f"Licence{i}" for i in range(200))
+    held = [(i, f"{boiler}\n" + " ".join(f"own{chr(97 + i)}x{j}" for j in range(55)), None, "hot") for i in range(12)]
+    rare = [(50 + i, " ".join(f"few{j}" for j in range(60)) + f"\nrest {i}", None, "hot") for i in range(5)]
+    rest = [(100 + i, " ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}{j}" for j in range(60)),
+             None, "hot") for i in range(1200)]
+    for rows in (held + rare, held + rare + rest):
+        out = {r.doc_id: r for r in Q.quality(make_docs(rows)).collect()}
+        assert all(out[i].n_removed_words == 200 and not out[i].kept for i in range(12))
+        assert all(out[50 + i].n_removed_words == 0 and out[50 + i].kept for i in range(5))
+    small = {r.doc_id: r for r in Q.quality(make_docs(held[:4] + rare[:1]), share=Q.SHARE).collect()}
+    assert all(small[i].n_removed_words == 200 for i in range(4)) and small[50].n_removed_words == 0

@@ -1,8 +1,8 @@
 """Quality rules with cross-document line frequency.
 
 Each text gets simple counts of its own; besides, its lines are normalised and
-hashed, the distinct texts that hold a line are counted for each host, lines
-above the host's limit are taken as boilerplate, and a text that is left with
+hashed, the distinct texts that hold a line are counted for each host, lines in
+more than a fixed number of them are taken as boilerplate whatever the host's size, and a text that is left with
 too little once they are removed is rejected.  Exact copies of a text count
 once for a line: a copied document is not boilerplate.
 
@@ -24,9 +24,9 @@ from pyspark.sql import types as T
 from .common import chunks, read, stored, strings, utf8
 from .tokens import hashes, pair, spans
 
-#: A line is boilerplate if more distinct texts of its host hold it than this ...
+#: A line is boilerplate if more distinct texts of its host hold it than this.
 MIN_TEXTS = 10
-#: ... and more than this share of the host's distinct texts.
+#: A share of the host's distinct texts for callers that want a lower limit on hosts of under MIN_TEXTS / SHARE texts.
 SHARE = 0.02
 #: Words a text needs, in all and once boilerplate is removed, and the share of its words that must be left.
 MIN_WORDS = 50
@@ -111,21 +111,25 @@ def measures(docs: DataFrame, id_col: str, text: str, host: str) -> DataFrame:
                        ).mapInArrow(work, schema)
 
 
-def frequent_lines(rows: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE) -> DataFrame:
-    """(_host, line) of lines in more distinct texts of the host than its limit.
+def frequent_lines(rows: DataFrame, min_texts: int = MIN_TEXTS, share: float | None = None) -> DataFrame:
+    """(_host, line) of lines in more distinct texts of the host than ``min_texts``, or than
+    ``share`` of the host's distinct texts, but more than one, if that is less.
 
     Copies are dropped before lines are unfolded, and the counts are summed on
     the map side, so neither a large group of copies nor a line of every text
     crowds a task."""
     texts = rows.groupBy("_host", "_content").agg(F.first("_lines").alias("_lines"))
-    hosts = texts.groupBy("_host").agg(F.count(F.lit(1)).alias("texts"))
     counts = (texts.select("_host", F.explode("_lines").alias("line")).groupBy("_host", "line")
-              .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > min_texts))
-    return counts.join(hosts, "_host").where(F.col("n") > share * F.col("texts")).select("_host", "line")
+              .agg(F.count(F.lit(1)).alias("n")))
+    if share is None:
+        return counts.where(F.col("n") > min_texts).select("_host", "line")
+    hosts = texts.groupBy("_host").agg(F.count(F.lit(1)).alias("texts"))
+    limit = F.least(F.lit(float(min_texts)), F.greatest(F.lit(1.0), share * F.col("texts")))
+    return counts.join(hosts, "_host").where(F.col("n") > limit).select("_host", "line")
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source",
-            min_texts: int = MIN_TEXTS, share: float = SHARE) -> DataFrame:
+            min_texts: int = MIN_TEXTS, share: float | None = None) -> DataFrame:
     """Own counts, base_failed, words in boilerplate lines and kept, for every row."""
     rows = stored(measures(docs, id_col, text, host), "lines")
     lines = rows.select("_row", "_host", F.explode(F.arrays_zip("_lines", "_words")).alias("l")).select(
