@@ -83,3 +83,35 @@ def test_long_conversations(template):
     state = C.Located(template)
     assert "".join(state.add(t) for t in turns) == template(turns)
     assert state.short == (template is C.instruct) and (len(state.turns) <= 2 * C.KEEP) == state.short
+
+
+def keeps_hundred():
+    def last_hundred(turns):
+        """Rewrites history from turn 101 on."""
+        return "".join(f"<{r}>{t}" for r, t in turns[-100:])
+    return last_hundred
+
+
+def test_templates_that_rewrite_late_are_detected(spark):
+    last_hundred = keeps_hundred()
+    turns = [(("user", "assistant")[i % 2], f"t{i}") for i in range(150)]
+    state = C.Located(last_hundred)
+    pieces = [state.add(t) for t in turns]
+    assert "".join(pieces[:100]) == last_hundred(turns[:100]) and state.rewrites and pieces[100:] == [""] * 50
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)],
+                               "conv_id long, turn long, role string, text string")
+    out = {r.n: r.rewrites for r in C.formatted(df, last_hundred).collect()}
+    assert out == {i: i >= 100 for i in range(150)}
+
+
+def test_a_wrong_declaration_fails():
+    for template, wrong in ((C.additive(keeps_hundred()), True), (C.instruct, False)):
+        state = C.Located(template)
+        for i in range(150):
+            state.add(("user", f"t{i}"))
+        assert state.short
+        if wrong:
+            with pytest.raises(ValueError, match="declared additive"):
+                state.finish()
+        else:
+            state.finish()

@@ -7,12 +7,12 @@ rest is the span of the new turn; where it does not, the template rewrites
 history, the conversation is marked and no span of it is trusted.
 
 Rows are dealt by conversation and sorted by turn; the task reads them as a
-stream.  While a conversation is short its whole prefixes are rendered.  Beyond
-``HEAD`` turns the prefix is the first ``KEEP`` turns and the last ``KEEP``, and it
-was checked on the turns before that such a prefix locates the same spans; a
-template for which it does not is rendered from whole prefixes to the end.  So a
-conversation of any length takes linear time, and no more memory than its own
-turns of one batch, unless its template needs the whole history.
+stream.  A template gets the whole prefix at every turn, however long the
+conversation, so that its time grows with the square of a conversation's length.
+Only one that its caller declares ``additive`` gets, beyond ``HEAD`` turns, the
+first ``KEEP`` turns and the last ``KEEP`` for a prefix, if such prefixes located the
+same spans on the turns before; at its end the conversation is rendered once as a
+whole, and a template whose joined pieces are not that output fails the job.
 
 Defined results: a null text or role is empty; equal turns of a conversation are
 ordered by role and text, repeated rows are turns each; a null conversation id
@@ -55,6 +55,13 @@ def unescape(text: str) -> str:
     return re.sub(r"\\(\\?)", r"\1", text)
 
 
+def additive(template: Template) -> Template:
+    """Declares that a turn's piece depends on no turns but its own and those near it."""
+    template.additive = True
+    return template
+
+
+@additive
 def instruct(turns: list[Turn]) -> str:
     """The template of the query: every turn has marks of its own."""
     out = []
@@ -95,7 +102,8 @@ class Located:
 
     def __init__(self, template: Template):
         self.template, self.turns, self.count = template, [], 0
-        self.output, self.rewrites, self.short = template([]), False, True
+        self.output, self.rewrites, self.short = template([]), False, getattr(template, "additive", False)
+        self.all, self.joined = [], hashlib.sha256(self.output.encode("utf-8", "surrogatepass"))
 
     def _short(self, turns: list[Turn]) -> str | None:
         """The last turn's piece, from the first and last turns alone."""
@@ -105,6 +113,21 @@ class Located:
 
     def add(self, turn: Turn) -> str:
         """The output this turn adds ('' from the turn on at which history is rewritten)."""
+        piece = self._add(turn)
+        if self.short and not self.rewrites:
+            self.all.append(turn)
+            self.joined.update(piece.encode("utf-8", "surrogatepass"))
+        else:
+            self.all = []
+        return piece
+
+    def finish(self) -> None:
+        """After the last turn: where prefixes were short, the whole output must be the joined pieces."""
+        if self.short and not self.rewrites and self.count > HEAD and self.joined.digest() != hashlib.sha256(
+                self.template(self.all).encode("utf-8", "surrogatepass")).digest():
+            raise ValueError("the template is declared additive but renders a whole conversation unlike its pieces")
+
+    def _add(self, turn: Turn) -> str:
         self.turns.append(turn)
         self.count += 1
         if self.rewrites:
@@ -151,6 +174,8 @@ def formatted(conversations: DataFrame, template: Template = instruct, conv: str
             rows = []
             for c, r, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 if c != conv_id:
+                    if state is not None:
+                        state.finish()
                     conv_id, state, at = c, Located(template), 0
                 piece = state.add((r, t))
                 rows.append((state.count - 1, r, at, at + len(piece), piece, state.rewrites))
@@ -158,6 +183,8 @@ def formatted(conversations: DataFrame, template: Template = instruct, conv: str
             cols = list(zip(*rows)) if rows else [()] * 6
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([b.column(0), *map(pa.array, cols, kinds)], schema.names)
+        if state is not None:
+            state.finish()
 
     return src.mapInArrow(work, schema)
 
