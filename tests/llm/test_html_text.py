@@ -71,3 +71,25 @@ def test_edges(spark):
     assert got[5, "u"].text.count("\n") == 29_999 and got[8, "u"].text == "a <script>"
     assert got[6, "u"].text == got[None, "n"].text == H.main_text(FULL)
     assert H.extract(df.limit(0), H.train(df.limit(0)), ["page_id"]).collect() == []
+
+
+def test_names_are_matched_whole():
+    text = "<p>A long paragraph with many words, commas, and a proper end of the sentence.</p>"
+    for tag in ('article class="responsive"', 'main class="relative"', 'article class="has-sidebar shared"',
+                'article title="hidden valley"', 'article data-hidden="false"', 'main class="overflow-hidden"',
+                'article class="legal"', 'main id="content" class="with-footnotes notice"', "article class=post-7 data-x='nav'",
+                'div class="content shared"', 'div class="post relative footnote"', "article hidden=until-found"):
+        assert H.main_text(f"<body><{tag}>{text}</{tag.split()[0]}></body>") == text[3:-4], tag
+        assert H._mark(tag.split()[0], tag[len(tag.split()[0]):], False) == 1, tag
+    for tag in ("article hidden", 'article aria-hidden="true"', 'article class="comment"', 'div class="comment body"',
+                'article class="teaser"', 'div class="post-navigation"', 'div id="cookie-banner"', 'div class="siteFooter"',
+                'div class="related"', 'article class="ad"', 'div class="share"', 'main class="hidden"'):
+        assert H._mark(tag.split()[0], tag[len(tag.split()[0]):], False) == -1, tag
+    for tag in ('div class="footnote"', 'div class="responsive relative shared"', 'p title="hidden valley"'):
+        assert H._mark(tag.split()[0], tag[len(tag.split()[0]):], True) == 0, tag
+
+
+def test_formulas_and_typed_text_stay():
+    page = ("<article><p>The rule <math><mi>E</mi><mo>=</mo><mi>m</mi></math> holds for all the bodies here.</p>"
+            "<p>Type this: <textarea rows=2>a &lt; b <b></textarea> and see.</p></article>")
+    assert H.main_text(page) == "The rule E=m holds for all the bodies here.\nType this: a < b <b> and see."

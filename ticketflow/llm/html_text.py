@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 from .common import read, strings
 
 # Element names by their role.
-_RAW = frozenset("script style noscript template svg math iframe object canvas textarea select title audio video".split())
+_RAW = frozenset("script style noscript template svg iframe object canvas select title audio video".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
@@ -43,20 +43,32 @@ _BLOCK = frozenset(
 _BOILER_TAGS = frozenset("nav footer aside form menu dialog button head fieldset label search".split())
 _ENDS_P = _BLOCK - {"body", "html", "head"}
 
-# Parts of class and id names.
-_BOILER_STEMS = ("advert", "comment", "sidebar", "nav", "foot", "cookie", "consent", "sponsor", "promo", "subscri",
-                 "newsletter", "relat", "recommend", "share", "sharing", "social", "breadcrumb", "menu", "widget", "popup",
-                 "modal", "overlay", "disclaimer", "copyright", "masthead", "banner", "login", "signup", "signin",
-                 "paginat", "toolbar", "respon", "discuss", "disqus", "notice", "notification", "alert", "gdpr", "legal",
-                 "outbrain", "taboola", "teaser", "trending", "hidden", "skip", "topbar", "dropdown")
+# Whole parts of class and id names.
+#: What an element itself is, also an article; ...
+_BOILER_ITSELF = frozenset(
+    "comment comments commenting commenter commentlist commentform advert adverts advertise advertisement advertisements "
+    "advertising advertorial sponsor sponsors sponsored promo promos promoted promotion promotions promotional related "
+    "relatedposts relatedarticles recommended recommendation recommendations teaser teasers outbrain taboola disqus".split())
+#: ... and what outweighs neither an article or main element nor a content name.
+_BOILER_NAMES = frozenset(
+    "sidebar sidebars nav navs navbar navigation navlist navmenu sidenav subnav topnav foot footer footers cookie cookies "
+    "cookiebar cookiebanner cookieconsent consent subscribe subscriber subscribers subscription subscriptions newsletter "
+    "newsletters recommend share shares sharing sharebar sharebuttons sharethis sharedaddy social socials socialmedia "
+    "socialbar sociallinks breadcrumb breadcrumbs menu menus menubar menuitem widget widgets popup popups modal modals overlay "
+    "overlays disclaimer disclaimers copyright copyrights masthead banner banners login signup signin paginate pagination "
+    "paginator toolbar toolbars respond responses discuss discussion discussions notice notices notification notifications "
+    "alert alerts gdpr trending skip skiplink skiplinks topbar dropdown dropdowns".split())
 _BOILER_WORDS = frozenset("ad ads adv side aside reply replies tags meta byline feedback form search more top".split())
 _CONTENT_WORDS = frozenset("article content main post entry story body text maincontent prose".split())
+_HIDDEN_NAMES = frozenset(("hidden", "is-hidden", "visually-hidden"))
+#: A name with one of these parts tells of what is around or inside, as in has-sidebar or comments-open.
+_ABOUT = frozenset("has have with without no open closed".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
-_ATTR = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -68,10 +80,10 @@ def _mark(name: str, attrs: str, inside_article: bool) -> int:
         return -1
     said = 1 if name in ("article", "main") else 0
     if attrs and name not in ("body", "html"):
-        parts = []
+        names = []
         for m in _ATTR.finditer(attrs):
             key, value = m[1].lower(), (m[2] or "").strip("\"'")
-            if key == "hidden" or key == "aria-hidden" and value == "true" or \
+            if key == "hidden" and value.lower() != "until-found" or key == "aria-hidden" and value == "true" or \
                     key == "style" and "display:none" in value.replace(" ", "").lower():
                 return -1
             if key == "role":
@@ -81,15 +93,28 @@ def _mark(name: str, attrs: str, inside_article: bool) -> int:
                                "alertdialog", "menu", "menubar"):
                     return -1
             elif key in ("class", "id"):
-                parts += [p.lower() for p in _NAME_PART.findall(value)]
-        content = any(p in _CONTENT_WORDS for p in parts)
-        for p in parts:
-            if p in _BOILER_WORDS and not content or p.startswith(_BOILER_STEMS):
+                names += value.split()
+        boiler = content = False
+        for one in names:
+            if one.lower() in _HIDDEN_NAMES:
                 return -1
-            if p in ("header", "head") and not content and not inside_article:
+            parts = {p.lower() for p in _NAME_PART.findall(one)}
+            if parts & _ABOUT:
+                continue
+            if parts & _BOILER_ITSELF:
                 return -1
+            if parts & _BOILER_NAMES:
+                boiler = True
+            elif parts & _CONTENT_WORDS:
+                content = True
+            elif parts & _BOILER_WORDS or not inside_article and parts & {"header", "head"}:
+                boiler = True
+                if name == "article" and parts & {"ad", "ads", "adv", "reply", "replies"}:
+                    return -1
         if content:
             said = 1
+        if boiler and not said:
+            return -1
     return said
 
 
@@ -163,10 +188,10 @@ def blocks(html: str) -> list[Block]:
                         break
             continue
         attrs = m["attrs"] or m["attrs2"] or ""
-        if name in _RAW and not attrs.endswith("/"):
+        if (name in _RAW or name == "textarea") and not attrs.endswith("/"):
             e = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>", re.I).search(html, at)
+            parts.append(f" {unescape(html[at:e.start() if e else end])} " if name == "textarea" else " ")
             at = e.end() if e else end
-            parts.append(" ")
             continue
         if name == "br" or name in _VOID:
             if name == "hr":
