@@ -65,3 +65,15 @@ def test_nothing_to_learn_and_stage(make_docs):
     assert kept.columns == docs.columns
     by_id = {r.doc_id: r for r in kept.collect()}
     assert by_id.keys() == {r[0] for r in rows} - {200, 201} and by_id[202].lang == "en"
+
+
+def test_limit_of_the_stage_comes_from_held_out_texts(spark, make_docs):
+    import random
+    rnd = random.Random(4)
+    en, de = "the of and with from their which would could should".split(), "der und die nicht eine wird werden dass auch".split()
+    rows = [(i, " ".join(rnd.choice(en if i % 2 else de) for _ in range(60)), "en" if i % 2 else "de") for i in range(800)]
+    mixed = [(1000 + i, " ".join(rnd.choice(en if (j // 12 + i) % 2 else de) for j in range(240)), None) for i in range(20)]
+    kept = {r.doc_id for r in L.stage(make_docs(rows + mixed), least=50).collect()}
+    assert len(kept & {r[0] for r in rows}) >= 0.97 * len(rows) and not kept & {r[0] for r in mixed}
+    low = spark.createDataFrame([("a", "a", 0.9 + i / 5000) for i in range(400)] + [("b", "b", 0.5)], "lang string, lang_pred string, score double")
+    assert L.limits(low) == {"a": 0.9}

@@ -213,14 +213,46 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, langs, net, ["doc_id", "held_out"])
 
 
-def stage(docs: DataFrame, min_score: float = 0.3) -> DataFrame:
-    """The rows of ``docs`` whose language the network can tell: texts without a
-    letter or with no language clearly ahead (score below ``min_score``) go.
-    A missing ``lang`` is filled with the prediction."""
+#: A language's limit is this quantile of the scores of its held-out texts that are predicted right, ...
+QUANTILE = 0.005
+#: ... if they are so many that texts lie below it.
+MIN_CALIBRATION = 400
+
+
+def limits(scored: DataFrame, quantile: float = QUANTILE, least: int = MIN_CALIBRATION) -> dict[str, float]:
+    """The score limit of each language (``lang``, ``lang_pred``, ``score``) with enough right
+    predictions, from a histogram of steps of 1/1000: one row for each language and bin comes to the driver."""
+    bins: dict[str, dict[int, int]] = {}
+    for r in (scored.where(F.col("lang") == F.col("lang_pred")).groupBy("lang", F.floor(F.col("score") * 1000).alias("bin"))
+              .agg(F.count(F.lit(1)).alias("n")).collect()):
+        bins.setdefault(r.lang, {})[r.bin] = r.n
+    out = {}
+    for lang, held in bins.items():
+        total, below = sum(held.values()), 0
+        if total < least:
+            continue
+        for b in sorted(held):
+            below += held[b]
+            if below > quantile * total:
+                out[lang] = b / 1000
+                break
+    return out
+
+
+def stage(docs: DataFrame, min_score: float = 0.3, quantile: float = QUANTILE, least: int = MIN_CALIBRATION) -> DataFrame:
+    """The rows of ``docs`` whose language the network can tell: texts without a letter go, and
+    those with a score below the limit of their predicted language, which held-out labelled
+    texts give whatever the number of languages.  ``min_score`` is the limit of languages with
+    fewer than ``least`` such texts.  A missing ``lang`` is filled with the prediction."""
     train_on = docs.where(~held_out("doc_id", 4))
     langs, net = train(train_on)
     out = predict(docs, langs, net, docs.columns)
-    ok = out.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= min_score))
+    known = docs.where(held_out("doc_id", 4) & F.col("lang").isNotNull())
+    limit = limits(predict(known, langs, net, ["lang"]), quantile, least) if langs else {}
+    edge = F.lit(min_score)
+    for lang, least_score in sorted(limit.items()):
+        edge = F.when(F.col("lang_pred") == lang, least_score).otherwise(edge)
+    ok = out.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= edge))
     return ok.select(*[F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(c)
                        for c in docs.columns])
 
