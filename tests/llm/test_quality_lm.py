@@ -54,3 +54,9 @@ def test_languages_edges_and_junk(spark, make_docs):
     none = Q.classify(docs, ids.limit(0)).collect()
     assert len(none) == len(rows) and all(r.kept and r.threshold is None for r in none)
     assert Q.classify(make_docs([]), ids).collect() == []
+
+
+def test_a_quantile_of_its_own_needs_texts_above_it(spark):
+    rows = [("few", 2.0 + i / 1000) for i in range(150)] + [("many", 1.0 + i / 1000) for i in range(600)]
+    own, every = Q.thresholds(spark.createDataFrame(rows, "lang string, log double"), "lang", "log")
+    assert {r._l for r in own.collect()} == {"many"} and every < 2.149

@@ -8,8 +8,8 @@ where they lie, no text or pair of theirs is shuffled, and a frequent word is
 one row of a batch's join.
 
 The threshold of each language is a quantile of the perplexity of the trusted
-texts that were not learnt from; a language with few of them takes the quantile
-of all.
+texts that were not learnt from; a language with few of them, or so few that the
+quantile is the worst one's perplexity, takes the quantile of all.
 
 Defined results: a null or empty text is the end mark alone; a null language is
 ''; repeated rows are scored each; without any trusted text the threshold is null
@@ -33,7 +33,7 @@ MOST_SENT = 1_000_000
 
 def thresholds(scored: DataFrame, lang: str, log_ppl: str, quantile: float = QUANTILE,
                least: int = MIN_CALIBRATION) -> tuple[DataFrame, float | None]:
-    """((lang, edge) of languages with enough rows, the edge of all): the quantile of log10
+    """((lang, edge) of languages with enough rows that some lie above it, the edge of all): the quantile of log10
     perplexity, found in a histogram of steps of 1/1000, so that no language's rows meet in a task."""
     bins = stored(scored.select(F.col(lang).alias("_l"), F.floor(F.col(log_ppl) * 1000).alias("bin"))
                   .groupBy("_l", "bin").agg(F.count(F.lit(1)).alias("n")), "calibration")
@@ -45,7 +45,8 @@ def thresholds(scored: DataFrame, lang: str, log_ppl: str, quantile: float = QUA
                 .groupBy(*by).agg(((F.min("bin") + 1) / 1000).alias("edge"), F.first("all").alias("all")))
     one = bins.groupBy("bin").agg(F.sum("n").alias("n")).withColumn("_one", F.lit(1))
     every = edges(one, ["_one"]).first()
-    return edges(bins, ["_l"]).where(F.col("all") >= least).select("_l", "edge"), every.edge if every else None
+    enough = (F.col("all") >= least) & (F.col("all") - F.ceil(F.col("all") * F.lit(quantile)) >= 1)
+    return edges(bins, ["_l"]).where(enough).select("_l", "edge"), every.edge if every else None
 
 
 def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
