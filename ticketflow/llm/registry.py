@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, html_text, langid, mixing, ngram_lm, quality_lm, quality_rules, secrets, simhash
+from . import (chat, decontaminate, fim, html_text, langid, mixing, ngram_lm, quality_lm, quality_rules, secrets,
+               simhash)
 
-_MODULES = (quality_lm, simhash, secrets, html_text, langid, ngram_lm, quality_rules, decontaminate, chat, mixing)
+_MODULES = (quality_lm, simhash, secrets, html_text, langid, ngram_lm, quality_rules, decontaminate, chat, mixing, fim)
 
 
 def queries() -> dict:
