@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from . import (chat, decontaminate, fim, html_text, langid, mixing, ngram_lm, quality_lm, quality_rules, secrets,
-               simhash)
+               simhash, substring_dedup)
 
-_MODULES = (quality_lm, simhash, secrets, html_text, langid, ngram_lm, quality_rules, decontaminate, chat, mixing, fim)
+_MODULES = (quality_lm, simhash, secrets, html_text, langid, ngram_lm, quality_rules, decontaminate, chat, mixing,
+            substring_dedup, fim)
 
 
 def queries() -> dict:
