@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from . import (chat, decontaminate, fim, html_text, langid, mixing, ngram_lm, quality_lm, quality_rules, secrets,
-               simhash, substring_dedup)
+               simhash, substring_dedup, token_alignment)
 
 _MODULES = (quality_lm, simhash, secrets, html_text, langid, ngram_lm, quality_rules, decontaminate, chat, mixing,
-            substring_dedup, fim)
+            substring_dedup, fim, token_alignment)
 
 
 def queries() -> dict:
