@@ -48,10 +48,12 @@ from .tokens import hashes, mix, spans
 WINDOW = 20
 GRAM = 8
 #: Distinct hashes or segments a task holds before it sends them on.
-HELD = 2_000_000
-HELD_SEGMENTS = 200_000
+HELD = 1_000_000
+HELD_SEGMENTS = 80_000
 #: Hashes in one sorted array, and repeated 8-grams (about as many windows) in one shard.
-ARRAY, SHARD = 1 << 20, 250_000
+ARRAY, SHARD = 1 << 19, 100_000
+#: Files that a worker keeps mapped (4 MB or less each).
+MAPPED = 12
 
 _P = np.uint64(0x9E3779B97F4A7C15)
 _PLACE = np.uint64((1 << 28) - 1)  # words of one text at most
@@ -144,15 +146,30 @@ def _stretch_hash(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return mix((total[end] - total[start]) * power[len(codes) - start] + (end - start).astype(np.uint64))
 
 
-class KeySet:
-    """A set of 64-bit hashes as sorted arrays in the shared folder, one a range of the highest bits."""
+class Mapped:
+    """Files of a shared folder, the last few of them mapped into memory."""
 
-    def __init__(self, folder: str, bits: int, size: int):
-        self.folder, self.bits, self.size, self._maps = folder, bits, size, {}
+    def __init__(self, folder: str):
+        self.folder, self._maps = folder, {}
 
     def __getstate__(self):
         return self.__dict__ | {"_maps": {}}
 
+    def file(self, name: str) -> np.ndarray:
+        if name not in self._maps:
+            while len(self._maps) >= MAPPED:
+                del self._maps[next(iter(self._maps))]
+            self._maps[name] = map_file(self.folder, name)
+        return self._maps[name]
+
+
+class KeySet(Mapped):
+    """A set of 64-bit hashes as sorted arrays in the shared folder, one a range of the highest bits."""
+
+    def __init__(self, folder: str, bits: int, size: int):
+        super().__init__(folder)
+        self.bits, self.size = bits, size
+
     @classmethod
     def written(cls, keys: DataFrame) -> KeySet:
         """From distinct rows of one long column."""
@@ -180,9 +197,7 @@ class KeySet:
         edges = np.arange(1, 1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits) if self.bits else []
         cuts = np.concatenate([[0], np.searchsorted(sought, edges), [len(sought)]]).astype(np.int64)
         for part in np.flatnonzero(np.diff(cuts)):
-            if part not in self._maps:
-                self._maps[part] = map_file(self.folder, f"{part}.key").view("<u8")
-            stored_keys, own = self._maps[part], sought[cuts[part]:cuts[part + 1]]
+            stored_keys, own = self.file(f"{part}.key").view("<u8"), sought[cuts[part]:cuts[part + 1]]
             if len(stored_keys):
                 at = np.minimum(np.searchsorted(stored_keys, own), len(stored_keys) - 1)
                 hit[cuts[part]:cuts[part + 1]] = stored_keys[at] == own
@@ -345,23 +360,30 @@ def _index(folder: str, window: int):
         count = size - window + 1
         where, _ = _slices(np.arange(len(codes)), first[:-1], count)
         shard = table.column("shard")[0].as_py()
-        put_file(folder, f"{shard}.key", [key[own].astype("<u8")])
-        put_file(folder, f"{shard}.at", [np.concatenate([[0], np.cumsum(count)]).astype("<i8")])
-        put_file(folder, f"{shard}.doc", [found_doc[where].astype("<i8")])
-        put_file(folder, f"{shard}.word", [found_word[where].astype("<i4")])
+        put_file(folder, f"{shard}.report", [
+            np.array([len(own)], "<i8"), key[own].astype("<u8"), np.concatenate([[0], np.cumsum(count)]).astype("<i8"),
+            found_doc[where].astype("<i8"), found_word[where].astype("<i4")])
         return pa.table({"segments": pa.array([len(own)], pa.int64()), "windows": pa.array([len(where)], pa.int64())})
 
     return work
 
 
-class Earliest:
-    """The shards' reports, mapped by the workers."""
+class Earliest(Mapped):
+    """The shards' reports."""
 
     def __init__(self, folder: str, shards: int):
-        self.folder, self.shards, self._maps = folder, shards, {}
-
-    def __getstate__(self):
-        return self.__dict__ | {"_maps": {}}
+        super().__init__(folder)
+        self.shards = shards
+
+    def _report(self, shard: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(hashes of its segments, where each one's windows begin, first document and first word of each window)."""
+        raw = self.file(f"{shard}.report")
+        if not len(raw):
+            raise FileNotFoundError(f"report of shard {shard} in {self.folder}")
+        n = int(raw[:8].view("<i8")[0])
+        at = raw[8 + 8 * n:16 + 16 * n].view("<i8")
+        end = 16 + 16 * n + 8 * int(at[-1])
+        return raw[8:8 + 8 * n].view("<u8"), at, raw[16 + 16 * n:end].view("<i8"), raw[end:].view("<i4")
 
     def repeated(self, shard: np.ndarray, key: np.ndarray, count: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
         """For the windows of all segments, one after the other: whether their words begin earlier too."""
@@ -370,13 +392,8 @@ class Earliest:
         by = np.argsort(shard, kind="stable")
         cut = np.flatnonzero(np.diff(shard[by], prepend=-1))
         for a, z in zip(cut, np.append(cut[1:], len(by))):
-            own, part = by[a:z], int(shard[by[a]])
-            if part not in self._maps:
-                self._maps[part] = [map_file(self.folder, f"{part}.{what}").view(kind)
-                                    for what, kind in (("key", "<u8"), ("at", "<i8"), ("doc", "<i8"), ("word", "<i4"))]
-            keys, at, docs, words = self._maps[part]
-            if not len(keys):
-                raise FileNotFoundError(f"report of shard {part} in {self.folder}")
+            own = by[a:z]
+            keys, at, docs, words = self._report(int(shard[by[a]]))
             k = np.minimum(np.searchsorted(keys, key[own]), len(keys) - 1)
             if not (keys[k] == key[own]).all():
                 raise ValueError("the texts have changed since they were indexed")
