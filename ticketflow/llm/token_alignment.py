@@ -1,10 +1,9 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes.
 
 Both tokenizers encode the same bytes (a space and the text).  The places where
-tokens of both end are found as a hash-set intersection: each side's cumulative
-ends go into a dictionary from end to index, the common keys in order slice both
-id lists into groups, and within a slice every two tokens whose bytes overlap are
-a link.  How often two ids are linked is summed over the corpus, and each text
+tokens of both end are found as a hash intersection: cumulative ends go into a
+dictionary from end to index, the common keys in order slice both id lists into
+groups, and within a slice every two tokens whose bytes overlap are a link.  How often two ids are linked is summed over the corpus, and each text
 is told how well its links agree with that.
 
 Encoding, the costly part, is done once: a pass writes every text's groups and
@@ -13,6 +12,7 @@ aggregate of those (a pair in every text is one row of a task), joined back by
 pair.  The table of counts is broadcast only if its rows, which are counted
 first, are at most MOST_SENT; beyond, both sides are shuffled by pair, and a
 frequent pair, which has one row a text, is left to adaptive skew splitting.
+A task keeps the rows of its last texts, found by the whole text, for copies.
 
 Defined results: a text that is null, empty, or that one of the tokenizers does
 not give back byte for byte has no tokens: zeros and an empty digest; repeated
@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 MOST_SENT = 2_000_000
 #: Characters of texts that a task aligns in one round; a longer text is a round of its own.
 HELD = 50_000
+#: Characters of texts whose rows a task keeps for copies of them.
+KEPT = 8_000_000
 
 #: The public pattern that byte-level BPE of this kind splits texts by (fixed value).
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -65,6 +69,8 @@ class ByteLevel:
         self.bytes = [b""] * (max([*vocab.values(), *[t["id"] for t in model["added_tokens"]]]) + 1)
         for token, i in vocab.items():
             self.bytes[i] = bytes(byte[c] for c in token)
+        #: nothing is normalised and every byte has a token, so the tokens of a text give it back
+        self.lossless = model.get("normalizer") is None and {bytes([i]) for i in range(256)} <= set(self.bytes)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["model"]["merges"]]
         before = len(vocab) - len(merges)
         ranked = all(vocab[a + b] == before + i for i, (a, b) in enumerate(merges))
@@ -108,12 +114,15 @@ def _loaded(kind, path: str):
 
 
 def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(end in A's ids, end in B's ids) of every group: the places where tokens of both end."""
-    index_a = dict(zip(ends_a.tolist(), range(1, len(ends_a) + 1)))
+    """(end in A's ids, end in B's ids) of every group: the places where tokens of both end.
+
+    B's ends go into a dictionary from end to index; A's, which rise, are probed in
+    their order, so the common keys come sorted and A's index is the probe's number.
+    """
     index_b = dict(zip(ends_b.tolist(), range(1, len(ends_b) + 1)))
-    common = sorted(index_a.keys() & index_b.keys())
-    return (np.fromiter(map(index_a.__getitem__, common), np.int64, len(common)),
-            np.fromiter(map(index_b.__getitem__, common), np.int64, len(common)))
+    found = np.fromiter(map(index_b.get, ends_a.tolist(), repeat(0)), np.int64, len(ends_a))
+    cut_a = np.flatnonzero(found)
+    return cut_a + 1, found[cut_a]
 
 
 @lru_cache(4)
@@ -155,17 +164,18 @@ def _encoded(a_path: str, b_path: str, names: list[str]):
         bytes_a, bytes_b = tok_a.bytes, tok_b.bytes
         row = TaskContext.get().partitionId() << 36
 
-        def rows(ids, texts):
-            nonlocal row
+        def rows(texts):
+            """(n_a, n_b, n_groups, n_links, digest, pairs, times) of each text."""
             all_a, all_b, first_a, first_b = [], [], [0], [0]
             for text, a, b in zip(texts, tok_a.encode(texts), tok_b.encode(texts)):
                 raw = b" " + text.encode("utf-8", "surrogatepass")
-                if text and b"".join(map(bytes_a.__getitem__, a)) == raw == b"".join(map(bytes_b.__getitem__, b)):
+                if text and b"".join(map(bytes_b.__getitem__, b)) == raw and (
+                        tok_a.lossless or b"".join(map(bytes_a.__getitem__, a)) == raw):
                     all_a += a
                     all_b += b
                 first_a.append(len(all_a))
                 first_b.append(len(all_b))
-            ids_a, ids_b = np.array(all_a, np.int64), np.array(all_b, np.int64)
+            ids_a, ids_b = (np.frombuffer(array("q", x), np.int64) if x else np.zeros(0, np.int64) for x in (all_a, all_b))
             # both sides cover the same bytes, so the ends of all texts of the round are one rising
             # sequence, and the end of every text is a common one
             ends_a, ends_b = np.cumsum(len_a[ids_a]), np.cumsum(len_b[ids_b])
@@ -173,31 +183,48 @@ def _encoded(a_path: str, b_path: str, names: list[str]):
             pieces = written(ids_a, ids_b, cut_a, cut_b, len(bytes_a), len(bytes_b))
             digests = [hashlib.sha256("".join(pieces[i + j:k + n])[:-1].encode()).hexdigest() if i < k else ""
                        for i, k, j, n in zip(first_a, first_a[1:], first_b, first_b[1:])]
-            first_a, first_b = np.array(first_a), np.array(first_b)
             at_a, at_b = links(ends_a, ends_b)
-            owner = np.searchsorted(first_a, at_a, "right") - 1
-            pair = ids_a[at_a] * len(bytes_b) + ids_b[at_b]
-            order = np.lexsort((pair, owner))
-            pair, by = pair[order], owner[order]
-            new = np.flatnonzero(np.concatenate([[True], (pair[1:] != pair[:-1]) | (by[1:] != by[:-1])])[:len(pair)])
-            times = np.diff(np.append(new, len(pair)))
-            first = np.searchsorted(by[new], np.arange(len(texts) + 1)).astype(np.int32)
-            counts = (np.arange(row, row + len(texts)), np.diff(first_a), np.diff(first_b),
-                      np.diff(np.searchsorted(cut_a, first_a, "right")), np.bincount(owner, minlength=len(texts)))
-            row += len(texts)
+            owner = np.searchsorted(np.array(first_a), at_a, "right") - 1
+            key = np.sort(owner * (len(bytes_a) * len(bytes_b)) + ids_a[at_a] * len(bytes_b) + ids_b[at_b])
+            new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+            times = np.diff(np.append(new, len(key))).astype(np.int32)
+            by, pair = np.divmod(key[new], len(bytes_a) * len(bytes_b))
+            first = np.searchsorted(by, np.arange(len(texts) + 1)).tolist()
+            n_groups = np.diff(np.searchsorted(cut_a, first_a, "right")).tolist()
+            n_links = np.bincount(owner, minlength=len(texts)).tolist()
+            return [(k - i, n - j, g, li, d, pair[x:y], times[x:y]) for i, k, j, n, g, li, d, x, y in zip(
+                first_a, first_a[1:], first_b, first_b[1:], n_groups, n_links, digests, first, first[1:])]
+
+        def sent(ids, done):
+            nonlocal row
+            cols = list(zip(*done))
+            first = np.concatenate([[0], np.cumsum([len(p) for p in cols[5]])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [ids, *[pa.array(c, pa.int64()) for c in counts], pa.array(digests, pa.string()),
-                 pa.ListArray.from_arrays(pa.array(first), pa.array(pair[new], pa.int64())),
-                 pa.ListArray.from_arrays(pa.array(first), pa.array(times, pa.int32()))], names)
+                [ids, pa.array(np.arange(row, row + len(done))), *[pa.array(c, pa.int64()) for c in cols[:4]],
+                 pa.array(cols[4], pa.string()), pa.ListArray.from_arrays(pa.array(first), pa.array(np.concatenate(cols[5]))),
+                 pa.ListArray.from_arrays(pa.array(first), pa.array(np.concatenate(cols[6])))], names)
+            row += len(done)
+
+        known, size = {}, 0  # rows by whole text, the oldest first
         for b in batches:
             texts = [t or "" for t in b.column(0).to_pylist()]
             x = 0
             while x < len(texts):
-                y, size = x, 0
-                while y < len(texts) and (y == x or size + len(texts[y]) <= HELD):
-                    size += len(texts[y])
+                y, new, n = x, {}, 0
+                while y < len(texts) and (n + len(texts[y]) <= HELD or not n) and y - x < 2000:
+                    if texts[y] not in known and texts[y] not in new:
+                        new[texts[y]] = None
+                        n += len(texts[y])
                     y += 1
-                yield from rows(b.column(1).slice(x, y - x), texts[x:y])
+                got = list(new)
+                new = dict(zip(got, rows(got))) if got else {}
+                yield from sent(b.column(1).slice(x, y - x), [new[t] if t in new else known[t] for t in texts[x:y]])
+                known |= new
+                size += n
+                while size > KEPT:
+                    oldest = next(iter(known))
+                    size -= len(oldest)
+                    del known[oldest]
                 x = y
 
     return work
