@@ -1,6 +1,11 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
+import pytest
 
 from ticketflow.llm import decontaminate as D
 
@@ -90,3 +95,74 @@ def test_blocks_of_items(spark, make_docs, monkeypatch):
     monkeypatch.setattr(D, "BLOCK_CHARS", 200)
     assert sorted(map(tuple, D.leaks(docs, bench).collect())) == whole
     assert {(r[0], r[1]) for r in whole} >= {(i, i) for i in range(30)}
+
+
+def test_bit_parallel_equals_the_plain_program():
+    rnd = random.Random(4)
+    for _ in range(300):
+        item = [rnd.choice("abc") for _ in range(rnd.randrange(1, 40))]
+        text = [rnd.choice("abcd") for _ in range(rnd.randrange(0, 60))]
+        points = [np.array([ord(c) for c in x], np.uint32) for x in (item, text)]
+        edits, end = D.bit_parallel(*points, len(item))
+        assert edits == best(item, text) == best(item[::-1], text[:end][::-1])
+
+
+@pytest.mark.parametrize("size, changes", [
+    (16_000, ("below more", "at more", "above more", "below less", "at other", "above other")),
+    (84_000, ("at other", "below less")), (200_000, ("below less",))])
+def test_long_items(size, changes):
+    """Edits below, at and above the budget, with characters that the item does not have, so that their number is known."""
+    rng = np.random.default_rng(size)
+    own = "".join(map(chr, rng.integers(97, 123, size)))
+    items = D.Items([1], [own])
+    most = int(items.budget[0])
+    for change in changes:
+        where, kind = change.split()
+        n = {"below": most // 40, "at": most, "above": most + 50}[where]
+        t = list(own)
+        for p in np.sort(rng.choice(np.arange(100, size - 100), n, replace=False))[::-1].tolist():
+            t[p:p + 1] = {"more": ["ä", t[p]], "less": [], "other": ["ä"]}[kind]
+        points, _ = D.characters(*D.utf8(pa.array(["before " * 50 + "".join(t) + " after" * 50])))
+        owner = item = np.zeros(1, np.int64)  # the region that begins with the copy
+        edits, end = items.verify(points, np.array([0, len(points)]), owner, item, np.array([350 - most // 2]))
+        assert edits[0] == n if kind != "less" else 0 < edits[0] <= n
+        assert end[0] == 350 + len(t)
+        if where == "below":  # few enough that the lemma's bound is met
+            got = D._leaks(items, points, np.array([0, len(points)]))
+            assert [g[:2] + g[3:] for g in got] == [[0, 0, edits[0]]]
+
+
+def test_repeated_characters_in_bounded_memory():
+    items = D.Items([1, 2], ["-" * 1000, "ab" * 400])
+    text = "-" * 1_000_000 + "ab" * 100_000
+    points, first = D.characters(*D.utf8(pa.array([text])))
+    tracemalloc.start()
+    owner, item, diagonal = items.regions(points, first)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20 and set(item.tolist()) == {0, 1}
+
+
+def test_rounds_do_not_change_the_regions(monkeypatch):
+    """Runs of repeated characters, counted run by run in small rounds, against every pair of places."""
+    rnd = random.Random(8)
+    texts = ["".join(rnd.choice(["-" * 30, "=-", "abc", "a" * 12, "word "]) for _ in range(40)) for _ in range(6)] + ["", "-" * 300]
+    items = D.Items([*range(4)], ["-" * 60, "=-" * 30, "a" * 25 + "-" * 25, "abcword " * 6])
+    points, first = D.characters(*D.utf8(pa.array(texts)))
+    want = set()
+    for t, text in enumerate(texts):
+        for i in range(4):
+            own, width = "".join(map(chr, items.points[items.first[i]:items.first[i + 1]])), int(items.budget[i]) + 1
+            count: dict = {}
+            for a in range(len(text) - D.Q + 1):
+                for p in range(len(own) - D.Q + 1):
+                    if text[a:a + D.Q] == own[p:p + D.Q]:
+                        shift = int(items.size.max() + items.budget.max()) + 1
+                        b = (a - p + shift) // width
+                        for x in (b, b - 1):
+                            count[x] = count.get(x, 0) + 1
+            want |= {(t, i, b * width - shift) for b, c in count.items() if c >= items.bound[i]}
+    for size in (300_000, 7):
+        monkeypatch.setattr(D, "ROUND", size)
+        assert set(zip(*(x.tolist() for x in items.regions(points, first)))) == want
+    assert want

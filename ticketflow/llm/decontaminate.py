@@ -5,7 +5,9 @@ least m + 1 - q(k + 1) q-grams, whose places differ by at most k: all of them
 fall on diagonals (place in the text less place in the item) of one band of
 2(k + 1), if such bands begin every k + 1 diagonals.  So shared q-grams are
 counted for each text, item and band, bands below the bound are dropped, and the
-rest are verified by an alignment that stays in the band (widened by k).
+rest are verified by an alignment that stays in the band (widened by k).  Long
+items, whose bands have thousands of columns, are aligned with the same stretch of
+text by whole columns, one bit for each of their characters.
 
 Characters are compared lower-cased, any white space as a space.  The edit
 budget of an item is ``rate`` of its length, less where the lemma needs it
@@ -33,6 +35,10 @@ Q = 8
 RATE = 0.1
 #: Characters of benchmark items in one block; a larger benchmark takes several passes over the texts.
 BLOCK_CHARS = 4_000_000
+#: Shared q-grams (runs of them) counted in one round.
+ROUND = 150_000
+#: Items of more characters are aligned by `bit_parallel`; `banded` counts in 16 bits.
+LONG = 2_000
 _P = np.uint64(0x9E3779B97F4A7C15)
 _BITS = 22
 
@@ -86,10 +92,16 @@ class Items:
         h, inside = grams(self.points, self.first, q)
         at = np.flatnonzero(inside)
         at = at[np.argsort(h[at], kind="stable")]
-        self.grams, begin = np.unique(h[at], return_index=True)
-        self.begin = np.append(begin, len(at))
-        self.item = np.searchsorted(self.first, at, "right") - 1
-        self.place = at - self.first[self.item]
+        item = np.searchsorted(self.first, at, "right") - 1
+        place = at - self.first[item]
+        # places of a q-gram that follow each other in an item (a rule of dashes, padding) are one run
+        h = h[at]
+        new = np.ones(len(at), bool)
+        new[1:] = (h[1:] != h[:-1]) | (item[1:] != item[:-1]) | (place[1:] != place[:-1] + 1)
+        cut = np.flatnonzero(new)
+        self.item, self.place, self.length = item[cut], place[cut], np.diff(np.append(cut, len(at)))
+        self.grams, begin = np.unique(h[cut], return_index=True)
+        self.begin = np.append(begin, len(cut))
         self.known = np.zeros(1 << _BITS, bool)
         self.known[self._slot(self.grams)] = True
 
@@ -110,28 +122,33 @@ class Items:
         text = np.searchsorted(offsets, at, "right") - 1
         found = [none]
         times = np.diff(self.begin)[gram]
-        # places with many partners are expanded in rounds of bounded size; a text's rows stay in one round
-        rounds = np.cumsum(times) // 4_000_000
-        last = np.zeros(int(text[-1]) + 1 if len(text) else 0, np.int64)
-        last[text] = rounds
-        rounds = last[text]
-        for r in np.unique(rounds):
-            own = np.flatnonzero(rounds == r)
-            k = times[own]
-            row = np.repeat(own, k)
-            post = self.begin[gram[row]] + np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
-            item = self.item[post]
-            diagonal = at[row] - offsets[text[row]] - self.place[post]
+        shift = int(self.size.max() + self.budget.max()) + 1  # diagonals may be negative
+        bands = int(np.diff(offsets).max()) + shift + 2
+        keys = counts = np.zeros(0, np.int64)
+        # places with many partners are expanded in rounds of bounded size; what a text got so far is carried on
+        rounds = np.cumsum(times) // ROUND
+        cuts = np.append(np.flatnonzero(np.diff(rounds, prepend=-1)), len(at))
+        for x, y in zip(cuts, cuts[1:]):
+            k = times[x:y]
+            row = np.repeat(np.arange(x, y), k)
+            run = self.begin[gram[row]] + np.arange(len(row)) - np.repeat(np.cumsum(k) - k, k)
+            item = self.item[run]
             width = self.budget[item] + 1
-            shift = int(self.size.max())  # diagonals may be negative
-            band = (diagonal + shift) // width
-            bands = int(band.max()) + 2
-            key = (text[row] * len(self.ids) + item) * bands + band
+            high = at[row] - offsets[text[row]] - self.place[run] + shift  # diagonals of the run's places
+            low = high - self.length[run] + 1
+            first = low // width
+            k = high // width - first + 1
+            own = np.repeat(np.arange(len(row)), k)
+            band = first[own] + np.arange(len(own)) - np.repeat(np.cumsum(k) - k, k)
+            w = width[own]
+            shared = np.minimum(high[own], (band + 1) * w - 1) - np.maximum(low[own], band * w) + 1
+            key = (text[row[own]] * len(self.ids) + item[own]) * bands + band
+            keys, counts = _added(np.concatenate([keys, key]), np.concatenate([counts, shared]))
+            done = np.searchsorted(keys, text[y] * len(self.ids) * bands) if y < len(at) else len(keys)
             # a band of 2 widths begins at every width: a q-gram counts for its own and the one before
-            keys, count = np.unique(key, return_counts=True)
-            both = np.concatenate([keys, keys - 1])
-            keys, count = _added(both, np.concatenate([count, count]))
-            band, rest = keys % bands, keys // bands
+            both, count = _added(np.concatenate([keys[:done], keys[:done] - 1]), np.concatenate([counts[:done]] * 2))
+            keys, counts = keys[done:], counts[done:]
+            band, rest = both % bands, both // bands
             item, owner = rest % len(self.ids), rest // len(self.ids)
             enough = count >= self.bound[item]
             item, owner, band = item[enough], owner[enough], band[enough]
@@ -155,6 +172,9 @@ class Items:
                 at = stretch.find(own, at + 1)
             if at >= 0:
                 end[r] = a + at // 4 + size[r]
+            elif size[r] > LONG:
+                edits[r], at = bit_parallel(np.frombuffer(own, np.uint32), np.frombuffer(stretch, np.uint32), int(budget[r]))
+                end[r] = a + at
             else:
                 other.append(r)
         other = np.array(other, np.int64)
@@ -174,6 +194,8 @@ class Items:
 
 
 def _added(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return keys, counts
     order = np.argsort(keys, kind="stable")
     k = keys[order]
     cut = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
@@ -191,6 +213,7 @@ def banded(item: np.ndarray, size: np.ndarray, stretch: np.ndarray, own: np.ndar
     cheapest alignment of the item's first i characters that ends there.  An
     alignment may begin and end anywhere in the band of ``own`` columns.
     Outside the text a character of the item costs as much as leaving it out.
+    For items of up to about 16,000 characters: costs are counted in 16 bits.
     Returns (edits, column of the cheapest end).
     """
     width = int(own.max())
@@ -212,6 +235,36 @@ def banded(item: np.ndarray, size: np.ndarray, stretch: np.ndarray, own: np.ndar
     return best, at
 
 
+def bit_parallel(item: np.ndarray, stretch: np.ndarray, budget: int) -> tuple[int, int]:
+    """(edits, end) of the whole item's best alignment that lies in the stretch, for items too long for `banded`.
+
+    One column of the edit matrix is two integers of as many bits as the item has
+    characters, so a column takes a few operations on whole integers and
+    memory in proportion to the item.  Once the edits left can't come below the
+    best found, or below the budget, by the end of the stretch, it stops.
+    """
+    masks = {int(c): int.from_bytes(np.packbits(item == c, bitorder="little").tobytes(), "little") for c in np.unique(item)}
+    full, top = (1 << len(item)) - 1, 1 << (len(item) - 1)
+    up, down, score = full, 0, len(item)
+    best, at, left = score, 0, len(stretch)
+    for j, c in enumerate(stretch.tolist(), 1):
+        same = masks.get(c, 0)
+        keep = (((same & up) + up) ^ up) | same | down
+        more, less = down | (full & ~(keep | up)), keep & up
+        if more & top:
+            score += 1
+        elif less & top:
+            score -= 1
+        more, less = (more << 1) & full, (less << 1) & full
+        up, down = less | (full & ~(keep | more)), more & keep
+        if score < best:
+            best, at = score, j
+        left -= 1
+        if score - left >= min(best, budget + 1):
+            break
+    return best, at
+
+
 def _leaks(items: Items, points, offsets):
     """(text, item, end, edits) of verified leaks; of overlapping ones of an item the closest."""
     owner, item, diagonal = items.regions(points, offsets)
@@ -285,9 +338,10 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
           item_text: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no benchmark item."""
     spark = docs.sparkSession
+    names, column = docs.columns, docs.columns.index(text)
+    docs = docs.toDF(*[f"_in{i}" for i in range(len(names))])  # any name is allowed, also one with a dot
     for items in _blocks(benchmark, item_id, item_text):
         sent = spark.sparkContext.broadcast(items)
-        column = docs.columns.index(text)
 
         def work(batches, sent=sent, column=column):
             for b in batches:
@@ -296,7 +350,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id: st
                 yield b.filter(pa.array(keep))
 
         docs = docs.mapInArrow(work, docs.schema)
-    return docs
+    return docs.toDF(*names)
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
