@@ -244,17 +244,18 @@ def stage(docs: DataFrame, min_score: float = 0.3, quantile: float = QUANTILE, l
     those with a score below the limit of their predicted language, which held-out labelled
     texts give whatever the number of languages.  ``min_score`` is the limit of languages with
     fewer than ``least`` such texts.  A missing ``lang`` is filled with the prediction."""
-    train_on = docs.where(~held_out("doc_id", 4))
-    langs, net = train(train_on)
-    out = predict(docs, langs, net, docs.columns)
-    known = docs.where(held_out("doc_id", 4) & F.col("lang").isNotNull())
-    limit = limits(predict(known, langs, net, ["lang"]), quantile, least) if langs else {}
+    private = {c: f"_in{i}" for i, c in enumerate(docs.columns)}  # free of the names used inside
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in private.items()])
+    text, lang, id_col = (private[c] for c in ("text", "lang", "doc_id"))
+    langs, net = train(inner.where(~held_out(id_col, 4)), text, lang, id_col)
+    out = predict(inner, langs, net, list(private.values()), text)
+    known = inner.where(held_out(id_col, 4) & F.col(lang).isNotNull()).select(text, F.col(lang).alias("lang"))
+    limit = limits(predict(known, langs, net, ["lang"], text), quantile, least) if langs else {}
     edge = F.lit(min_score)
-    for lang, least_score in sorted(limit.items()):
-        edge = F.when(F.col("lang_pred") == lang, least_score).otherwise(edge)
+    for name, least_score in sorted(limit.items()):
+        edge = F.when(F.col("lang_pred") == name, least_score).otherwise(edge)
     ok = out.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= edge))
-    return ok.select(*[F.coalesce("lang", "lang_pred").alias("lang") if c == "lang" else F.col(c)
-                       for c in docs.columns])
+    return ok.select(*[(F.coalesce(n, "lang_pred") if n == lang else F.col(n)).alias(c) for c, n in private.items()])
 
 
 QUERIES = {"op5_language_id": op5_language_id}

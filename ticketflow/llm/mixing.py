@@ -169,13 +169,13 @@ def sample(docs: DataFrame, **how) -> DataFrame:
     """The drawn rows of ``docs``, one for each copy, with weight and the probability with which
     this copy is drawn (1: a whole copy) beside their columns."""
     named = {c: f"_in{i}" for i, c in enumerate(docs.columns)}  # free of the names used inside
-    inner = docs.select(*[F.col(c).alias(n) for c, n in named.items()])
+    inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()])
     roles = {k: named[how.pop(k, v)] for k, v in (("id_col", "doc_id"), ("text", "text"), ("source", "source"),
                                                   ("lang", "lang"))}
     out = mixed(inner, keep=list(named.values()), **roles, **how).where("copies > 0")
     out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).withColumn(
         "probability", F.least(F.lit(1.0), F.col("copies_expected") - (F.col("_copy") - 1)))
-    extra = [c for c in ("weight", "probability") if c not in docs.columns]
+    extra = [F.col(c).alias(f"mixture_{c}" if c in docs.columns else c) for c in ("weight", "probability")]
     return out.select(*[F.col(n).alias(c) for c, n in named.items()], *extra)
 
 
