@@ -9,8 +9,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from ticketflow.operators.dedupe import existing_keys, latest_per_key
-from ticketflow.operators.joins import first_after, match_counts
-from ticketflow.operators.windows import last_events
+from ticketflow.operators.joins import first_after, match_counts, next_times
+from ticketflow.operators.windows import last_events, next_event
 
 N, PARTS, KEYS = 300_000, 8, 1000
 
@@ -93,6 +93,44 @@ def test_first_after_null_keys_spread_and_unmatched(spark):
     assert out.filter(F.col("k") == "D1").filter(F.col("nx").isNull()).count() == 0
 
 
+def test_next_times_of_one_minute_and_one_instant(spark):
+    """A device whose rows all fall into one minute: no window holds more than its distinct instants of a
+    second, and rows of one instant are one row."""
+    base = datetime(2025, 1, 1)
+    n = 60_000
+    left = spark.range(n, numPartitions=PARTS).select(
+        F.lit("HOT").alias("k"), F.col("id").alias("i"),
+        (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") % 6000 / 100).cast("decimal(18,6)"))).alias("t"))
+    right = left.filter(F.col("i") % 7 == 0).select("k", "t")
+    times = left.select(F.col("k").alias("_k"), F.col("t").alias("_t")).groupBy("_k", "_t").agg(F.max("_t").alias("_r"))
+    recs = _shuffled_records(next_times(times))
+    assert max(recs) <= 6000 * PARTS                       # instants of each task, not rows
+    got = first_after(left, right, "k", "k", "t", "t", "nx")
+    # instants are 10 ms apart, and every one is a right time for some row (6000 and 7 have no common divisor)
+    step = F.lit(timedelta(milliseconds=10))
+    wrong = got.filter(~F.when(F.col("i") % 6000 == 5999, F.col("nx").isNull()).otherwise(F.col("nx") == F.col("t") + step))
+    assert got.count() == n and wrong.count() == 0
+    one = left.withColumn("t", F.lit(base).cast("timestamp_ntz"))
+    assert max(_shuffled_records(next_times(one.select(F.col("k").alias("_k"), F.col("t").alias("_t")).groupBy("_k", "_t")
+                                            .agg(F.max("_t").alias("_r"))))) <= PARTS
+    lead = next_event(one, "k", "t", ["i"], "nx")
+    assert lead.filter(F.col("nx").isNull()).collect()[0].i == n - 1 and lead.filter(F.col("nx").isNotNull()).count() == n - 1
+
+
+def test_max_gap(spark):
+    base = datetime(2025, 1, 1)
+    left = spark.createDataFrame([(1, "a", base), (2, "a", base + timedelta(days=5)), (3, None, base), (4, "a", None), (5, "b", base)],
+                                 "i long, k string, t timestamp_ntz")
+    right = spark.createDataFrame([("a", base + timedelta(days=3)), ("a", base + timedelta(days=9)), (None, base)], "k string, t timestamp_ntz")
+
+    def got(gap):
+        return {r.i: r.nx for r in first_after(left, right, "k", "k", "t", "t", "nx", gap).collect()}
+    day3, day9 = base + timedelta(days=3), base + timedelta(days=9)
+    assert got(None) == {1: day3, 2: day9, 3: None, 4: None, 5: None}
+    assert got(timedelta(days=3)) == {1: day3, 2: None, 3: None, 4: None, 5: None}
+    assert got(timedelta(days=3) - timedelta(microseconds=1)) == {1: None, 2: None, 3: None, 4: None, 5: None}
+
+
 def test_status_lookup_sees_hot_ticket_collapsed(spark):
     """One ticket holds a third of the performance rows: it reaches the join
     with the latest ticket version as one row per (day, type), not 20,000."""

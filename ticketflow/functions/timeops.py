@@ -101,11 +101,6 @@ def iso_date(s: ColLike) -> Column:
     return F.to_date(F.substring(_c(s), 1, 10))
 
 
-def minute_number(ts: ColLike) -> Column:
-    """Whole minutes since 1970 (monotone in time): a bucket for windows over time."""
-    return F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), _c(ts))
-
-
 def minute_text(ts: ColLike) -> Column:
     return ntz_text(ts, "minute")
 

@@ -10,12 +10,11 @@ helpers here count first and multiply counts, so no pair is ever materialised.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeops import minute_number
-
 
 def with_latest(left: DataFrame, latest: DataFrame, left_key: str, right_key: str,
                 cols: Sequence[str]) -> DataFrame:
@@ -79,51 +78,56 @@ def match_counts(right: DataFrame, key: str, measures: dict[str, Column]) -> Dat
     return right.groupBy(F.col(key).alias("_mk")).agg(*aggs)
 
 
-def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                left_ts: str, right_ts: str, out: str = "next_ts") -> DataFrame:
+def next_times(times: DataFrame) -> DataFrame:
+    """For distinct (``_k``, ``_t``) with ``_r`` (``_t`` where it is an event, else NULL): adds ``_next``, the
+    key's first event strictly after ``_t``.  NULL keys are a key; ``_t`` is never NULL.
+
+    A carry runs down three levels, so no task's window grows with the rows of a
+    key: a key's hours, then the seconds of one hour with the first event of all
+    later hours put behind them, then the distinct instants of one second with the
+    first event of all later seconds put behind them.  A window holds the hours of the
+    time span, 3,601 seconds or the microseconds of one second at most, however
+    many rows fall into a minute.  Frames grow from the newest row, so each is
+    one pass; a frame that runs to unbounded following would be quadratic.
+    """
+    second = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("_t"))
+    at = times.withColumn("_s", second)
+    seconds = at.groupBy("_k", F.floor(F.col("_s") / 3600).alias("_h"), "_s").agg(F.min("_r").alias("_r"))
+    hours = seconds.groupBy("_k", "_h").agg(F.min("_r").alias("_r"))
+
+    def later(by: Sequence[str], order: str) -> Column:
+        w = Window.partitionBy(*by).orderBy(F.col(order).desc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+        return F.min("_r").over(w)
+
+    # the carry of a level is one more row of the level below, newer than all of them
+    carry = hours.select("_k", "_h", F.lit(None).cast("bigint").alias("_s"), later(["_k"], "_h").alias("_r"))
+    carry = seconds.unionByName(carry).select("_k", "_s", later(["_k", "_h"], "_s").alias("_r")).filter(F.col("_s").isNotNull())
+    rows = at.unionByName(carry, allowMissingColumns=True)
+    return (rows.withColumn("_next", later(["_k", "_s"], "_t")).filter(F.col("_t").isNotNull()).drop("_s"))
+
+
+def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str,
+                out: str = "next_ts", max_gap: timedelta | None = None) -> DataFrame:
     """For each left row, the earliest right time with the same key strictly
-    after the left time (NULL when none).  Every left row is kept.
-
-    Time is cut into minutes, so the work is partitioned by (key, minute) and a
-    key with many rows is spread over many tasks; no key has more in a task than
-    it has rows in one minute.  Within a minute a window over the time-ordered
-    union finds the next right time; across minutes each key carries one row per
-    minute holding the first right time of every later one.  No (left, right)
-    pair is produced.
+    after the left time (NULL when none, or when it is more than ``max_gap``
+    later).  Every left row is kept.
+
+    Both sides are reduced to distinct (key, time) before anything is ordered, so
+    ties collapse map-side, and ``next_times`` answers those; the left rows
+    then look their instant up in a join whose other side is unique, so a hot
+    instant can be split by AQE.  No (left, right) pair is produced.
     """
-    # Left rows without a key can match nothing; a salt spreads them over many
-    # window partitions instead of one NULL-key partition (keyed rows: salt 0).
-    salt = F.when(F.col(left_key).isNull(), F.monotonically_increasing_id() % 1024 + 1).otherwise(0)
-    l_in = left.withColumn("_k", F.col(left_key)).withColumn("_t", F.col(left_ts)) \
-        .withColumn("_side", F.lit(1)).withColumn("_salt", salt)
-    r_in = (right.select(F.col(right_key).alias("_k"), F.col(right_ts).alias("_t"))
-            .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull())
-            .withColumn("_side", F.lit(0)).withColumn("_salt", F.lit(0).cast("long")))
-    both = l_in.unionByName(r_in, allowMissingColumns=True).withColumn("_b", minute_number("_t"))
-
-    # Same bucket, scanned newest first: a left row sees every right row later
-    # than it (left before right at equal time keeps "strictly after").  A
-    # growing frame (unbounded preceding .. 1 preceding) is evaluated in one
-    # pass; a frame running to unbounded following would be quadratic.
-    w_in = (Window.partitionBy("_k", "_b", "_salt")
-            .orderBy(F.col("_t").desc_nulls_first(), F.col("_side").desc())
-            .rowsBetween(Window.unboundedPreceding, -1))
-    right_t = F.when(F.col("_side") == 0, F.col("_t"))
-    tagged = both.withColumn("_same", F.min(right_t).over(w_in)).filter(F.col("_side") == 1)
-
-    # Later buckets: one row per (key, bucket) seen on either side with the
-    # bucket's first right time (a hash aggregate, combined map-side), then the
-    # minimum over all later buckets of the key: one row per bucket, bounded by
-    # the time span, not by the number of rows.
-    spine = (both.filter(F.col("_t").isNotNull())
-             .groupBy("_k", "_b").agg(F.min(right_t).alias("_first")))
-    w_later = (Window.partitionBy("_k").orderBy(F.col("_b").desc())
-               .rowsBetween(Window.unboundedPreceding, -1))
-    later = (spine.withColumn("_later", F.min("_first").over(w_later))
-             .select("_k", "_b", F.lit(0).cast("long").alias("_salt"), "_later"))
-
-    # The salt stays in the key: the window's partitioning serves the join, and
-    # left rows without a key stay spread.
-    res = tagged.join(later, ["_k", "_b", "_salt"], "left")
-    return (res.withColumn(out, F.coalesce(F.col("_same"), F.col("_later")))
-            .drop("_k", "_t", "_side", "_salt", "_b", "_same", "_later"))
+    keyed = F.col(left_key).isNotNull() & F.col(left_ts).isNotNull()
+    asked = left.filter(keyed).select(F.col(left_key).alias("_k"), F.col(left_ts).alias("_t"),
+                                      F.lit(None).cast("timestamp_ntz").alias("_r"), F.lit(True).alias("_asked"))
+    events = right.select(F.col(right_key).alias("_k"), F.col(right_ts).alias("_t")) \
+        .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()) \
+        .select("_k", "_t", F.col("_t").alias("_r"), F.lit(False).alias("_asked"))
+    times = asked.unionByName(events).groupBy("_k", "_t").agg(F.max("_r").alias("_r"), F.max("_asked").alias("_asked"))
+    answer = next_times(times).filter(F.col("_asked") & F.col("_next").isNotNull()).select("_k", "_t", F.col("_next").alias("_an"))
+    if max_gap is not None:
+        answer = answer.filter(F.col("_an") <= F.col("_t") + F.lit(max_gap))
+    found = left.filter(keyed).join(answer, (F.col(left_key) == F.col("_k")) & (F.col(left_ts) == F.col("_t")), "left") \
+        .withColumn(out, F.col("_an")).drop("_k", "_t", "_an")
+    # rows without a key or time can match nothing and take no part in the shuffles
+    return found.unionByName(left.filter(~keyed).withColumn(out, F.lit(None).cast("timestamp_ntz")))

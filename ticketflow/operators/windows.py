@@ -7,22 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeops import minute_number
+from .joins import next_times
+
 
 def next_event(df: DataFrame, key: str, ts: str, tie_cols: Sequence[str] = (), out: str = "next_ts") -> DataFrame:
     """LEAD(ts) OVER (PARTITION BY key ORDER BY ts, tie_cols ASC NULLS LAST).
     NULL means the row is the key's last (or the next row has no time).
 
-    The window runs within a (key, minute); the last row of a minute takes the
-    first time of the key's next one from one row per (key, minute), so a hot key
-    is spread over its minutes.  Rows without a time need no window."""
-    w = Window.partitionBy("_k", "_b").orderBy(F.col(ts), *[F.col(c).asc_nulls_last() for c in tie_cols])
-    timed = df.filter(F.col(ts).isNotNull()).withColumn("_k", F.col(key)).withColumn("_b", minute_number(ts))
-    spine = timed.groupBy(F.col("_k").alias("_sk"), F.col("_b").alias("_sb")).agg(F.min(ts).alias("_first"))
-    spine = spine.withColumn("_after", F.lead("_first").over(Window.partitionBy("_sk").orderBy("_sb"))).drop("_first")
-    res = timed.withColumn("_lead", F.lead(ts).over(w)).join(
-        spine, F.col("_k").eqNullSafe(F.col("_sk")) & (F.col("_b") == F.col("_sb")), "left")
-    res = res.withColumn(out, F.coalesce("_lead", "_after")).drop("_k", "_b", "_sk", "_sb", "_lead", "_after")
+    Of the rows of one (key, instant) all but the last are followed by that
+    instant, and the last by the key's next one, which ``joins.next_times`` finds
+    for the distinct instants.  So a hot key is spread over its instants; rows
+    without a time need no window."""
+    timed = df.filter(F.col(ts).isNotNull()).withColumn("_k", F.col(key)).withColumn("_t", F.col(ts))
+    after = next_times(timed.groupBy("_k", "_t").agg(F.max("_t").alias("_r"))).select(
+        F.col("_k").alias("_ak"), F.col("_t").alias("_at"), F.col("_next").alias("_an"))
+    w = Window.partitionBy("_k", "_t").orderBy(*[F.col(c).desc_nulls_first() for c in tie_cols] or [F.lit(1)])
+    res = timed.withColumn("_rn", F.row_number().over(w)).join(
+        after, F.col("_k").eqNullSafe(F.col("_ak")) & (F.col("_t") == F.col("_at")), "left")
+    res = res.withColumn(out, F.when(F.col("_rn") == 1, F.col("_an")).otherwise(F.col("_t"))) \
+        .drop("_k", "_t", "_ak", "_at", "_rn", "_an")
     untimed = df.filter(F.col(ts).isNull())
     return res.unionByName(untimed.withColumn(out, F.col(ts)))
 

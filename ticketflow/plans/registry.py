@@ -9,6 +9,7 @@ reference's statements return and what compares exactly across engines.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,14 +50,14 @@ def _json_fields(t: Tables, cfg: Config) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("audit_rows")))
 
 
-def _first_after(t: Tables, cfg: Config) -> DataFrame:
+def _first_after(t: Tables, cfg: Config, max_gap: timedelta | None = None) -> DataFrame:
     from ..operators import filters as P
     from ..operators.joins import first_after
     p = P.not_deleted(t.task_performance).filter(
         F.col("customer_device_id").isNotNull() & F.col("task_resolved_time").isNotNull())
     p = p.select("reporterid", "customer_device_id", "task_resolved_time")
     fa = first_after(p, panels.ra_audit(t), "customer_device_id", "device_id",
-                     "task_resolved_time", "modified_time", out="next_return")
+                     "task_resolved_time", "modified_time", out="next_return", max_gap=max_gap)
     return fa.select("reporterid", "customer_device_id", _micro("task_resolved_time").alias("resolved_time"),
                      _micro("next_return").alias("next_return"))
 
@@ -130,6 +131,7 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
         "id", "status", "partner_id", ntz_text("created", "second").alias("created")),
     "returned_after_success": _returned_after_success,
     "first_after": _first_after,
+    "first_after_within": lambda t, c: _first_after(t, c, timedelta(days=30)),
     "assignment_delay": panels.assignment_delay,
     "local_time_parts": _local_time_parts,
     "json_fields": _json_fields,
