@@ -258,3 +258,19 @@ def test_exact_median_equals_percentile(spark):
         assert exact_median(df, "v", 3600).first().median == want
     empty = spark.createDataFrame([], "v long")
     assert exact_median(empty, "v").first().median is None
+
+
+def test_exact_median_by_group(spark):
+    import random
+    from statistics import median
+
+    from ticketflow.operators.agg import exact_median
+    rnd = random.Random(6)
+    rows = [(rnd.choice(["hot"] * 20 + ["a", "b", None]), rnd.choice([None, rnd.randrange(-5000, 20_000)])) for _ in range(3000)]
+    rows += [("one", 7), ("two", 7), ("two", 8), ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v long").repartition(5)
+    got = {r.g: r.m for r in exact_median(df, "v", 600, "m", by=["g"]).collect()}
+    want: dict = {}
+    for g, v in rows:
+        want.setdefault(g, []).extend([v] if v is not None else [])
+    assert {g: m for g, m in got.items() if m is not None} == {g: float(median(v)) for g, v in want.items() if v}

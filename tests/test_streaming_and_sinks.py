@@ -71,3 +71,29 @@ def test_report_with_shared_inputs_equals_plain_panels(spark, tables):
             assert sorted(tuple(r) for r in out[k].collect()) == rows
     finally:
         report.release(tables, FIXTURE)
+
+
+def test_bundle_appears_whole_or_not_at_all(spark, tmp_path):
+    from datetime import date
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from ticketflow.sources.sinks import bundles, read_bundle, write_bundle
+    root = str(tmp_path / "bundle")
+    assert bundles(spark, root).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_bundle(spark, root)
+    first = {"a": spark.range(3), "b": spark.range(5)}
+    run = write_bundle(first, root, date(2026, 1, 1), "one")
+    # the second panel fails while it is written: the first of the new run is staged, but nobody is told
+    broken = {"a": spark.range(30), "b": spark.range(4).select(F.raise_error(F.lit("lost")).alias("id")), "c": spark.range(1)}
+    with pytest.raises(Exception, match="lost"):
+        write_bundle(broken, root, date(2026, 1, 2), "two")
+    got = read_bundle(spark, root)
+    assert {n: d.count() for n, d in got.items()} == {"a": 3, "b": 5}
+    assert {r.last_refresh_ist for d in got.values() for r in d.collect()} == {"one"}
+    again = write_bundle({"a": spark.range(7)}, root, date(2026, 1, 2), "three")
+    assert {n: d.count() for n, d in read_bundle(spark, root).items()} == {"a": 7}
+    assert {n: d.count() for n, d in read_bundle(spark, root, run).items()} == {"a": 3, "b": 5}
+    assert {(r.run, r.panel, r.rows) for r in bundles(spark, root).collect()} == {(run, "a", 3), (run, "b", 5), (again, "a", 7)}

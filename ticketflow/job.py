@@ -21,7 +21,7 @@ from .plans import report
 from .session import tune
 from .sources import tables as T
 from .sources.fixtures import Tables
-from .sources.sinks import refresh_stamp, write_panels
+from .sources.sinks import refresh_stamp, write_bundle, write_panels
 
 
 def source_tables(spark: SparkSession, prefix: str = "", paths: dict[str, str] | None = None,
@@ -45,12 +45,13 @@ def source_tables(spark: SparkSession, prefix: str = "", paths: dict[str, str] |
 
 
 def run_job(t: Tables, cfg: Config, out: str, refreshed_at: str | None = None,
-            fmt: str = "parquet") -> dict[str, int]:
-    """Build and write every panel; returns rows written per panel."""
+            fmt: str = "parquet", bundle: bool = False) -> dict[str, int] | str:
+    """Build and write every panel; returns rows written per panel, or with ``bundle`` (all
+    panels of the refresh appear at once) the id of the bundle's run."""
     panels = report.run_all(t, cfg)
     try:
         stamp = refreshed_at or refresh_stamp(offset_minutes=cfg.offset_minutes)
-        return write_panels(panels, out, cfg.as_of, stamp, fmt)
+        return (write_bundle if bundle else write_panels)(panels, out, cfg.as_of, stamp, fmt)
     finally:
         report.release(t, cfg)
 
@@ -66,15 +67,19 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--baseline-end", type=date.fromisoformat)
     ap.add_argument("--assignments", help="catalog name of the ticket assignments; adds the assignment-delay panel")
     ap.add_argument("--format", default="parquet")
+    ap.add_argument("--bundle", action="store_true", help="stage the panels and commit them together")
     a = ap.parse_args(argv)
     spark = tune(SparkSession.builder.getOrCreate())
     paths = dict(kv.split("=", 1) for kv in a.paths.split(",") if kv)
     cfg = Config(as_of=a.as_of)
     given = {"cohort_start": a.cohort_start, "baseline_start": a.baseline_start, "baseline_end": a.baseline_end}
     cfg = cfg.replace(**{k: v for k, v in given.items() if v})
-    counts = run_job(source_tables(spark, a.tables_prefix, paths, a.assignments), cfg, a.out, fmt=a.format)
-    for name, n in counts.items():
-        print(f"{name}: {n} rows")
+    done = run_job(source_tables(spark, a.tables_prefix, paths, a.assignments), cfg, a.out, fmt=a.format, bundle=a.bundle)
+    if a.bundle:
+        print(f"bundle {done}")
+    else:
+        for name, n in done.items():
+            print(f"{name}: {n} rows")
 
 
 if __name__ == "__main__":

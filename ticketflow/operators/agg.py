@@ -58,9 +58,10 @@ def with_total(df: DataFrame, dim: str, measures: Sequence[str], label: str = "T
 
 
 def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "median",
-                 count: str | None = None) -> DataFrame:
+                 count: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Exact median of an integer column (the mean of the two middle values for
-    an even count, as percentile_cont(0.5)); one row, NULL for no values.
+    an even count, as percentile_cont(0.5)); one row, NULL for no values, or one row for
+    each group of ``by`` that has values.
     ``count`` names a column of row counts where ``df`` is a histogram already.
 
     Two histogram passes keep every piece of state bounded: counts per coarse
@@ -68,17 +69,18 @@ def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "medi
     (cumulative sums over the histogram, whose size is the value range divided
     by ``width``), then counts per distinct value inside those at most two
     buckets (at most ``width`` values each) pick the values.  No task ever
-    holds the values themselves.
+    holds the values themselves; with ``by`` the group is part of both histograms'
+    keys, so a group with a third of all rows is a few counts a map task.
     """
     # NULL values weigh nothing; a filter would be pushed below the caller's
     # histogram and keep its shuffle from being shared.
     weight = F.when(F.col(value).isNull(), 0).otherwise(F.lit(1) if count is None else F.col(count)).cast("long")
-    v = df.select(F.col(value).cast("long").alias("_v"), weight.alias("_w")) \
+    v = df.select(*by, F.col(value).cast("long").alias("_v"), weight.alias("_w")) \
         .withColumn("_b", F.floor(F.col("_v") / F.lit(width)))
-    hist = v.groupBy("_b").agg(F.sum("_w").alias("_c"))
-    cum = F.sum("_c").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("_c").over(Window.partitionBy())
-    hist = hist.select("_b", "_c", cum.alias("_cum"), total.alias("_n"))
+    hist = v.groupBy(*by, "_b").agg(F.sum("_w").alias("_c"))
+    cum = F.sum("_c").over(Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("_c").over(Window.partitionBy(*by))
+    hist = hist.select(*by, "_b", "_c", cum.alias("_cum"), total.alias("_n"))
     lo = F.floor((F.col("_n") - 1) / 2) + 1  # 1-based ranks of the middle values
     hi = F.floor(F.col("_n") / 2) + 1
     before = F.col("_cum") - F.col("_c")
@@ -86,16 +88,22 @@ def exact_median(df: DataFrame, value: str, width: int = 3600, name: str = "medi
     def holds(rank: Column) -> Column:
         return (before < rank) & (F.col("_cum") >= rank)
 
-    hit = hist.filter(holds(lo) | holds(hi)).select("_b", before.alias("_before"), lo.alias("_lo"),
-                                                    hi.alias("_hi"))
-    # ``hit`` has at most two rows, so broadcasting it is bounded by construction.
-    fine = v.join(F.broadcast(hit), "_b").groupBy("_b", "_v", "_before", "_lo", "_hi") \
+    hit = hist.filter(holds(lo) | holds(hi)).select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], F.col("_b").alias("_hb"),
+                                                    before.alias("_before"), lo.alias("_lo"), hi.alias("_hi"))
+    # Without groups ``hit`` has at most two rows, so broadcasting it is bounded by construction; with
+    # them it has two a group, and the values are counted before they meet it.
+    if by:
+        v = v.groupBy(*by, "_b", "_v").agg(F.sum("_w").alias("_w"))
+    same = F.col("_b") == F.col("_hb")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    fine = v.join(hit if by else F.broadcast(hit), same).groupBy(*by, "_b", "_v", "_before", "_lo", "_hi") \
         .agg(F.sum("_w").alias("_c"))
     end = F.col("_before") + F.sum("_c").over(
-        Window.partitionBy("_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+        Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
     fine = fine.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_c") + 1)
 
     def value_at(rank: str) -> Column:
         return F.max(F.when((F.col("_start") <= F.col(rank)) & (F.col(rank) <= F.col("_end")), F.col("_v")))
 
-    return fine.agg(((value_at("_lo") + value_at("_hi")) / F.lit(2.0)).alias(name))
+    return fine.groupBy(*by).agg(((value_at("_lo") + value_at("_hi")) / F.lit(2.0)).alias(name))

@@ -433,6 +433,22 @@ def assignment_delay(t: Tables, cfg: Config) -> DataFrame:
                                        (F.max("_median") / F.lit(3600.0)).alias("median_hours"))
 
 
+@shared
+def assignment_delay_by_partner(t: Tables, cfg: Config) -> DataFrame:
+    """``assignment_delay`` for each partner of the latest ticket version.  Delays are counted per (partner,
+    second) before anything else, so a partner with most tickets is as many rows as it has delays."""
+    lt = latest_per_key(t.tasks.select("id", "created", "status", "partner_id"), ["id"], ticket_order())
+    a = t.ticket_assignments
+    j = inner_fanout(a, lt, a["ticket_id"] == lt["id"]).select(
+        lt["partner_id"], F.timestamp_diff("SECOND", F.col("created"), F.col("assigned_time")).alias("secs"))
+    hist = j.groupBy("partner_id", "secs").agg(F.count(F.lit(1)).alias("n"))
+    counts = hist.groupBy(F.col("partner_id").alias("_p")).agg(
+        F.sum("n").alias("tickets"), F.sum(F.when(F.col("secs") <= 24 * 3600, F.col("n")).otherwise(0)).alias("within_24h"))
+    med = exact_median(hist, "secs", 3600, "_median", "n", ["partner_id"])
+    j = counts.join(med, F.col("_p").eqNullSafe(F.col("partner_id")), "left")
+    return j.select(F.col("_p").alias("partner_id"), "tickets", "within_24h", (F.col("_median") / F.lit(3600.0)).alias("median_hours"))
+
+
 # ---------------------------------------------------------------- churned, no pickup
 
 @shared
