@@ -27,7 +27,7 @@ from ..operators import filters as P
 from ..operators.agg import count_by, exact_median, outcome_counts, weighted_counts
 from ..operators.dedupe import existing_keys, latest_per_key
 from ..operators.joins import (exists_flag, first_after, inner_fanout, inner_filtered, left_filtered, match_counts,
-                               missing_followups, with_latest)
+                               missing_followups, only_keys_of, with_latest)
 from ..operators.windows import last_events, next_event, rolling_sums
 from ..sources.fixtures import Tables
 
@@ -78,6 +78,13 @@ def latest_tickets(t: Tables, cfg: Config, cols=("id", "created", "status", "par
     return latest_per_key(src.select(*cols), ["id"], ticket_order())
 
 
+def latest_tickets_of(t: Tables, cols, keys: DataFrame, key: str) -> DataFrame:
+    """``latest_tickets`` of the tickets in ``keys`` (and a few more): versions of other tickets
+    are dropped in the scan's tasks, ahead of the partial top-1 and its shuffle."""
+    src = P.eq(t.tasks, "type", C.TICKET_TYPE).select(*cols)
+    return latest_per_key(only_keys_of(src, "id", keys, key), ["id"], ticket_order())
+
+
 def live_performance(t: Tables, pickup_only: bool = True) -> DataFrame:
     p = P.not_deleted(t.task_performance)
     return P.eq(p, "task_type", C.TICKET_TYPE) if pickup_only else p
@@ -99,14 +106,21 @@ def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi, by: tuple[str, ...] =
     """alert.Q3 + alert.Q3c in one aggregate: performance rows resolved on local
     days [lo, hi], outcome from the latest ticket version (status-based); ``by``
     names further columns of that version to group by."""
-    off = cfg.offset_minutes
-    p = P.on_local_days(live_performance(t), "task_resolved_time", lo, hi, off)
+    p = P.on_local_days(live_performance(t), "task_resolved_time", lo, hi, cfg.offset_minutes)
+    return _closed_outcomes(t, cfg, p, by)
+
+
+def _closed_outcomes(t: Tables, cfg: Config, p: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Outcomes per local day of the performance rows ``p``."""
     # One row per (ticket, local day, resolution type) with its row count: a
     # ticket carrying a large share of the performance rows is collapsed
     # map-side before the status lookup shuffles by ticket id.
-    per = p.groupBy("reporterid", local_date("task_resolved_time", off).alias("d"), "task_resolution_type") \
+    per = p.groupBy("reporterid", local_date("task_resolved_time", cfg.offset_minutes).alias("d"), "task_resolution_type") \
         .agg(F.count(F.lit(1)).alias("_n"))
-    j = with_latest(per, latest_tickets(t, cfg, ("id", "created", "status", *by)), "reporterid", "id", ["status", *by])
+    # Only versions of closed tickets are deduped.  The filter on ``_n`` drops nothing: it keeps the
+    # count in the sketch's branch, so both branches share one shuffle of ``per``.
+    lt = latest_tickets_of(t, ("id", "created", "status", *by), per.filter(F.col("_n") > 0), "reporterid")
+    j = with_latest(per, lt, "reporterid", "id", ["status", *by])
     st, rt, n = F.col("status"), F.col("task_resolution_type"), F.col("_n")
     ok = st == C.STATUS_SUCCESS
 
@@ -251,7 +265,9 @@ def _tickets_with_perf_counts(t: Tables, cfg: Config, lo, hi, label: Column) ->
     # Both sides are counted per ticket first (combined map-side: one row per
     # ticket, label and map task leaves the scan), joined after.
     tk = tk.groupBy("id", label).agg(F.count(F.lit(1)).alias("_v"))
-    counts = match_counts(P.not_deleted(t.task_performance), "reporterid", {
+    # only performance rows of these tickets are counted (the filter on ``_v`` drops nothing, see ``_closed_outcomes``)
+    perf = only_keys_of(P.not_deleted(t.task_performance), "reporterid", tk.filter(F.col("_v") > 0), "id")
+    counts = match_counts(perf, "reporterid", {
         "_rec": F.col("score") == C.SCORE_RECOVERED,
         "_fail": F.col("score") == C.SCORE_FAILED,
         "_unres": F.col("task_resolved_time").isNull(),
@@ -411,14 +427,18 @@ def assigned_between(t: Tables, cfg: Config, lo, hi) -> DataFrame:
 
 
 @shared
-def assignment_delay(t: Tables, cfg: Config) -> DataFrame:
+def assignment_delay(t: Tables, cfg: Config, days: int | None = None) -> DataFrame:
     """X2 (inferred): tickets assigned, share within 24 h, median hours from the
     latest ticket version's creation to assignment (any ticket type: the
     assignment log itself is pickup-only).  The median is exact and computed
     from bounded histograms (``agg.exact_median``), never from one task
-    holding every delay."""
-    lt = latest_per_key(t.tasks.select("id", "created", "status"), ["id"], ticket_order())
-    a = t.ticket_assignments
+    holding every delay.  ``days`` keeps the assignments of that many local days up
+    to the as-of date, and then only their tickets' versions are deduped."""
+    a, versions = t.ticket_assignments, t.tasks.select("id", "created", "status")
+    if days is not None:
+        a = P.on_local_days(a, "assigned_time", cfg.as_of - timedelta(days=days), cfg.as_of, cfg.offset_minutes)
+        versions = only_keys_of(versions, "id", a, "ticket_id")
+    lt = latest_per_key(versions, ["id"], ticket_order())
     j = inner_fanout(a, lt, a["ticket_id"] == lt["id"]).select(
         F.timestamp_diff("SECOND", F.col("created"), F.col("assigned_time")).alias("secs"))
     # one histogram of delays serves the counts and the median
@@ -547,7 +567,7 @@ def returned_after_success(t: Tables, cfg: Config) -> DataFrame:
     ra = P.on_local_days(ra_audit(t), "modified_time", lo, None, off).select("device_id", "modified_time")
     fa = first_after(p, ra, "customer_device_id", "device_id", "task_resolved_time", "modified_time",
                      out="ra_time").filter(F.col("ra_time").isNotNull())
-    lt = latest_tickets(t, cfg)
+    lt = latest_tickets_of(t, ("id", "created", "status", "partner_id"), p, "reporterid")
     fa = inner_filtered(fa, lt, fa["reporterid"] == lt["id"])
     return fa.select(
         F.col("reporterid").alias("task_id"),

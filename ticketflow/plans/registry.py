@@ -133,6 +133,7 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "first_after": _first_after,
     "first_after_within": lambda t, c: _first_after(t, c, timedelta(days=30)),
     "assignment_delay": panels.assignment_delay,
+    "assignment_delay_recent": lambda t, c: panels.assignment_delay(t, c, c.lookback_days),
     "assignment_delay_by_partner": panels.assignment_delay_by_partner,
     "local_time_parts": _local_time_parts,
     "json_fields": _json_fields,
