@@ -71,9 +71,34 @@ def test_limit_of_the_stage_comes_from_held_out_texts(spark, make_docs):
     import random
     rnd = random.Random(4)
     en, de = "the of and with from their which would could should".split(), "der und die nicht eine wird werden dass auch".split()
-    rows = [(i, " ".join(rnd.choice(en if i % 2 else de) for _ in range(60)), "en" if i % 2 else "de") for i in range(800)]
-    mixed = [(1000 + i, " ".join(rnd.choice(en if (j // 12 + i) % 2 else de) for j in range(240)), None) for i in range(20)]
-    kept = {r.doc_id for r in L.stage(make_docs(rows + mixed), least=50).collect()}
+    rows = [(i, " ".join(rnd.choice(en if i % 2 else de) for _ in range(60)), "en" if i % 2 else "de") for i in range(3200)]
+    mixed = [(9000 + i, " ".join(rnd.choice(en if (j // 12 + i) % 2 else de) for j in range(240)), None) for i in range(20)]
+    kept = {r.doc_id for r in L.stage(make_docs(rows + mixed)).collect()}
     assert len(kept & {r[0] for r in rows}) >= 0.97 * len(rows) and not kept & {r[0] for r in mixed}
     low = spark.createDataFrame([("a", "a", 0.9 + i / 5000) for i in range(400)] + [("b", "b", 0.5)], "lang string, lang_pred string, score double")
-    assert L.limits(low) == {"a": 0.9}
+    got = L.limits(low, ["a", "b", "c"])
+    # of 401 texts "a" may lose one more beside the text to be judged; "b" and "c" follow the pool, which is too small for them
+    assert 0.9 <= got.pop("a") <= 0.902 and got == {"b": 0.0, "c": 0.0}
+    assert L.limits(low.where("false"), ["a"]) == {"a": 0.0}
+
+
+def test_limits_are_one_rule_at_every_size(spark):
+    """Against a sorted list with weights; a language's own texts take over as they grow."""
+    import random
+    rnd = random.Random(9)
+    last = None
+    for n in (3, 60, 400, 4000):
+        rows = [("a", "a", 0.6 + 0.4 * rnd.random()) for _ in range(n)] + [("b", "b", 0.9 + 0.1 * rnd.random()) for _ in range(1000)]
+        got = L.limits(spark.createDataFrame(rows, "lang string, lang_pred string, score double"), ["a", "b"])
+        for lang in "ab":
+            own = sum(r[0] == lang for r in rows)
+            each = 200 / (len(rows) + 1)
+            weighed = sorted([(0, 1 + each)] + [(int(s * 1000), (c == lang) + each) for c, _, s in rows])
+            below = 0.0
+            for step, w in weighed:
+                below += w
+                if below > 0.005 * (own + 1 + 200):
+                    break
+            assert abs(got[lang] - step / 1000) < 1e-9
+        last = got
+    assert last["a"] < 0.61

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, held_out, read, utf8
+from .common import chunks, held_out, read, stored, utf8
 from .tokens import LOWER
 
 LENGTH = 64
@@ -213,46 +213,56 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, langs, net, ["doc_id", "held_out"])
 
 
-#: A language's limit is this quantile of the scores of its held-out texts that are predicted right, ...
+#: A language's limit is this quantile of the scores of held-out texts that are predicted right: its own
+#: texts, each of weight one, and those of all languages, of this many texts' weight together.
 QUANTILE = 0.005
-#: ... if they are so many that texts lie below it.
-MIN_CALIBRATION = 400
+PRIOR = 200
 
 
-def limits(scored: DataFrame, quantile: float = QUANTILE, least: int = MIN_CALIBRATION) -> dict[str, float]:
-    """The score limit of each language (``lang``, ``lang_pred``, ``score``) with enough right
-    predictions, from a histogram of steps of 1/1000: one row for each language and bin comes to the driver."""
-    bins: dict[str, dict[int, int]] = {}
+def limits(scored: DataFrame, langs: list[str], quantile: float = QUANTILE, prior: float = PRIOR) -> dict[str, float]:
+    """The score limit of every language of ``langs``, from the right predictions in ``scored`` (``lang``,
+    ``lang_pred``, ``score``).
+
+    The same rule holds at every size: a language with many calibration texts is
+    judged by them, one with few mostly by the pooled texts.  The text to be judged counts as one more with
+    score 0 on both sides, so the quantile of too few texts is 0 and clean texts stay.  Scores are
+    counted in steps of 1/1000, so one row for each language and step comes to the driver.
+    """
+    bins: dict[str, dict[int, int]] = {c: {} for c in langs}
     for r in (scored.where(F.col("lang") == F.col("lang_pred")).groupBy("lang", F.floor(F.col("score") * 1000).alias("bin"))
               .agg(F.count(F.lit(1)).alias("n")).collect()):
         bins.setdefault(r.lang, {})[r.bin] = r.n
+    pooled: dict[int, int] = {}
+    for held in bins.values():
+        for b, n in held.items():
+            pooled[b] = pooled.get(b, 0) + n
+    each = prior / (sum(pooled.values()) + 1)
     out = {}
     for lang, held in bins.items():
-        total, below = sum(held.values()), 0
-        if total < least:
-            continue
-        for b in sorted(held):
-            below += held[b]
-            if below > quantile * total:
-                out[lang] = b / 1000
+        below, out[lang] = 1 + each, 0.0
+        goal = quantile * (sum(held.values()) + 1 + prior)
+        for b in sorted(pooled):
+            if below > goal:
                 break
+            below += held.get(b, 0) + each * pooled[b]
+            out[lang] = b / 1000
     return out
 
 
-def stage(docs: DataFrame, min_score: float = 0.3, quantile: float = QUANTILE, least: int = MIN_CALIBRATION) -> DataFrame:
+def stage(docs: DataFrame, quantile: float = QUANTILE, prior: float = PRIOR) -> DataFrame:
     """The rows of ``docs`` whose language the network can tell: texts without a letter go, and
     those with a score below the limit of their predicted language, which held-out labelled
-    texts give whatever the number of languages.  ``min_score`` is the limit of languages with
-    fewer than ``least`` such texts.  A missing ``lang`` is filled with the prediction."""
+    texts give whatever the number of languages (with very few such texts, no score is too low).
+    A missing ``lang`` is filled with the prediction.  Rows are scored once and kept in the shared
+    folder, where the limits and the result read them."""
     private = {c: f"_in{i}" for i, c in enumerate(docs.columns)}  # free of the names used inside
     inner = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in private.items()])
     text, lang, id_col = (private[c] for c in ("text", "lang", "doc_id"))
     langs, net = train(inner.where(~held_out(id_col, 4)), text, lang, id_col)
-    out = predict(inner, langs, net, list(private.values()), text)
-    known = inner.where(held_out(id_col, 4) & F.col(lang).isNotNull()).select(text, F.col(lang).alias("lang"))
-    limit = limits(predict(known, langs, net, ["lang"], text), quantile, least) if langs else {}
-    edge = F.lit(min_score)
-    for name, least_score in sorted(limit.items()):
+    out = stored(predict(inner, langs, net, list(private.values()), text), "langid-scored")
+    known = out.where(held_out(id_col, 4)).select(F.col(lang).alias("lang"), "lang_pred", "score")
+    edge = F.lit(0.0)
+    for name, least_score in sorted(limits(known, langs, quantile, prior).items()):
         edge = F.when(F.col("lang_pred") == name, least_score).otherwise(edge)
     ok = out.where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= edge))
     return ok.select(*[(F.coalesce(n, "lang_pred") if n == lang else F.col(n)).alias(c) for c, n in private.items()])
