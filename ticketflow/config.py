@@ -110,3 +110,6 @@ FIXTURE = Config(
 
 # A later report date: its baseline ended long before the lookback begins.
 FIXTURE_LATE = FIXTURE.replace(as_of=date(2001, 12, 20), baseline_start=date(2001, 7, 1), baseline_end=date(2001, 7, 31))
+
+# A baseline whose first month lies before the daily panels begin.
+FIXTURE_PARTIAL = FIXTURE.replace(baseline_start=date(2001, 3, 1), baseline_end=date(2001, 4, 30))

@@ -7,13 +7,13 @@ prune date partitions; the result is the same as filtering the shifted value.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeops import ColLike, _c, local_midnight_utc, ntz, raw_range_for_local_days
+from ..functions.timeops import ColLike, _c, local_date, local_midnight_utc, ntz, raw_range_for_local_days
 
 
 def eq(df: DataFrame, col: str, value) -> DataFrame:
@@ -133,6 +133,20 @@ def on_local_days(df: DataFrame, ts: str, lo: date | None, hi: date | None, minu
     return in_window(df, ts, start, end, keep_null)
 
 
+def on_days(df: DataFrame, ts: str, days: Sequence[date], minutes: int) -> DataFrame:
+    """Rows whose local day (ts + minutes) is one of ``days``.  The range they span reaches the scan;
+    of a table stored by the UTC date of ``ts`` only the partitions that hold such a day are read."""
+    if not days:
+        return df.filter(F.lit(False))
+    df = on_local_days(df, ts, min(days), max(days), minutes)
+    part = partition_column(ts)
+    if part in df.columns:
+        ends = [raw_range_for_local_days(d, d, minutes) for d in days]
+        utc = {at.date() for a, b in ends for at in (a, b - timedelta(microseconds=1))}
+        df = df.filter(F.col(part).isin(sorted(utc)))
+    return df.filter(local_date(ts, minutes).isin(list(days)))
+
+
 def since(df: DataFrame, ts: str, as_of: date, days: int, minutes: int = 0) -> DataFrame:
     """Rows with ts (+ minutes) >= as_of - days at midnight; see ``in_window``."""
     return in_window(df, ts, local_midnight_utc(as_of - timedelta(days=days), minutes), None)

@@ -12,7 +12,8 @@ numbers without emitting the pairs or letting a hot key pile up in one task.
 from __future__ import annotations
 
 import functools
-from datetime import timedelta
+from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -105,11 +106,19 @@ def ra_audit(t: Tables) -> DataFrame:
 def closed_outcomes_daily(t: Tables, cfg: Config, lo, hi, by: tuple[str, ...] = ()) -> DataFrame:
     """alert.Q3 + alert.Q3c in one aggregate: performance rows resolved on local
     days [lo, hi], outcome from the latest ticket version (status-based); ``by``
-    names further columns of that version to group by."""
+    names further columns of that version to group by.  Stored days
+    (``daily_state``) are taken where the tables have them."""
+    if t.closures is not None and not by:
+        return t.closures.filter(P.in_range("d", lo, hi))
     p = P.on_local_days(live_performance(t), "task_resolved_time", lo, hi, cfg.offset_minutes)
     return _closed_outcomes(t, cfg, p, by)
 
 
+def closures_on(t: Tables, cfg: Config, days: Sequence[date]) -> DataFrame:
+    """``closed_outcomes_daily`` of the named local days, counted from the facts."""
+    return _closed_outcomes(t, cfg, P.on_days(live_performance(t), "task_resolved_time", days, cfg.offset_minutes))
+
+
 def _closed_outcomes(t: Tables, cfg: Config, p: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Outcomes per local day of the performance rows ``p``."""
     # One row per (ticket, local day, resolution type) with its row count: a
@@ -223,15 +232,15 @@ def closed_rolling_7_score(t: Tables, cfg: Config) -> DataFrame:
 # ---------------------------------------------------------------- creation cohorts
 
 @shared
-def cohort_status(t: Tables, cfg: Config) -> DataFrame:
+def cohort_status(t: Tables, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """alert.Q3b / live.Q1: latest versions created in [start, as_of - 21 days],
-    by local creation month."""
+    by local creation month (and by the columns ``by`` of that version)."""
     off = cfg.offset_minutes
-    lt = latest_tickets(t, cfg, ("id", "created", "status"), cfg.cohort_start).filter(
+    lt = latest_tickets(t, cfg, ("id", "created", "status", *by), cfg.cohort_start).filter(
         P.matured("created", cfg.as_of, cfg.cohort_start, cfg.maturity_days, off))
-    lt = lt.select("status", period_start(local_date("created", off), "month").alias("month"))
+    lt = lt.select("status", *by, period_start(local_date("created", off), "month").alias("month"))
     st = F.col("status")
-    return outcome_counts(lt, ["month"], "total_created", {
+    return outcome_counts(lt, [*by, "month"], "total_created", {
         "success": st == C.STATUS_SUCCESS,
         "failed": st == C.STATUS_FAILED,
         "open_tickets": P.in_set(st, C.STATUS_OPEN),
@@ -300,14 +309,14 @@ def cohort_score_rates(t: Tables, cfg: Config) -> DataFrame:
 # ---------------------------------------------------------------- open ticket age
 
 @shared
-def open_age_status(t: Tables, cfg: Config) -> DataFrame:
+def open_age_status(t: Tables, cfg: Config, by: tuple[str, ...] = ()) -> DataFrame:
     """alert.Q4 / live.Q3: latest version open (status 0/1), created since the
-    start date, by age bucket."""
+    start date, by age bucket (and by the columns ``by`` of that version)."""
     off = cfg.offset_minutes
-    lt = latest_tickets(t, cfg, ("id", "created", "status"), cfg.cohort_start).filter(
+    lt = latest_tickets(t, cfg, ("id", "created", "status", *by), cfg.cohort_start).filter(
         P.in_set("status", C.STATUS_OPEN) & P.local_date_between("created", cfg.cohort_start, None, off))
     b = age_bucket(age_days(local_date("created", off), cfg.as_of), C.OPEN_BUCKETS)
-    return lt.groupBy(b.alias("age_bucket")).agg(F.count(F.lit(1)).alias("open_tickets"))
+    return lt.groupBy(*by, b.alias("age_bucket")).agg(F.count(F.lit(1)).alias("open_tickets"))
 
 
 @shared
@@ -378,6 +387,26 @@ def ra_ageing(t: Tables, cfg: Config) -> DataFrame:
     })
 
 
+@shared
+def ra_ageing_by(t: Tables, cfg: Config, by: tuple[str, ...]) -> DataFrame:
+    """``ra_ageing`` by columns of the latest ticket version as well.  Only versions of the failed
+    tickets are deduped; each failed ticket is one row on both sides of that join."""
+    # the filter on the date drops nothing: it keeps the columns in the sketch's branch, so both share one shuffle
+    fp = failed_latest(t, cfg)
+    lt = latest_tickets_of(t, ("id", "created", "status", *by), fp.filter(F.col("failed_date").isNotNull()), "id")
+    fp = fp.join(lt.select(F.col("id").alias("_id"), *by), F.col("id") == F.col("_id"), "inner")
+    per = fp.groupBy(*by, F.col("customer_device_id").alias("device"),
+                     age_bucket("days_since_fail", C.RA_BUCKETS).alias("age_bucket")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    flagged = exists_flag(per, ra_returned_devices(t, cfg), "device", "device_id", "_picked")
+    n, picked = F.col("_n"), F.col("_picked")
+    return weighted_counts(flagged, [*by, "age_bucket"], {
+        "total_failed": n,
+        "ra_picked": F.when(picked, n).otherwise(0),
+        "still_pending": F.when(~picked, n).otherwise(0),
+    })
+
+
 @shared
 def ra_ageing_after(t: Tables, cfg: Config) -> DataFrame:
     """``ra_ageing`` where only a return later than the failure counts.  A device has
@@ -420,12 +449,20 @@ def assigned_daily(t: Tables, cfg: Config) -> DataFrame:
 
 @shared
 def assigned_between(t: Tables, cfg: Config, lo, hi) -> DataFrame:
-    """Assignment events per local day in [lo, hi]."""
+    """Assignment events per local day in [lo, hi]; stored days are taken where the tables have them."""
+    if t.assigned is not None:
+        return t.assigned.filter(P.in_range("d", lo, hi))
     off = cfg.offset_minutes
     lg = P.on_local_days(P.eq(t.task_logs, "event_name", C.ASSIGN_EVENT), "added_time", lo, hi, off)
     return count_by(lg, [local_date("added_time", off).alias("d")], "assigned")
 
 
+def assigned_on(t: Tables, cfg: Config, days: Sequence[date]) -> DataFrame:
+    """Assignment events of the named local days, counted from the log."""
+    lg = P.on_days(P.eq(t.task_logs, "event_name", C.ASSIGN_EVENT), "added_time", days, cfg.offset_minutes)
+    return count_by(lg, [local_date("added_time", cfg.offset_minutes).alias("d")], "assigned")
+
+
 @shared
 def assignment_delay(t: Tables, cfg: Config, days: int | None = None) -> DataFrame:
     """X2 (inferred): tickets assigned, share within 24 h, median hours from the

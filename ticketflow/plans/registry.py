@@ -8,19 +8,22 @@ reference's statements return and what compares exactly across engines.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FIXTURE, FIXTURE_LATE, OPEN_BUCKETS, Config
+from ..config import FIXTURE, FIXTURE_LATE, FIXTURE_PARTIAL, OPEN_BUCKETS, Config
 from ..functions.buckets import bucket_rank
 from ..functions.timeops import day_label, iso_date, local_date, minute_text, ntz_text, period_label
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures
 from ..sources.fixtures import Tables
 from ..operators import checks, sorts, weekly
-from . import panels, summary
+from . import daily_state, panels, summary
 from .oracle import ORACLE
 
 
@@ -92,6 +95,22 @@ def _iso_days(t: Tables, cfg: Config) -> DataFrame:
         .select(period_label("_d", "day").alias("d"), "audit_rows")
 
 
+def _closed_daily_incremental(t: Tables, cfg: Config) -> DataFrame:
+    """``closed_daily`` from stored days: built without the last 14 days' closures and ticket versions,
+    then brought up to date with them.  Writes its state to the shared checkpoint folder."""
+    spark, late = t.tasks.sparkSession, cfg.as_of - timedelta(days=14)
+    path = f"{ensure_checkpoint_dir(spark)}/closed-days-{uuid.uuid4().hex}"
+    closed, made = F.col("task_resolved_time") >= F.lit(late), F.col("created") >= F.lit(late)
+    before = replace(t, memo={}, task_performance=t.task_performance.filter(~closed | closed.isNull()),
+                     tasks=t.tasks.filter(~made | made.isNull()))
+    daily_state.refresh_closures(before, cfg, path)
+    daily_state.refresh_closures(t, cfg, path, t.task_performance.filter(closed), t.tasks.filter(made))
+    return _labels(panels.closed_daily(daily_state.with_state(t, path), cfg), d="day")
+
+
+#: Queries that store a state before they read it; all others start no job until they are read.
+STORED = frozenset({"closed_daily_incremental"})
+
 PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "closed_daily": lambda t, c: _labels(panels.closed_daily(t, c), d="day"),
     "resolution_daily": lambda t, c: _labels(panels.resolution_daily(t, c), d="day"),
@@ -155,6 +174,11 @@ PANELS: dict[str, Callable[[Tables, Config], DataFrame]] = {
     "missed_customers_daily": lambda t, c: _labels(panels.missed_daily(t, c, True), d="day"),
     "next_recharge": _next_recharge,
     "iso_days": _iso_days,
+    "closed_daily_incremental": _closed_daily_incremental,
+    "cohort_status_by_partner": lambda t, c: _labels(panels.cohort_status(t, c, ("partner_id",)), month="month"),
+    "open_age_by_partner": lambda t, c: panels.open_age_status(t, c, ("partner_id",)),
+    "ra_ageing_by_partner": lambda t, c: panels.ra_ageing_by(t, c, ("partner_id",)),
+    "baseline_from_panel": lambda t, c: summary.baseline_from_panel(t, FIXTURE_PARTIAL),
     # checks of the inputs
     "bad_json": lambda t, c: checks.bad_json(t.tasks.select("extra_data").unionByName(
         t.device_audit.select("extra_data")), "extra_data"),

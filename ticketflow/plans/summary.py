@@ -107,6 +107,21 @@ def baseline_ratio(t: Tables, cfg: Config) -> DataFrame:
     return every.join(present, "metric", "left")
 
 
+@shared
+def baseline_from_panel(t: Tables, cfg: Config) -> DataFrame:
+    """G14 and G15 as the reference takes them: from the daily panels, which reach ``lookback_days`` back,
+    so that a baseline older than that loses its first days and in the end all of them."""
+    lo = cfg.as_of - timedelta(days=cfg.lookback_days)
+    assigned = W.baseline_avg(panels.assigned_daily(t, cfg), "d", "assigned", cfg.baseline_start, cfg.baseline_end)
+    days = panels.closed_outcomes_daily(t, cfg, lo, cfg.as_of).filter(
+        F.col("d").between(F.lit(cfg.baseline_start), F.lit(cfg.baseline_end)))
+    sums = days.agg(F.sum("total_closed").alias("_den"), *[F.sum(col).alias(col) for _, _, col, _ in RATIO_METRICS])
+    ratios = sums.select("_den", F.explode(F.array(*[
+        F.struct(F.lit(cap).alias("metric"), F.col(col).alias("num")) for _, cap, col, _ in RATIO_METRICS])).alias("m"))
+    return assigned.select(F.lit(C.M_ASSIGNED).alias("metric"), "baseline").unionByName(
+        ratios.select("m.metric", pct("m.num", "_den").alias("baseline")))
+
+
 # ---------------------------------------------------------------- three-week rows
 
 def _avg_row(daily: DataFrame, value: str, cfg: Config, with_baseline: bool) -> DataFrame:

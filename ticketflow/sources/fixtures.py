@@ -36,6 +36,9 @@ class Tables:
     router_user_mapping: DataFrame
     device_audit: DataFrame
     ticket_assignments: DataFrame
+    # Counts per day that are stored already (``plans.daily_state``), in place of the facts.
+    closures: DataFrame | None = None
+    assigned: DataFrame | None = None
     # Lazy sub-plans shared by several panels (built once per config).
     memo: dict = field(default_factory=dict, repr=False, compare=False)
 

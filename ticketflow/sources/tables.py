@@ -121,14 +121,20 @@ def after_success_csv(spark: SparkSession, path: str) -> DataFrame:
     return df.select(*[F.col(f"`{src}`").alias(dst) for src, (dst, _) in AFTER_SUCCESS_COLUMNS.items()])
 
 
-def write_partitioned(df: DataFrame, path: str, ts: str, mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, ts: str, mode: str = "overwrite", partitions: int = 1024) -> None:
     """Store a fact table partitioned by the UTC date of ``ts`` (column
     ``<ts>__date``); range filters on ``ts`` then skip whole partitions
     (``operators.filters.in_window``).
 
-    No repartition by date (one busy day would land in one task): each task
-    sorts its own rows by date and writes one file per date it holds."""
+    Rows are rebalanced by date before the write: small dates share tasks and get one file each, and
+    a date beyond the session's advisory partition size is split over several tasks by the
+    sizes that the shuffle measured, whatever share of the rows it holds.  So the files of a date
+    follow its size and not the number of tasks that held some of its rows.
+
+    ``partitions`` is how finely dates are told apart before small ones are put together: a
+    date that falls into the same one as a busy date is split as often as that.  Above 2,000
+    Spark keeps mean sizes only and would not see the busy date."""
     part = partition_column(ts)
     (df.withColumn(part, F.to_date(F.col(ts)))
-       .sortWithinPartitions(part)
+       .hint("rebalance", partitions, F.col(part))
        .write.mode(mode).partitionBy(part).parquet(path))
