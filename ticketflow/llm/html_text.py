@@ -118,19 +118,33 @@ def _mark(name: str, attrs: str, inside_article: bool) -> int:
     return said
 
 
+class Holder:
+    """A block element, by its parent; the root of a page has none."""
+    __slots__ = ("name", "parent", "depth")
+
+    def __init__(self, name, parent):
+        self.name, self.parent, self.depth = name, parent, parent.depth + 1 if parent else 0
+
+
 class Block:
-    __slots__ = ("text", "linked", "path", "mark", "tag", "article")
+    """A text, its linked characters, the block element around it, what names say (1, -1, 0), and whether
+    it is inside an article element."""
+    __slots__ = ("text", "linked", "holder", "mark", "article")
 
-    def __init__(self, text, linked, path, mark, tag, article):
-        self.text, self.linked, self.path, self.mark, self.tag, self.article = text, linked, path, mark, tag, article
+    def __init__(self, text, linked, holder, mark, article):
+        self.text, self.linked, self.holder, self.mark, self.article = text, linked, holder, mark, article
 
 
 def blocks(html: str) -> list[Block]:
-    """Blocks with a text, in page order.  ``path``: the numbers of the elements around it, outermost first."""
+    """Blocks with a text, in page order.  Linear: an open element knows the mark and the block element
+    that hold at it, and the places of open elements are kept by name, so nothing walks the stack."""
     out: list[Block] = []
-    stack: list[tuple[str, int, int]] = []  # (name, number, mark)
+    root = Holder("", None)
+    # open elements: (name, mark in force, block element in force, place of the latter in the stack)
+    stack: list[tuple[str, int, Holder, int]] = [("", 0, root, 0)]
+    places: dict[str, list[int]] = {}
     parts: list[str] = []
-    number, linked, in_link, articles = 0, 0, 0, 0
+    linked = 0
 
     def close():
         nonlocal linked
@@ -138,19 +152,18 @@ def blocks(html: str) -> list[Block]:
             return
         text = " ".join("".join(parts).split())
         if text:
-            mark = next((m for *_, m in reversed(stack) if m), 0)
-            tag = next((n for n, *_ in reversed(stack) if n in _BLOCK), "")
-            out.append(Block(text, min(linked, len(text)), tuple(k for n, k, _ in stack if n in _BLOCK), mark, tag,
-                             articles > 0))
+            _, mark, holder, _ = stack[-1]
+            out.append(Block(text, min(linked, len(text)), holder, mark, bool(places.get("article"))))
         parts.clear()
         linked = 0
 
     def pop(to: int):
-        nonlocal in_link, articles
         while len(stack) > to:
-            name, *_ = stack.pop()
-            in_link -= name == "a"
-            articles -= name == "article"
+            places[stack.pop()[0]].pop()
+
+    def last(name: str) -> int:
+        """Place of the innermost open element of that name, 0 if none is."""
+        return places[name][-1] if places.get(name) else 0
 
     at, end = 0, len(html)
     while at < end:
@@ -159,7 +172,7 @@ def blocks(html: str) -> list[Block]:
         if stop > at:
             piece = unescape(html[at:stop])
             parts.append(piece)
-            if in_link:
+            if places.get("a"):
                 linked += len(" ".join(piece.split()))
         if not m:
             break
@@ -170,22 +183,14 @@ def blocks(html: str) -> list[Block]:
         name = name.lower()
         closing = m["end"] or m["end2"]
         if closing:
+            i = last(name)
             if name in _BLOCK:
-                if name == "p" and not any(n == "p" for n, *_ in stack):
+                if i or name == "p":
                     close()
-                    continue
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        close()
-                        pop(i)
-                        break
-            elif name not in _VOID:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == name:
-                        pop(i)
-                        break
-                    if stack[i][0] in _BLOCK:
-                        break
+                if i:
+                    pop(i)
+            elif i > stack[-1][3]:  # an inline element ends within its block only
+                pop(i)
             continue
         attrs = m["attrs"] or m["attrs2"] or ""
         if (name in _RAW or name == "textarea") and not attrs.endswith("/"):
@@ -203,39 +208,55 @@ def blocks(html: str) -> list[Block]:
         if name in _BLOCK:
             close()
             # what an opening tag closes: an open paragraph, an item by the next item, a cell by the next cell
-            if name in _ENDS_P:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p":
-                        pop(i)
-                        break
-                    if stack[i][0] in _BLOCK:
-                        break
+            if name in _ENDS_P and stack[-1][2].name == "p":
+                pop(stack[-1][3])
             same = {"li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("tr", "td", "th"), "dt": ("dt", "dd"),
-                    "dd": ("dt", "dd"), "option": ("option",)}.get(name)
-            while same:
-                i = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in _BLOCK), -1)
-                if i < 0 or stack[i][0] not in same:
-                    break
-                pop(i)
+                    "dd": ("dt", "dd")}.get(name, ())
+            while stack[-1][2].name in same:
+                pop(stack[-1][3])
         if not attrs.endswith("/"):
-            number += 1
-            stack.append((name, number, _mark(name, attrs, articles > 0)))
-            in_link += name == "a"
-            articles += name == "article"
+            _, mark, holder, place = stack[-1]
+            mark = _mark(name, attrs, bool(places.get("article"))) or mark
+            if name in _BLOCK:
+                holder, place = Holder(name, holder), len(stack)
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, mark, holder, place))
     close()
     return out
 
 
 #: bias, said to be content, said to be boilerplate, outside of the page's articles, share of linked
-#: characters, log of the number of words, ends like a sentence, heading, list item
-START = (-1.0, 6.0, -8.0, -4.0, -4.0, 0.6, 0.8, 0.3, -0.6)
+#: characters, log of the number of words, ends like a sentence, heading, list item, weight of its container
+START = (-3.0, 6.0, -8.0, -4.0, -4.0, 0.6, 0.8, 0.3, -0.6, 4.0)
+
+
+def _container(b: Block) -> Holder:
+    """The element around the one that holds a block: siblings have it in common."""
+    return b.holder.parent or b.holder
+
+
+def container_weights(page: list[Block]) -> list[float]:
+    """For each block how many unlinked words its container holds itself, and half of those of the
+    containers right inside and around it, as a share of the page's most: an article's
+    paragraphs stand together, whatever the names of the elements are."""
+    own: dict[Holder, float] = {}
+    for b in page:
+        words = (b.text.count(" ") + 1) * (1 - b.linked / len(b.text))
+        own[_container(b)] = own.get(_container(b), 0.0) + words
+    weight = dict(own)
+    for c, words in own.items():
+        if c.parent in own:
+            weight[c.parent] += words / 2
+            weight[c] += own[c.parent] / 2
+    most = max(weight.values(), default=0.0)
+    return [weight[_container(b)] / most if most else 0.0 for b in page]
 
 
 def features(page: list[Block]) -> list[tuple[float, ...]]:
     has = any(b.article for b in page)
     return [(1.0, float(b.mark > 0), float(b.mark < 0), float(has and not b.article), b.linked / len(b.text),
-             math.log1p(b.text.count(" ") + 1), float(b.text[-1] in ".!?…:;\"'”’»)"), float(b.tag in _HEADS),
-             float(b.tag in _LISTS)) for b in page]
+             math.log1p(b.text.count(" ") + 1), float(b.text[-1] in ".!?…:;\"'”’»)"), float(b.holder.name in _HEADS),
+             float(b.holder.name in _LISTS), w) for b, w in zip(page, container_weights(page))]
 
 
 _HEADS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
@@ -281,58 +302,63 @@ def minimum_cut(source: list[float], sink: list[float], edges: list[tuple[int, i
             todo.append(j)
         near[i] = {}
     free = [i for i in range(n) if side[i] is None]
-    # the rest: shortest augmenting paths from nodes with source capacity to nodes with sink capacity
-    while free:
-        back: dict[int, int | None] = {i: None for i in free if left[i] > 1e-12}
-        queue, goal = deque(back), None
-        while queue and goal is None:
-            i = queue.popleft()
-            for j, c in near[i].items():
-                if c > 1e-12 and j not in back:
-                    back[j] = i
-                    if left[j] < -1e-12:
-                        goal = j
-                        break
-                    queue.append(j)
-        if goal is None:
-            for i in free:
-                side[i] = i in back
-            break
-        flow, j = -left[goal], goal
-        while back[j] is not None:
-            flow, j = min(flow, near[back[j]][j]), back[j]
-        flow = min(flow, left[j])
-        left[j] -= flow
-        left[goal] += flow
-        j = goal
-        while back[j] is not None:
-            i = back[j]
-            near[i][j] -= flow
-            near[j][i] = near[j].get(i, 0.0) + flow
-            j = i
-    return side
+    # The rest: shortest augmenting paths, from one node with source capacity at a time.  Nodes that such a node
+    # reaches without finding sink capacity are the source's for good, as nothing flows out of them.
+    for start in free:
+        while side[start] is None and left[start] > 1e-12:
+            back: dict[int, int | None] = {start: None}
+            queue, goal = deque(back), None
+            while queue and goal is None:
+                i = queue.popleft()
+                for j, c in near[i].items():
+                    if c > 1e-12 and j not in back and side[j] is None:
+                        back[j] = i
+                        if left[j] < -1e-12:
+                            goal = j
+                            break
+                        queue.append(j)
+            if goal is None:
+                for i in back:
+                    side[i] = True
+                break
+            flow, j = min(-left[goal], left[start]), goal
+            while back[j] is not None:
+                flow, j = min(flow, near[back[j]][j]), back[j]
+            left[start] -= flow
+            left[goal] += flow
+            j = goal
+            while back[j] is not None:
+                i = back[j]
+                near[i][j] -= flow
+                near[j][i] = near[j].get(i, 0.0) + flow
+                j = i
+    return [bool(s) for s in side]
 
 
 #: Strength of smoothness between neighbours on the page, and between blocks of the same container.
 ADJACENT, CONTAINED = 0.6, 0.6
 
 
+def _apart(a: Holder, b: Holder) -> int:
+    """Steps between two elements of the tree.  Over a page's neighbours they add up to at most
+    its opened and closed elements."""
+    n = 0
+    while a is not b:
+        if a.depth < b.depth:
+            a, b = b, a
+        a, n = a.parent, n + 1
+    return n
+
+
 def _ties(page: list[Block]) -> list[tuple[int, int, float]]:
     out, last = [], {}
     for i, b in enumerate(page):
         if i:
-            a = page[i - 1].path
-            common = 0
-            for x, y in zip(a, b.path):
-                if x != y:
-                    break
-                common += 1
-            apart = len(a) + len(b.path) - 2 * common
-            out.append((i - 1, i, ADJACENT / (1 + max(apart - 2, 0))))
-        holder = b.path[-2] if len(b.path) > 1 else 0
-        if holder in last:
-            out.append((last[holder], i, CONTAINED))
-        last[holder] = i
+            out.append((i - 1, i, ADJACENT / (1 + max(_apart(page[i - 1].holder, b.holder) - 2, 0))))
+        container = _container(b)
+        if container in last:
+            out.append((last[container], i, CONTAINED))
+        last[container] = i
     return out
 
 
