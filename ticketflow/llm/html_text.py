@@ -10,8 +10,8 @@ of least total cost; the blocks on the content side, in page order, are the text
 The classifier is trained in numpy, from fixed starting weights that also
 regularise it, on the blocks of a bounded sample of the pages themselves: inside
 and outside of the elements whose names say what they hold.  Half of the
-training blocks have those names hidden, so that links, length and punctuation
-carry pages that have none.
+training blocks have those names hidden, so that links, length, punctuation and how
+many of the page's words stand together with a block carry pages that have none.
 
 Defined results: a null or empty html gives an empty text; repeated rows are
 extracted each; unclosed and stray tags are tolerated; a page of any length is
@@ -237,16 +237,15 @@ def _container(b: Block) -> Holder:
 
 def container_weights(page: list[Block]) -> list[float]:
     """For each block how many unlinked words its container holds itself, and half of those of the
-    containers right inside and around it, as a share of the page's most: an article's
-    paragraphs stand together, whatever the names of the elements are."""
+    container right around it (a list or quotation within an article), as a share of the page's
+    most: an article's paragraphs stand together, whatever the names of the elements are."""
     own: dict[Holder, float] = {}
     for b in page:
         words = (b.text.count(" ") + 1) * (1 - b.linked / len(b.text))
         own[_container(b)] = own.get(_container(b), 0.0) + words
     weight = dict(own)
-    for c, words in own.items():
+    for c in own:
         if c.parent in own:
-            weight[c.parent] += words / 2
             weight[c] += own[c.parent] / 2
     most = max(weight.values(), default=0.0)
     return [weight[_container(b)] / most if most else 0.0 for b in page]
