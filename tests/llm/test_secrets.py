@@ -102,3 +102,15 @@ def test_many_repositories_of_one_owner_make_an_example(make_docs):
     assert all(out[200 + i].spans and (out[200 + i].n_live, out[200 + i].repos) == (1, [1]) for i in range(30))
     cut = {r.doc_id: r.text for r in S.redact(docs).collect()}
     assert all((cut[r[0]] == r[1]) == (r[0] < 30) for r in rows)
+
+
+def test_ownership_counts_distinct_repositories_and_owners_of_all_rows(make_docs):
+    """Copies under several owners, one repository under two owners, and texts whose smallest copies share an owner."""
+    rows = [(1, f"one {LIVE} end", None, "a"), (2, f"one {LIVE} end", None, "b"),
+            (3, f"two {LIVE} end", None, "a"), (4, f"two {LIVE} end", None, "c"),
+            (5, f"three {LIVE} end", None, "a"), (6, f"three {LIVE} end", None, "d"), (6, f"three {LIVE} end", None, "d")]
+    rows += [(7, f"x {LIVE[::-1]} end", None, "a"), (7, f"y {LIVE[::-1]} end", None, "b"), (8, f"z {LIVE[::-1]} end", None, None)]
+    out = {r.doc_id: r for r in S.secrets(make_docs(rows), each_text_once=True).collect()}
+    assert all((r.all_repos, r.all_owners, r.texts, r.repos) == ([6], [4], [3], [3]) for i, r in out.items() if i < 7)
+    assert all((out[i].n_example, out[i].n_live, out[i].spans) == (1, 0, "") for i in range(1, 7))
+    assert (out[8].all_repos, out[8].all_owners, out[8].texts, out[8].repos) == ([2], [3], [3], [2])
