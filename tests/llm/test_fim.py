@@ -109,3 +109,28 @@ def test_a_hash_collision_is_told_by_content(monkeypatch):
 def test_rates(spark, make_docs, rates):
     got = M.fill_in_middle(make_docs([(i, "a b c") for i in range(20)]), fim_rate=rates[0], spm_rate=rates[1]).collect()
     assert {r.form for r in got} == {"plain" if not rates[0] else "spm" if rates[1] else "psm"}
+
+
+def test_a_worker_holds_one_range_of_a_batch_beside_it(monkeypatch):
+    """Python's own memory follows the ranges and the cache's stated bytes, not the batch."""
+    import tracemalloc
+
+    import pyarrow as pa
+    monkeypatch.setattr(M.Memo.__init__, "__defaults__", (1 << 20,))
+    rng = np.random.default_rng(3)
+    n, size = 6000, 10_000
+    texts = pa.array([bytes(rng.integers(96, 123, size, dtype=np.uint8)).replace(b"`", b" ").decode() for _ in range(n)], pa.large_string())
+    batch = pa.RecordBatch.from_arrays([texts, *[pa.array(rng.integers(0, 2**32, n)) for _ in range(4)], pa.array(range(n))],
+                                       ["_text", "a", "b", "c", "d", "doc_id"])
+    work = M._work(["doc_id", "n", "form", "prefix_chars", "middle_chars", "output"], 50, 80)
+    tracemalloc.start()
+    try:
+        assert sum(out.num_rows for out in work(iter([batch]))) == n
+        assert tracemalloc.get_traced_memory()[1] < 0.75 * n * size  # the batch's own 60 MB are Arrow's, not counted
+        tracemalloc.reset_peak()
+        memo, before = M.Memo(1 << 20), tracemalloc.get_traced_memory()[0]
+        for i in range(20_000):
+            memo(b"some words %d" % i)
+        assert tracemalloc.get_traced_memory()[0] - before < 2 << 20
+    finally:
+        tracemalloc.stop()

@@ -43,8 +43,9 @@ FIM_RATE, SPM_RATE = 50, 80
 
 #: Chunks have 2^AVERAGE_BITS bytes in the mean and LONGEST at most.
 AVERAGE_BITS, LONGEST = 9, 8192
-#: Bytes of chunks whose summaries a worker keeps.
+#: Bytes that a worker's summaries and their chunks may take, and what an entry takes beside its chunk.
 CACHE_BYTES = 32 << 20
+ENTRY_BYTES = 400
 
 _GEAR = np.random.default_rng(77).integers(0, 2**32, 256, dtype=np.uint32)
 _WINDOW = 32
@@ -85,7 +86,7 @@ def summary(chunk: bytes) -> tuple[int, int, bool, bool]:
 
 
 class Memo:
-    """Boundary summaries by content; the oldest go when more than ``room`` bytes are held."""
+    """Boundary summaries by content; the oldest go when they and their chunks take more than ``room`` bytes."""
 
     def __init__(self, room: int = CACHE_BYTES):
         self.room, self.held, self.known = room, 0, {}
@@ -101,9 +102,9 @@ class Memo:
         got = summary(chunk)
         if found is None:  # of two contents with one hash the first stays known
             self.known[key] = (chunk, got)
-            self.held += len(chunk)
+            self.held += len(chunk) + ENTRY_BYTES
             while self.held > self.room and len(self.known) > 1:
-                self.held -= len(self.known.pop(next(iter(self.known)))[0])
+                self.held -= len(self.known.pop(next(iter(self.known)))[0]) + ENTRY_BYTES
         return got
 
 
@@ -154,20 +155,21 @@ def _work(names: list[str], fim_rate: int, spm_rate: int):
         memo = Memo()
         for b in batches:
             data, offs = utf8(b.column(0))
-            raw = data.tobytes()
             draws = np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(1, 5)], 1).astype(np.int64)
             for x, y in chunks(offs):
-                lo = int(offs[x])
-                at = borders(data[lo:offs[y]], offs[x:y + 1] - lo) + lo
-                first = np.searchsorted(at, offs[x:y + 1]).tolist()
-                at = at.tolist()
+                raw = data[offs[x]:offs[y]].tobytes()  # of one range: a batch may be large
+                own = offs[x:y + 1] - offs[x]
+                at = borders(np.frombuffer(raw, np.uint8), own)
+                first = np.searchsorted(at, own).tolist()
+                at, own = at.tolist(), own.tolist()
                 rows = []
                 for r in range(x, y):
-                    own = at[first[r - x]:first[r - x + 1] + 1]
-                    cuts = Cuts([raw[a:z] for a, z in zip(own, own[1:])], memo)
+                    i = r - x
+                    marks = at[first[i]:first[i + 1] + 1]
+                    cuts = Cuts([raw[a:z] for a, z in zip(marks, marks[1:])], memo)
                     n = cuts.n
                     h1, h2, h3, h4 = draws[r].tolist()
-                    text = raw[offs[r]:offs[r + 1]].decode("utf-8", "surrogatepass")
+                    text = raw[own[i]:own[i + 1]].decode("utf-8", "surrogatepass")
                     if not n or h3 % 100 >= fim_rate or PREFIX in text or SUFFIX in text or MIDDLE in text:
                         rows.append((n, "plain", None, None, text))
                         continue
@@ -176,8 +178,11 @@ def _work(names: list[str], fim_rate: int, spm_rate: int):
                     form = "spm" if h4 % 100 < spm_rate else "psm"
                     rows.append((n, form, a, z - a, rendered(text, form, a, z)))
                 types = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays(
+                out = pa.RecordBatch.from_arrays(
                     [b.column(5).slice(x, y - x), *[pa.array(c, t) for c, t in zip(zip(*rows), types)]], names)
+                del raw, rows
+                yield out
+            b = data = out = None  # the batch goes before the next is read
 
     return work
 
@@ -195,17 +200,22 @@ def fill_in_middle(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
 
 def restored(output: str = "output", form: str = "form") -> Column:
-    """The text again, from what was written: no part holds a mark, so the marks are where they are first found."""
+    """The text again, from what was written: no part holds a mark, so the marks are where they are first found.
+
+    The places of the two later marks are looked for once a row and named by one-element
+    arrays, as a plain expression would cut the text anew wherever it uses them."""
     out = F.col(output)
-    body = F.substring_index(F.substr(out, F.lit(4)), MIDDLE, 1)
     second = F.when(F.col(form) == "psm", SUFFIX).otherwise(PREFIX)
-    cut = F.locate(SUFFIX, body)
-    other = F.locate(PREFIX, body)
-    at = F.when(F.col(form) == "psm", cut).otherwise(other)
-    one, two = F.substr(body, F.lit(1), at - 1), F.substr(body, at + F.length(second))
-    middle = F.substr(out, F.length(body) + F.lit(3 + len(MIDDLE) + 1))
-    return (F.when(F.col(form) == "plain", out)
-            .when(F.col(form) == "psm", F.concat(one, middle, two)).otherwise(F.concat(two, middle, one)))
+
+    def put(s):
+        one = F.substr(out, F.lit(4), s["second"] - 4)
+        two = F.substr(out, s["second"] + 3, s["third"] - s["second"] - 3)
+        middle = F.substr(out, s["third"] + 3)
+        return F.when(F.col(form) == "psm", F.concat(one, middle, two)).otherwise(F.concat(two, middle, one))
+
+    marks = F.array(F.struct(F.call_function("locate", second, out, F.lit(4)).alias("second"),
+                             F.call_function("locate", F.lit(MIDDLE), out, F.lit(4)).alias("third")))
+    return F.when(F.col(form) == "plain", out).otherwise(F.transform(marks, put)[0])
 
 
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
