@@ -117,6 +117,22 @@ def test_next_times_of_one_minute_and_one_instant(spark):
     assert lead.filter(F.col("nx").isNull()).collect()[0].i == n - 1 and lead.filter(F.col("nx").isNotNull()).count() == n - 1
 
 
+def test_first_after_ships_left_rows_once(spark):
+    """Rows at instants of their own: one shuffle carries them, the others a key's days and seconds with events."""
+    base, n = datetime(2025, 1, 1), 30_000
+    left = spark.range(n, numPartitions=PARTS).select(
+        F.concat(F.lit("D"), (F.col("id") % 7).cast("string")).alias("k"), F.col("id").alias("i"),
+        (F.lit(base).cast("timestamp_ntz") + F.make_dt_interval(secs=(F.col("id") * 7).cast("decimal(18,6)"))).alias("t"))
+    times = [("D1", base + timedelta(hours=h, microseconds=u)) for h in (3, 30, 99) for u in (0, 5, 9)] + [("D1", base + timedelta(seconds=7))]
+    right = spark.createDataFrame(times, "k string, t timestamp_ntz")
+    out = first_after(left, right, "k", "k", "t", "t", "nx")
+    assert sum(_shuffled_records(out)) < 1.5 * n
+    for r in out.filter(F.col("k") == "D1").collect():
+        later = [t for _, t in times if t > r.t]
+        assert r.nx == (min(later) if later else None)
+    assert out.count() == n and out.filter((F.col("k") != "D1") & F.col("nx").isNotNull()).count() == 0
+
+
 def test_max_gap(spark):
     base = datetime(2025, 1, 1)
     left = spark.createDataFrame([(1, "a", base), (2, "a", base + timedelta(days=5)), (3, None, base), (4, "a", None), (5, "b", base)],

@@ -141,28 +141,74 @@ def next_times(times: DataFrame) -> DataFrame:
     return (rows.withColumn("_next", later(["_k", "_s"], "_t")).filter(F.col("_t").isNotNull()).drop("_s"))
 
 
+#: Halving steps that find a place among the seconds of a day (86,400 at most).
+_STEPS = [1 << i for i in range(16, -1, -1)]
+
+
+def _second(ts: str) -> Column:
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
+
+
 def first_after(left: DataFrame, right: DataFrame, left_key: str, right_key: str, left_ts: str, right_ts: str,
                 out: str = "next_ts", max_gap: timedelta | None = None) -> DataFrame:
     """For each left row, the earliest right time with the same key strictly
     after the left time (NULL when none, or when it is more than ``max_gap``
     later).  Every left row is kept.
 
-    Both sides are reduced to distinct (key, time) before anything is ordered, so
-    ties collapse map-side, and ``next_times`` answers those; the left rows
-    then look their instant up in a join whose other side is unique, so a hot
-    instant can be split by AQE.  No (left, right) pair is produced.
+    Events are reduced to the first and last of each second, and those to one sorted
+    array a (key, day).  A carry over the days that either side names gives the first event of
+    all later days, so a left row finds its answer in one join whose other side is
+    unique: a hot key or day is split by AQE, and left rows are shuffled once.  Only rows that lie
+    between the first and last event of one second are answered instant by
+    instant.  No (left, right) pair is produced and no array holds more than a day's seconds.
     """
     keyed = F.col(left_key).isNotNull() & F.col(left_ts).isNotNull()
-    asked = left.filter(keyed).select(F.col(left_key).alias("_k"), F.col(left_ts).alias("_t"),
-                                      F.lit(None).cast("timestamp_ntz").alias("_r"), F.lit(True).alias("_asked"))
     events = right.select(F.col(right_key).alias("_k"), F.col(right_ts).alias("_t")) \
-        .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull()) \
-        .select("_k", "_t", F.col("_t").alias("_r"), F.lit(False).alias("_asked"))
-    times = asked.unionByName(events).groupBy("_k", "_t").agg(F.max("_r").alias("_r"), F.max("_asked").alias("_asked"))
-    answer = next_times(times).filter(F.col("_asked") & F.col("_next").isNotNull()).select("_k", "_t", F.col("_next").alias("_an"))
+        .filter(F.col("_k").isNotNull() & F.col("_t").isNotNull() & F.col("_t").cast("date").isNotNull())
+    # the filter on the date drops nothing: joins on it infer it, and with it here they share one shuffle
+    seconds = events.groupBy("_k", F.col("_t").cast("date").alias("_d"), _second("_t").alias("_s")) \
+        .agg(F.min("_t").alias("_first"), F.max("_t").alias("_last"))
+    days = seconds.groupBy("_k", "_d").agg(F.sort_array(F.collect_list(F.struct("_first", "_last"))).alias("_at"))
+    first = F.col("_at")[0]["_first"].alias("_r")
+    asked = left.filter(keyed).select(F.col(left_key).alias("_k"), F.col(left_ts).cast("date").alias("_d"),
+                                      F.lit(None).cast("timestamp_ntz").alias("_r"))
+    w = Window.partitionBy("_k").orderBy(F.col("_d").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    spine = asked.unionByName(days.select("_k", "_d", first)).groupBy("_k", "_d").agg(F.min("_r").alias("_r")) \
+        .select("_k", "_d", F.col("_r").isNotNull().alias("_has"), F.min("_r").over(w).alias("_later"))
+    spine = spine.filter(F.col("_has") | F.col("_later").isNotNull()).join(days, ["_k", "_d"], "left")
+
+    t = F.col(left_ts)
+    place = F.aggregate(F.array(*[F.lit(x) for x in _STEPS]), F.lit(0), lambda n, x: F.when(
+        (n + x <= F.size("_at")) & (F.get("_at", n + x - 1)["_first"] <= t), n + x).otherwise(n))  # seconds begun by t
+    found = left.filter(keyed).join(
+        spine.withColumnsRenamed({"_k": "_sk", "_d": "_sd"}),
+        (F.col(left_key) == F.col("_sk")) & (t.cast("date") == F.col("_sd")), "left") \
+        .withColumn("_n", F.when(F.col("_at").isNotNull(), place)) \
+        .withColumn("_in", F.coalesce((F.col("_n") > 0) & (t < F.get("_at", F.col("_n") - 1)["_last"]), F.lit(False))) \
+        .filter(~F.col("_in")) \
+        .select(*left.columns, F.coalesce(F.get("_at", F.col("_n"))["_first"], F.col("_later")).alias("_an"))
+
+    # rows between two events of one second: few, found by the seconds that hold two events or more
+    crowded = seconds.filter(F.col("_first") < F.col("_last")).select(F.struct("_k", "_s").alias("_ks"), "_first", "_last")
+    inside = only_keys_of(left.filter(keyed).withColumn("_ks", F.struct(F.col(left_key).alias("_k"), _second(left_ts).alias("_s"))),
+                          "_ks", crowded, "_ks")
+    inside = inside.join(crowded, "_ks").filter((t >= F.col("_first")) & (t < F.col("_last"))).select(*left.columns)
+    near = events.withColumn("_ks", F.struct("_k", _second("_t").alias("_s"))).join(crowded.select("_ks"), "_ks", "left_semi")
+    found = found.unionByName(_first_after_instants(inside, near, left_key, left_ts))
+
     if max_gap is not None:
-        answer = answer.filter(F.col("_an") <= F.col("_t") + F.lit(max_gap))
-    found = left.filter(keyed).join(answer, (F.col(left_key) == F.col("_k")) & (F.col(left_ts) == F.col("_t")), "left") \
-        .withColumn(out, F.col("_an")).drop("_k", "_t", "_an")
+        found = found.withColumn("_an", F.when(F.col("_an") <= t + F.lit(max_gap), F.col("_an")))
     # rows without a key or time can match nothing and take no part in the shuffles
-    return found.unionByName(left.filter(~keyed).withColumn(out, F.lit(None).cast("timestamp_ntz")))
+    return found.withColumnRenamed("_an", out) \
+        .unionByName(left.filter(~keyed).withColumn(out, F.lit(None).cast("timestamp_ntz")))
+
+
+def _first_after_instants(left: DataFrame, events: DataFrame, left_key: str, left_ts: str) -> DataFrame:
+    """``left`` with ``_an``, the first of ``events`` (``_k``, ``_t``) strictly after its time: both sides
+    become distinct (key, time), ``next_times`` answers those, and the left rows look their instant up."""
+    asked = left.select(F.col(left_key).alias("_k"), F.col(left_ts).alias("_t"),
+                        F.lit(None).cast("timestamp_ntz").alias("_r"), F.lit(True).alias("_asked"))
+    times = asked.unionByName(events.select("_k", "_t", F.col("_t").alias("_r"), F.lit(False).alias("_asked"))) \
+        .groupBy("_k", "_t").agg(F.max("_r").alias("_r"), F.max("_asked").alias("_asked"))
+    answer = next_times(times).filter(F.col("_asked") & F.col("_next").isNotNull()).select("_k", "_t", F.col("_next").alias("_an"))
+    return left.join(answer, (F.col(left_key) == F.col("_k")) & (F.col(left_ts) == F.col("_t")), "left").drop("_k", "_t")
